@@ -178,12 +178,13 @@ def descendants(tree: DataFrame, of: DataFrame, node: str = "node", bins: int =
     A range join inside one root: query ranges are cut at multiples of a power-of-four width near their
     own length, so a range covers a few cells only and each tree node is looked up in one cell per width.
     """
+    tree = tree.where(F.col("pre").isNotNull()).withColumn("root", F.coalesce("root", F.lit("")))  # a null parent is an end, too
     q = of.select(F.col(node).alias("node")).distinct().join(tree, "node").where(F.col("size") > 1)
     width = F.pow(F.lit(4.0), F.ceil(F.log(F.col("size").cast("double")) / F.log(F.lit(4.0)))).cast("long")
     q = q.select(F.col("node").alias("ancestor"), "status", "root", F.col("pre").alias("lo"), (F.col("pre") + F.col("size")).alias("hi"), width.alias("w"))
     widths = q.select("w", "root", "status").distinct()
     q = q.withColumn("cell", F.explode(F.sequence(F.floor(F.col("lo") / F.col("w")), F.floor((F.col("hi") - 1) / F.col("w")))))
-    t = tree.where(F.col("pre").isNotNull()).select("node", "status", "root", "pre")
+    t = tree.select("node", "status", "root", "pre")
     t = t.join(widths, ["root", "status"]).withColumn("cell", F.floor(F.col("pre") / F.col("w")))
     hit = q.join(t, ["root", "status", "w", "cell"])
     return hit.where((F.col("pre") > F.col("lo")) & (F.col("pre") < F.col("hi"))).select("ancestor", "node")
