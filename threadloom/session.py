@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,23 @@ def build(app: str = "threadloom", cores: int | str = 8, partitions: int | None
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends the package to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if getattr(sc, "_threadloom_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="threadloom-code-")) / "threadloom_code.zip"
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    sc.addPyFile(str(path))
+    sc._threadloom_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One input table; naming the columns keeps the scan's ReadSchema to them."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
