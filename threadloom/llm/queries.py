@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import splits, visual
+from . import garbled, leaks, overlap, splits, visual
 
 SFT, VALID = "round2_build_tc_sft", "valid"
 
@@ -61,9 +61,74 @@ def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("valid_id", "form", (~F.col("form").eqNullSafe(F.col("text"))).alias("changed"))
 
 
+# 5: the same or nearly the same output in both splits
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.row_pairs(table(spark, sf_dir, SFT, "row_id", "output", "split"), "row_id", "output", "split")
+
+
+def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per source and split: rows, rows with a partner in the other split, and the count the source reported.
+
+    Membership is counted by class, so a text repeated in both splits is never multiplied out.
+    """
+    sft = table(spark, sf_dir, SFT, "row_id", "output", "split", "source")
+    rows, pairs = overlap.links(sft, "row_id", "output", "split")
+    hit = pairs.select(F.lit("eval").alias("split"), F.col("lcid").alias("cid")).unionByName(pairs.select(F.lit("train").alias("split"), F.col("rcid").alias("cid"))).distinct()
+    hit = rows.join(hit, ["split", "cid"]).select(F.col("row").alias("row_id"), F.lit(1).alias("hit"))
+    count = sft.where("source is not null and split is not null").join(hit, "row_id", "left").groupBy("source", "split").agg(F.count("*").alias("rows"), F.count("hit").alias("overlapping"))
+    said = table(spark, sf_dir, "round2_sft_eval_split", "source", "train_rows", "eval_rows")
+    said = said.selectExpr("source", "stack(2, 'train', train_rows, 'eval', eval_rows) as (split, reported)")
+    return count.join(said, ["source", "split"], "full").select("source", "split", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("overlapping", F.lit(0)).alias("overlapping"), "reported")
+
+
+# 9: evaluation passages in documents
+
+
+def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "eval_items", "item_id", "text"), "item_id", "text")
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _leaks(spark, sf_dir).select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"))
+
+
+def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which test items leaked, into how many documents, and how much of them at most."""
+    hit = _leaks(spark, sf_dir).groupBy("item").agg(F.count("*").alias("documents"), F.max("run").alias("longest_run"), F.min("distance").alias("least_distance"))
+    return hit.withColumnRenamed("item", "item_id")
+
+
+P9_FOUND_SQL = """
+WITH i AS (SELECT item_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') AS t FROM eval_items WHERE text IS NOT NULL),
+d AS (SELECT doc_id, regexp_replace(lower(text), '[^\\p{L}\\p{N}]', '', 'g') AS t FROM documents WHERE text IS NOT NULL),
+g AS (SELECT DISTINCT item_id, t[k:k + 39] AS w FROM (SELECT item_id, t, unnest(range(1, length(t) - 38)) AS k FROM i WHERE length(t) >= 40)),
+h AS (SELECT DISTINCT doc_id, t[k:k + 39] AS w FROM (SELECT doc_id, t, unnest(range(1, length(t) - 38)) AS k FROM d WHERE length(t) >= 40))
+SELECT DISTINCT h.doc_id, g.item_id FROM g JOIN h USING (w)
+"""
+
+
+# 10: wrong encodings
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").select(F.col("key").alias("doc_id")).distinct()
+
+
+def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return garbled.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     "p1_found": (p1_found, P1_FOUND_SQL),
     "p1_splits": (p1_splits, None),
     "p3_found": (p3_found, None),
     "p3_unified": (p3_unified, None),
+    "p5_found": (p5_found, None),
+    "p5_counts": (p5_counts, None),
+    "p9_found": (p9_found, P9_FOUND_SQL),
+    "p9_items": (p9_items, None),
+    "p10_found": (p10_found, None),
+    "p10_restored": (p10_restored, None),
 }
