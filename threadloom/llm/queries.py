@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import garbled, leaks, overlap, splits, visual
+from . import garbled, leaks, overlap, pairs, splits, visual
 
 SFT, VALID = "round2_build_tc_sft", "valid"
 
@@ -48,6 +48,24 @@ SELECT DISTINCT s AS id_a, d AS id_b FROM reach WHERE s < d
 """
 
 
+# 2: broken pairs
+
+
+def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.defects(table(spark, sf_dir, SFT, "row_id", "instruction", "output"), "row_id", "instruction", "output")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _defects(spark, sf_dir).select(F.col("key").alias("row_id"), "defect").distinct()
+
+
+def p2_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defects per kind, with their share of all rows."""
+    total = table(spark, sf_dir, SFT, "row_id").agg(F.count("*").alias("all"))
+    by = _defects(spark, sf_dir).groupBy("defect").agg(F.count("*").alias("rows"))
+    return by.crossJoin(F.broadcast(total)).select("defect", "rows", F.round(F.col("rows") / F.col("all"), 6).alias("share"))  # one row on the right
+
+
 # 3: visually identical text
 
 
@@ -123,6 +141,8 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "p1_found": (p1_found, P1_FOUND_SQL),
     "p1_splits": (p1_splits, None),
+    "p2_found": (p2_found, None),
+    "p2_rates": (p2_rates, None),
     "p3_found": (p3_found, None),
     "p3_unified": (p3_unified, None),
     "p5_found": (p5_found, None),
