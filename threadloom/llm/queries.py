@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import garbled, leaks, overlap, pairs, splits, visual
+from . import abuse, garbled, leaks, overlap, pairs, splits, visual
 
 SFT, VALID = "round2_build_tc_sft", "valid"
 
@@ -101,6 +101,25 @@ def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count.join(said, ["source", "split"], "full").select("source", "split", F.coalesce("rows", F.lit(0)).alias("rows"), F.coalesce("overlapping", F.lit(0)).alias("overlapping"), "reported")
 
 
+# 6: abusive, hateful or sexual content
+
+
+def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, VALID, "valid_id", "text", "board").withColumn("s", abuse.scored(F.col("text")))
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).where(F.col("s.score") >= abuse.CASE).select("valid_id").distinct()
+
+
+def p6_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored(spark, sf_dir).select("valid_id", "s.score", "s.terms")
+
+
+def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse.rates(table(spark, sf_dir, VALID, "text", "board"), "text", "board").withColumnRenamed("grp", "board")
+
+
 # 9: evaluation passages in documents
 
 
@@ -147,6 +166,9 @@ QUERIES = {
     "p3_unified": (p3_unified, None),
     "p5_found": (p5_found, None),
     "p5_counts": (p5_counts, None),
+    "p6_found": (p6_found, None),
+    "p6_scores": (p6_scores, None),
+    "p6_rates": (p6_rates, None),
     "p9_found": (p9_found, P9_FOUND_SQL),
     "p9_items": (p9_items, None),
     "p10_found": (p10_found, None),
