@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import abuse, garbled, leaks, overlap, pairs, splits, visual
+from . import abuse, garbled, leaks, overlap, pairs, pii, splits, visual
 
 SFT, VALID = "round2_build_tc_sft", "valid"
 
@@ -120,6 +120,29 @@ def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse.rates(table(spark, sf_dir, VALID, "text", "board"), "text", "board").withColumnRenamed("grp", "board")
 
 
+# 7: personal information
+
+
+def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = table(spark, sf_dir, VALID, "valid_id", "text").select(F.lit(VALID).alias("t"), F.col("valid_id").alias("id"), "text")
+    b = table(spark, sf_dir, "phase1_data_pipeline", "record_id", "post_body_clean")
+    b = b.where("post_body_clean is not null").select(F.lit("phase1_data_pipeline").alias("t"), F.col("record_id").alias("id"), F.col("post_body_clean").alias("text"))
+    return a.unionByName(b).select(F.struct("t", "id").alias("key"), "text")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # one tagger for both tables; its carriers come from valid
+    fitted = pii.model(table(spark, sf_dir, VALID, "valid_id", "text"), "valid_id", "text")
+    hit = pii.find(_texts(spark, sf_dir), "key", "text", fitted)
+    return hit.select(F.col("key.t").alias("table_name"), F.col("key.id").alias("record_id"), "pii_type").distinct()
+
+
+def p7_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fitted = pii.model(table(spark, sf_dir, VALID, "valid_id", "text"), "valid_id", "text")
+    out = pii.masked(_texts(spark, sf_dir), "key", "text", fitted)
+    return out.select(F.col("key.t").alias("table_name"), F.col("key.id").alias("record_id"), "masked", "spans")
+
+
 # 9: evaluation passages in documents
 
 
@@ -169,6 +192,8 @@ QUERIES = {
     "p6_found": (p6_found, None),
     "p6_scores": (p6_scores, None),
     "p6_rates": (p6_rates, None),
+    "p7_found": (p7_found, None),
+    "p7_masked": (p7_masked, None),
     "p9_found": (p9_found, P9_FOUND_SQL),
     "p9_items": (p9_items, None),
     "p10_found": (p10_found, None),

@@ -129,7 +129,8 @@ def tables() -> Tables:
     return Tables()
 
 
-def unify(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def unify(cp: np.ndarray, offsets: np.ndarray, sources: bool = False) -> tuple[np.ndarray, ...]:
+    """``(code points, offsets)`` in the one form; with ``sources`` also the place each one came from."""
     t = tables()
     row = rows_of(offsets)
     # expansion
@@ -138,10 +139,11 @@ def unify(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if (n > 1).any():
         lead = np.cumsum(n.astype(np.int64)) - n
         rank = np.arange(len(out)) - np.repeat(lead, n)
-        src = np.repeat(cp, n)
+        orig = np.repeat(cp, n)
         m = np.repeat(n, n) > 1
-        out[m] = t.pool[t.start[src[m]] + rank[m]]
+        out[m] = t.pool[t.start[orig[m]] + rank[m]]
     row = np.repeat(row, n)
+    src = np.repeat(np.arange(len(cp)), n)
     rows = len(offsets) - 1
 
     # canonical order of marks: a stable sort of each run of marks by class
@@ -149,7 +151,7 @@ def unify(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if k.any():
         base = np.cumsum((k == 0) | np.r_[True, row[1:] != row[:-1]][: len(out)])
         order = np.lexsort((k, base))
-        out, k = out[order], k[order]
+        out, k = out[order], k[order]  # marks stay behind their base, so ``src`` keeps its order
         # marks composed with their base, one mark at a time, unless a mark of the same class lies between
         while True:
             prev_same = np.r_[False, row[1:] == row[:-1]][: len(out)]
@@ -164,7 +166,7 @@ def unify(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             out[at[hit] - 1] = t.pair_to[pos[hit]]
             keep = np.ones(len(out), bool)
             keep[at[hit]] = False
-            out, row, k = out[keep], row[keep], k[keep]
+            out, row, k, src = out[keep], row[keep], k[keep], src[keep]
 
     # kana and other pairs whose second part is no mark of a class are composed by NFC as well, jamo below
     jamo = (out >= L0) & (out < 0x1200)
@@ -176,7 +178,7 @@ def unify(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = np.ones(len(out), bool)
         out[at - 1] = S0 + ((out[at - 1] - L0) * 21 + (out[at] - V0)) * 28
         keep[at] = False
-        out, row = out[keep], row[keep]
+        out, row, src = out[keep], row[keep], src[keep]
         same = np.r_[False, row[1:] == row[:-1]][: len(out)]
         open_ = (out >= S0) & (out < S0 + 11172) & ((out - S0) % 28 == 0)
         tail = (out > T0) & (out < T0 + 28)
@@ -184,10 +186,11 @@ def unify(cp: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keep = np.ones(len(out), bool)
         out[at - 1] += out[at] - T0
         keep[at] = False
-        out, row = out[keep], row[keep]
+        out, row, src = out[keep], row[keep], src[keep]
         left = (out >= L0) & (out < 0x1200)
         out[left] = t.alone[out[left]]
-    return out, reoffset(np.bincount(row, minlength=rows))
+    new = reoffset(np.bincount(row, minlength=rows))
+    return (out, new, src) if sources else (out, new)
 
 
 def unify_array(texts: pa.Array) -> pa.Array:
