@@ -306,6 +306,17 @@ def shaped(kind: str, s: str) -> bool:
     return bool(_HANGUL_NAME.match(s)) and (s[0] in FAMILY or s[:2] in FAMILY_TWO) and not any(s.endswith(t) for t in TITLES)
 
 
+def _stands_alone(name: str, before: str, after: str) -> bool:
+    """A name is a word of its own; two syllables, which common words share, need a form of address after them."""
+    if before.isalnum():
+        return False
+    if _HANGUL_NAME.match(name):
+        if len(name) == 2 and name not in FAMILY_TWO:
+            return bool(re.match(r"\s?(?:씨|님|실장|선생|이고|앞으로)", after))
+        return not name.endswith(("하다", "해요", "네요", "어요"))
+    return True
+
+
 def spans_of(texts: pa.Array, model: tuple[tagger.Params, Alphabet]):
     """``(row, begin, end, type number)`` arrays; places are those of the original text."""
     params, ab = model
@@ -331,12 +342,21 @@ def spans_of(texts: pa.Array, model: tuple[tagger.Params, Alphabet]):
         last = np.r_[first[1:], len(hot)] - 1
         for a, b in zip(first, last):
             x, y = int(hot[a]), int(hot[b]) + 1
+            i, k = int(row[a]), int(kind[a])
+            lo, hi = int(foff[i]), int(foff[i + 1])
+            if k in (1, 2):  # a number is taken whole
+                while x > lo and 48 <= form[x - 1] <= 57:
+                    x -= 1
+                while y < hi and 48 <= form[y] <= 57:
+                    y += 1
             s = form[x:y].tobytes().decode("utf-32-le")
-            if shaped(TYPES[kind[a]], s):
-                i = int(row[a])
+            if k == 1 and shaped("id_number", s):
+                k = 2
+            around = form[max(x - 1, lo) : x].tobytes().decode("utf-32-le"), form[y : min(y + 4, hi)].tobytes().decode("utf-32-le")
+            if shaped(TYPES[k], s) and (k != 4 or _stands_alone(s, *around)):
                 end = int(src[y]) if y < foff[i + 1] else int(off[i + 1])
                 begin = int(src[x])
-                out.append((i, begin - int(off[i]), end - int(off[i]), int(kind[a])))
+                out.append((i, begin - int(off[i]), end - int(off[i]), k))
     return cp, off, out
 
 
@@ -352,7 +372,7 @@ def model(df: DataFrame, key: str, text: str, sample: int = 400) -> tuple[tagger
     """Trains the tagger; ``sample`` rows, drawn by the hash of their key, lend their sentences as carriers. Sample
     rows with anything that looks like a cue of personal data are left out, since they carry no labels."""
     some = df.select(F.col(key).alias("k"), F.col(text).alias("t")).where("k is not null and t is not null").withColumn("h", F.xxhash64("k")).orderBy("h", "k", "t").limit(sample).collect()
-    return _trained(tuple(sorted(r.t for r in some if len(r.t) >= 15 and not _CUES.search(r.t))))
+    return _trained(tuple(sorted(r.t for r in some if len(r.t) >= 3 and not _CUES.search(r.t))))
 
 
 def find(df: DataFrame, key: str, text: str, fitted=None) -> DataFrame:

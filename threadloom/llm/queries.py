@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import abuse, garbled, leaks, overlap, pairs, pii, splits, visual
+from . import abuse, garbled, leaks, overlap, packing, pairs, pii, splits, visual
 
 SFT, VALID = "round2_build_tc_sft", "valid"
 
@@ -143,6 +143,14 @@ def p7_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("key.t").alias("table_name"), F.col("key.id").alias("record_id"), "masked", "spans")
 
 
+# 8: containers of fixed capacity
+
+
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", packing.token_count(F.col("text")).alias("tokens"))
+    return packing.pack(docs, "doc_id", "tokens").withColumnRenamed("key", "doc_id")
+
+
 # 9: evaluation passages in documents
 
 
@@ -194,6 +202,7 @@ QUERIES = {
     "p6_rates": (p6_rates, None),
     "p7_found": (p7_found, None),
     "p7_masked": (p7_masked, None),
+    "p8_containers": (p8_containers, None),
     "p9_found": (p9_found, P9_FOUND_SQL),
     "p9_items": (p9_items, None),
     "p10_found": (p10_found, None),
