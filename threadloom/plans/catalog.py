@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import hierarchy
+from . import audit, building, corpus, events, hierarchy
 
 QUERIES: dict = {}
-for _module in (hierarchy,):
+for _module in (hierarchy, corpus, audit, building, events):
     QUERIES.update(_module.QUERIES)
