@@ -21,7 +21,7 @@ HASH_SPACE = "decimal(20,0)"
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
 
 
 def collapse(c: Column) -> Column:

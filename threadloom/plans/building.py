@@ -164,10 +164,13 @@ def preference_pairs(s, d):
     return examples.preference_pairs(good, bad, "row_id", "output")
 
 
+_FULL = f"regexp_replace(coalesce({{c}}, ''), '^{text.WS.replace('{', '{{').replace('}', '}}')}+|{text.WS.replace('{', '{{').replace('}', '}}')}+$', '', 'g') <> ''"
+
+
 @query("pair_validation", f"""
-SELECT count(*) AS rows, count(*) FILTER (trim(coalesce(output, '')) <> '' AND trim(coalesce(instruction, '')) <> '') AS complete, bool_and(trim(coalesce(instruction, '')) <> '') AS all_prompts FROM {T}""")
+SELECT count(*) AS rows, count(*) FILTER ({_FULL.format(c='output')} AND {_FULL.format(c='instruction')}) AS complete, bool_and({_FULL.format(c='instruction')}) AS all_prompts FROM {T}""")
 def pair_validation(s, d):
-    full = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
+    full = lambda c: text.strip(F.coalesce(c, F.lit(""))) != ""
     return sft(s, d, "instruction", "output").agg(F.count("*").alias("rows"), F.count_if(full("output") & full("instruction")).alias("complete"), F.bool_and(full("instruction")).alias("all_prompts"))
 
 

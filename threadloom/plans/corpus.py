@@ -342,9 +342,12 @@ def burst_users_1h(s, d):
 # D: deduplication
 
 
-@query("dedup_exact_first", "SELECT trim(text) AS text, min(doc_id) AS doc_id FROM documents WHERE length(trim(text)) >= 5 GROUP BY trim(text)")
+_STRIP = f"regexp_replace(text, '^{text.WS}+|{text.WS}+$', '', 'g')"
+
+
+@query("dedup_exact_first", f"SELECT {_STRIP} AS text, min(doc_id) AS doc_id FROM documents WHERE length({_STRIP}) >= 5 GROUP BY 1")
 def dedup_exact_first(s, d):
-    t = docs(s, d).select("doc_id", F.trim("text").alias("text")).where(F.length("text") >= 5)
+    t = docs(s, d).select("doc_id", text.strip(F.col("text")).alias("text")).where(F.length("text") >= 5)
     return dedup.first_wins(t, [F.col("text")], "doc_id").select("text", "doc_id")
 
 

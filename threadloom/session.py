@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -76,6 +77,7 @@ class Stage:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/threadloom/{name}-{uuid.uuid4().hex}"
+        tidy_at_exit(spark, self.root)
         self._n = 0
         self._paths: dict[int, str] = {}
 
@@ -91,6 +93,27 @@ class Stage:
         for df in dfs:
             path = self._paths.pop(id(df), None)
             if path:
-                jvm = self.spark._jvm
-                p = jvm.org.apache.hadoop.fs.Path(path)
-                p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+                _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_LEFT: list[tuple[SparkSession, str]] = []
+
+
+def tidy_at_exit(spark: SparkSession, root: str) -> None:
+    """Results may be read as long as the application lives; then its tables go."""
+    if not _LEFT:
+        atexit.register(_tidy)
+    _LEFT.append((spark, root))
+
+
+def _tidy() -> None:
+    for spark, root in _LEFT:
+        try:
+            _delete(spark, root)
+        except Exception:  # noqa: BLE001  the application is gone, and its folder is the cluster's to clean
+            return

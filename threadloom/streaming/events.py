@@ -6,14 +6,14 @@ transformed frame; ``run`` drains a file source into a table.
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import shared_dir
+from ..session import shared_dir, tidy_at_exit
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
@@ -66,7 +66,8 @@ def cap_alarms(df: DataFrame, cap: float = 500.0) -> DataFrame:
 
 def run(spark: SparkSession, folder: str, transform: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
     """Drains the files there are through ``transform`` into a table in the shared folder and reads it back."""
-    base = tempfile.mkdtemp(prefix="stream-", dir=shared_dir(spark).removeprefix("file://")) if shared_dir(spark).startswith("file://") else f"{shared_dir(spark)}/stream"
+    base = f"{shared_dir(spark)}/threadloom/stream-{uuid.uuid4().hex}"
+    tidy_at_exit(spark, base)
     out, marks = f"{base}/out", f"{base}/marks"
     df = transform(read(spark, folder))
     w = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", marks)
