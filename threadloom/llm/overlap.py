@@ -30,7 +30,7 @@ from ..session import Stage
 from .leaks import rolling
 
 TAG = r"(?U)^\s*\[\d+(?:-\d+)*\]"
-N, W, T = 12, 4, 0.12
+N, W, T = 10, 3, 0.1
 SHORT, SHORT_TOO, SHORT_N = 40, 48, 4
 SLOTS = 1 << 22
 BLOCKS = 64
