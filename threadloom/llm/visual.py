@@ -152,20 +152,25 @@ def unify(cp: np.ndarray, offsets: np.ndarray, sources: bool = False) -> tuple[n
         base = np.cumsum((k == 0) | np.r_[True, row[1:] != row[:-1]][: len(out)])
         order = np.lexsort((k, base))
         out, k = out[order], k[order]  # marks stay behind their base, so ``src`` keeps its order
-        # marks composed with their base, one mark at a time, unless a mark of the same class lies between
-        while True:
-            prev_same = np.r_[False, row[1:] == row[:-1]][: len(out)]
-            at = np.flatnonzero((k > 0) & prev_same & np.r_[False, k[:-1] == 0][: len(out)])
+        # Marks join their base one at a time, first come first, unless a mark of the same class stands between.
+        while len(out):
+            i = np.arange(len(out))
+            first = np.r_[True, row[1:] != row[:-1]]
+            base = np.maximum.accumulate(np.where((k == 0) | first, i, 0))
+            before = np.r_[0, k[:-1]]
+            at = np.flatnonzero((k > 0) & (base < i) & (k[base] == 0) & ((base == i - 1) | (before < k)))
             if not len(at):
                 break
-            key = (out[at - 1].astype(np.int64) << 21) | out[at].astype(np.int64)
+            key = (out[base[at]].astype(np.int64) << 21) | out[at].astype(np.int64)
             pos = np.minimum(np.searchsorted(t.pair_key, key), len(t.pair_key) - 1)
             hit = t.pair_key[pos] == key
-            if not hit.any():
+            at, pos = at[hit], pos[hit]
+            if not len(at):
                 break
-            out[at[hit] - 1] = t.pair_to[pos[hit]]
+            lead, which = np.unique(base[at], return_index=True)
+            out[lead] = t.pair_to[pos[which]]
             keep = np.ones(len(out), bool)
-            keep[at[hit]] = False
+            keep[at[which]] = False
             out, row, k, src = out[keep], row[keep], k[keep], src[keep]
 
     # kana and other pairs whose second part is no mark of a class are composed by NFC as well, jamo below
