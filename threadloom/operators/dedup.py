@@ -164,12 +164,11 @@ def cosine_pairs(df: DataFrame, key: str, vec: str, least: float, step: int = 20
     Queries go out ``block`` at a time; each batch of rows meets them in one matrix product.
     """
     spark = df.sparkSession
-    q = df.where((F.col(key) % step == 0) & F.col(vec).isNotNull()).select(F.col(key).alias("k"), F.col(vec).alias("v")).orderBy("k")
-    ids = [r.k for r in q.select("k").collect()]
+    q = df.where((F.col(key) % step == 0) & F.col(vec).isNotNull()).select(F.col(key).alias("k"), F.col(vec).alias("v"))
+    blocks = max(1, -(-q.count() // block))
     out = None
-    for lo in range(0, max(len(ids), 1), block):
-        part = ids[lo : lo + block]
-        rows = q.where((F.col("k") >= part[0]) & (F.col("k") <= part[-1])).collect() if part else []
+    for at in range(blocks):  # about `block` queries each, by hash
+        rows = q.where(F.pmod(F.xxhash64("k"), F.lit(blocks)) == at).collect()
         m = np.array([r.v for r in rows], np.float64) if rows else np.zeros((0, 1))
         m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
         shared = spark.sparkContext.broadcast(([r.k for r in rows], m))
