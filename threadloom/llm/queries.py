@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -79,6 +81,29 @@ def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("valid_id", "form", (~F.col("form").eqNullSafe(F.col("text"))).alias("changed"))
 
 
+def _form_sql(column: str) -> str:
+    """The one form in SQL: the same tables as character lists for translate, around the engine's composition."""
+    t = visual.tables()
+    chars = [c for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000]
+    moved = {chr(c): chr(t.first[c]) for c in chars if t.count[c] == 1 and t.first[c] != c}
+    for c in chars:
+        if t.count[c] > 1:
+            whole = unicodedata.normalize("NFC", "".join(map(chr, t.pool[t.start[c] : t.start[c] + t.count[c]])))
+            if len(whole) == 1 and whole != chr(c):
+                moved[chr(c)] = whole
+    gone = "".join(chr(c) for c in range(1, 0x10000) if not 0xD800 <= c < 0xE000 and t.count[c] == 0)
+    alone = {chr(c): chr(t.alone[c]) for c in range(0x1100, 0x1200) if t.alone[c] != c}
+    q = lambda s: "'" + "".join(s).replace("'", "''") + "'"
+    return f"translate(nfc_normalize(translate(translate({column}, {q(gone)}, ''), {q(moved)}, {q(moved.values())})), {q(alone)}, {q(alone.values())})"
+
+
+P3_UNIFIED_SQL = f"SELECT valid_id, {_form_sql('text')} AS form, {_form_sql('text')} IS DISTINCT FROM text AS changed FROM {VALID}"
+P3_FOUND_SQL = f"""
+WITH f AS (SELECT valid_id, text, {_form_sql('text')} AS form FROM {VALID} WHERE text IS NOT NULL)
+SELECT DISTINCT a.valid_id AS valid_a, b.valid_id AS valid_b FROM f a JOIN f b ON a.form = b.form AND a.text <> b.text AND a.valid_id < b.valid_id
+"""
+
+
 # 5: the same or nearly the same output in both splits
 
 
@@ -193,8 +218,8 @@ QUERIES = {
     "p1_splits": (p1_splits, None),
     "p2_found": (p2_found, None),
     "p2_rates": (p2_rates, None),
-    "p3_found": (p3_found, None),
-    "p3_unified": (p3_unified, None),
+    "p3_found": (p3_found, P3_FOUND_SQL),
+    "p3_unified": (p3_unified, P3_UNIFIED_SQL),
     "p5_found": (p5_found, None),
     "p5_counts": (p5_counts, None),
     "p6_found": (p6_found, None),
