@@ -52,6 +52,16 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan in fewer partitions than there are cores, spread over all of them, for work that is heavy per row.
+
+    Large inputs come in more partitions than that and are left as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    have = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if have >= cores else df.repartition(cores)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
