@@ -126,6 +126,9 @@ def lexicon() -> Trie:
     return t
 
 
+REACH = 6  # the largest budget by the smallest cost: no path within budget strays farther from the diagonal
+
+
 def match(key: str, root: Trie | None = None) -> list[tuple[str, float, int]]:
     """Terms that some beginning of ``key`` spells within their budget: ``(term, weight, letters used)``.
 
@@ -136,11 +139,13 @@ def match(key: str, root: Trie | None = None) -> list[tuple[str, float, int]]:
     found: dict[str, tuple[float, int]] = {}
     n = min(len(key), 18)
     first = [0.0]
-    for j in range(n):
+    for j in range(min(n, REACH)):
         first.append(first[-1] + _gap(key[j], key[j - 1] if j else ""))
-    stack = [(root, first, "")]
+    here = set(key[:n])
+    here |= {-1 - _CLASS[c] for c in here if c in _CLASS}
+    stack = [(root, first, "", 0)]
     while stack:
-        node, row, last = stack.pop()
+        node, row, last, depth = stack.pop()
         if node.term:
             term, weight, budget = node.term
             best = min(row)
@@ -148,13 +153,22 @@ def match(key: str, root: Trie | None = None) -> list[tuple[str, float, int]]:
                 used = max(j for j, v in enumerate(row) if v == best)
                 if term not in found or found[term][0] < weight:
                     found[term] = (weight, used)
+        low = min(row)
         for c, child in node.next.items():
-            new = [row[0] + _gap(c, last)]
-            for j in range(1, n + 1):
+            gap = _gap(c, last)
+            # a letter that the word has nothing like costs a whole one, or its gap, wherever it goes
+            if c not in here and (c not in _CLASS or -1 - _CLASS[c] not in here) and low + min(gap, 1.0) > child.most:
+                continue
+            new = [row[0] + gap]
+            top = min(n, depth + 1 + REACH)
+            for j in range(1, top + 1):
                 k = key[j - 1]
-                new.append(min(row[j - 1] + _sub(k, c), row[j] + _gap(c, last), new[j - 1] + _gap(k, key[j - 2] if j > 1 else "")))
+                sub = row[j - 1] + _sub(k, c)
+                skip = row[j] + gap if j < len(row) else sub
+                more = new[j - 1] + _gap(k, key[j - 2] if j > 1 else "")
+                new.append(sub if sub <= skip and sub <= more else skip if skip <= more else more)
             if min(new) <= child.most:
-                stack.append((child, new, c))
+                stack.append((child, new, c, depth + 1))
     return [(t, w, u) for t, (w, u) in found.items()]
 
 

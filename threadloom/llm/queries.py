@@ -7,7 +7,7 @@ import unicodedata
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import spread, table
 from . import abuse, garbled, leaks, overlap, packing, pairs, pii, splits, visual
 
 SFT, VALID = "round2_build_tc_sft", "valid"
@@ -54,7 +54,7 @@ SELECT DISTINCT s AS id_a, d AS id_b FROM reach WHERE s < d
 
 
 def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.defects(table(spark, sf_dir, SFT, "row_id", "instruction", "output"), "row_id", "instruction", "output")
+    return pairs.defects(spread(table(spark, sf_dir, SFT, "row_id", "instruction", "output")), "row_id", "instruction", "output")
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +130,7 @@ def p5_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, VALID, "valid_id", "text", "board").withColumn("s", abuse.scored(F.col("text")))
+    return spread(table(spark, sf_dir, VALID, "valid_id", "text", "board")).withColumn("s", abuse.scored(F.col("text")))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +142,7 @@ def p6_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return abuse.rates(table(spark, sf_dir, VALID, "text", "board"), "text", "board").withColumnRenamed("grp", "board")
+    return abuse.rates(spread(table(spark, sf_dir, VALID, "text", "board")), "text", "board").withColumnRenamed("grp", "board")
 
 
 # 7: personal information
@@ -152,7 +152,7 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = table(spark, sf_dir, VALID, "valid_id", "text").select(F.lit(VALID).alias("t"), F.col("valid_id").alias("id"), "text")
     b = table(spark, sf_dir, "phase1_data_pipeline", "record_id", "post_body_clean")
     b = b.where("post_body_clean is not null").select(F.lit("phase1_data_pipeline").alias("t"), F.col("record_id").alias("id"), F.col("post_body_clean").alias("text"))
-    return a.unionByName(b).select(F.struct("t", "id").alias("key"), "text")
+    return spread(a.unionByName(b).select(F.struct("t", "id").alias("key"), "text"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,7 +172,7 @@ def p7_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents", "doc_id", "text").select("doc_id", packing.token_count(F.col("text")).alias("tokens"))
+    docs = spread(table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", packing.token_count(F.col("text")).alias("tokens"))
     return packing.pack(docs, "doc_id", "tokens").withColumnRenamed("key", "doc_id")
 
 
@@ -180,7 +180,7 @@ def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text", table(spark, sf_dir, "eval_items", "item_id", "text"), "item_id", "text")
+    return leaks.find(spread(table(spark, sf_dir, "documents", "doc_id", "text")), "doc_id", "text", table(spark, sf_dir, "eval_items", "item_id", "text"), "item_id", "text")
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,11 +206,11 @@ SELECT DISTINCT h.doc_id, g.item_id FROM g JOIN h USING (w)
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return garbled.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").select(F.col("key").alias("doc_id")).distinct()
+    return garbled.find(spread(table(spark, sf_dir, "documents", "doc_id", "text")), "doc_id", "text").select(F.col("key").alias("doc_id")).distinct()
 
 
 def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return garbled.find(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text").withColumnRenamed("key", "doc_id")
+    return garbled.find(spread(table(spark, sf_dir, "documents", "doc_id", "text")), "doc_id", "text").withColumnRenamed("key", "doc_id")
 
 
 QUERIES = {
