@@ -124,3 +124,20 @@ def test_leaks_against_brute_force(spark):
     with pytest.raises(ValueError):
         leaks.find(dd, "doc_id", "text", ii, "item_id", "text", least=80)
     assert pa.__version__
+
+
+def test_pairs_with_the_most_edits_allowed(spark):
+    rng = random.Random(9)
+    rows = []
+    for i, n in enumerate([64, 66, 70, 77, 80, 90, 120, 160, 200, 300] * 6):
+        t = [chr(rng.randrange(0xAC00, 0xAC00 + 900)) for _ in range(n)]
+        spread, edits = list(t), int(0.15 * n + 1e-9)
+        for e in range(edits):  # no common stretch longer than six or so
+            spread[min(n - 1, (e * n + n // 2) // edits)] = "힣"
+        rows += [(i, " " * 20 + t[0] + " " * 20 + "".join(t[1:]), "train"), (1000 + i, spread[0] + " " * 40 + "".join(spread[1:]), "eval")]
+        rows.append((2000 + i, noisy(rng, "".join(t), edits) + " " * 30 + "끝", "eval"))
+    df = spark.createDataFrame(rows, "row_id long, output string, split string")
+    sq = {i: "".join(t.split()) for i, t, _ in rows if len(t.strip()) >= 80}
+    want = {(i, j) for i in sq if i < 1000 for j in (1000 + i, 2000 + i) if j in sq and distance(sq[i], sq[j]) <= int(0.15 * max(len(sq[i]), len(sq[j])) + 1e-9)}
+    assert len(want) > 80
+    assert {tuple(r) for r in overlap.row_pairs(df, "row_id", "output", "split").collect()} == want

@@ -1,21 +1,21 @@
 """Same or near-same records across splits.
 
 Texts are compared without their leading tag, case and blanks. Rows with the same text form a class, and
-only classes are joined. The join is a weighted cosine join between the classes of one split and those of
-the other:
-
-* A text's terms are its winnowed ``n``-grams of characters: of every ``w`` consecutive grams the one with
-  the smallest hash, so any common stretch of n + w - 1 characters gives both texts a common term.
-* A term weighs the square of its inverse document frequency on the evaluation side, read from a counter
-  table of fixed size, so that the tables sent to executors do not grow with the data.
-* Terms are ordered by falling weight. A text is listed only under its heaviest terms, until the norm of
-  the rest is below ``t``: two texts of cosine ``t`` or more have a listed term in common. A meeting of two
-  texts under a term is dropped at once if even that term and both rests after it cannot reach ``t``.
-* What remains is summed per pair, and sums that cannot reach ``t`` with the unlisted rests are dropped.
-* Exact dot products over all terms, then the edit distance, decide.
-
-The cosine threshold is far below what texts within ``max_edit`` have (see README), so the edit distance is
-what decides in the end.
+only classes are joined. The join is exact: what it drops cannot be within ``max_edit``.
+
+* A right text of L characters has, to any partner, at most k edits, where k follows from ``max_edit`` and the
+  longest partner L allows. It is listed under k + 1 disjoint grams of L // (k + 1) characters (5 at 15 %), of
+  which one at least is untouched. Which grams, decides a table of least cost: those the left side has least.
+* A left text is listed under all its grams. Both lists are keyed by gram and bucket of places.
+* Of two texts with e edits, the first gram, counted j from 0, that has at most j edits up to its end is
+  untouched and has exactly j edits before it: the places differ by at most j, and counted from the ends of the
+  texts by at most e - j. Meetings that break this, or the lengths, are dropped.
+* A text's signature has a bit for each hash of (character, how often it came before), added modulo 2: an edit
+  changes two bits at most.
+* An edit takes at most two pairs of neighbouring characters from a text: of n characters, n - 1 - 2e are common.
+* The edit distance decides.
+
+Grams of the left side are counted in a table of fixed size, so that what executors get does not grow with the data.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ from ..session import Stage
 from .leaks import rolling
 
 TAG = r"(?U)^\s*\[\d+(?:-\d+)*\]"
-N, W, T = 10, 3, 0.1
-SHORT, SHORT_TOO, SHORT_N = 40, 48, 4
+MOST = 8
+BUCKET, WIDE = 64, 256
 SLOTS = 1 << 22
 BLOCKS = 64
 MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -46,52 +46,141 @@ def squeezed(text: Column) -> Column:
     return F.lower(F.regexp_replace(text, r"(?U)\s+", ""))
 
 
-def _grams(cp: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, row) of every n-gram that lies inside one text."""
-    h = rolling(cp, n)
-    at = np.arange(len(h))
-    row = np.searchsorted(off, at, "right") - 1
-    ok = at + n <= off[row + 1]
-    h = h[ok]
-    h = (h ^ (h >> np.uint64(33))) * MIX
-    return h ^ (h >> np.uint64(29)), row[ok]
+def _hashes(cp: np.ndarray, n: int, kind: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (rolling(cp, n) + np.uint64(kind)) * MIX
+        h = (h ^ (h >> np.uint64(33))) * MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _key(h: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = (h ^ (bucket.astype(np.uint64) + np.uint64(1))) * MIX
+    return (h ^ (h >> np.uint64(31))).view(np.int64)
+
+
+class Plan:
+    """By length up to ``top``: the most edits to any partner, the kind of listing (gram and bucket length), and
+    the shortest and longest partner."""
+
+    def __init__(self, top: int, share: float):
+        if not 0 <= share <= 0.4:
+            raise ValueError("the share of edits is from 0 to 0.4")
+        far = int(top / (1 - share)) + 3
+        size = np.arange(far + 1)
+        more = np.arange(int(far / (1 - share)) + 3)
+        spare = more - np.floor(share * more + 1e-9).astype(np.int64)
+        self.high = np.searchsorted(spare, size, "right") - 1
+        self.low = spare[: far + 1]
+        self.edits = np.floor(share * self.high + 1e-9).astype(np.int64)
+        self.gram = np.minimum(size // (self.edits + 1), MOST)
+        self.bucket = BUCKET << np.maximum(np.floor(np.log2(np.maximum(size, 1) / WIDE)).astype(np.int64) + 1, 0)
+        self.kind = np.where(self.edits > 0, self.bucket * 16 + self.gram, 0)  # without edits only equal texts match
+
+    def kinds_met(self, size: np.ndarray):
+        """(kind, whether a text of each of these lengths has partners of that kind)"""
+        for kind in np.unique(self.kind[self.kind > 0]):
+            seen = np.r_[0, np.cumsum(self.kind == kind)]
+            yield int(kind), seen[np.minimum(self.high[size], len(self.kind) - 1) + 1] > seen[self.low[size]]
+
+
+def all_grams(cp: np.ndarray, off: np.ndarray, share: float):
+    """``(row, place, hash, bucket length)`` of every gram a partner may be listed under."""
+    size = np.diff(off)
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for kind, met in Plan(int(size.max(initial=0)), share).kinds_met(size):
+        n = kind % 16
+        if not met.any() or len(cp) < n:
+            continue
+        h = _hashes(cp, n, kind)
+        at = np.arange(len(h))
+        row = np.searchsorted(off, at, "right") - 1
+        ok = (at + n <= off[row + 1]) & met[row]
+        out.append((row[ok], at[ok] - off[row[ok]], h[ok], np.full(int(ok.sum()), kind // 16)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def cheapest(cost: np.ndarray, n: int, pieces: int) -> np.ndarray:
+    """Places of ``pieces`` disjoint grams of ``n`` characters per row of ``cost`` (by place), of least total cost;
+    for very long texts of least cost in each of as many equal parts."""
+    rows, m = cost.shape
+    size = m + n - 1
+    out = np.zeros((rows, pieces), np.int64)
+    if pieces * size > 1 << 17:
+        cut = np.arange(pieces + 1) * size // pieces
+        for j in range(pieces):
+            out[:, j] = cut[j] + cost[:, cut[j] : cut[j + 1] - n + 1].argmin(axis=1)
+        return out
+    step = max(1, (1 << 21) // (pieces * size))
+    ends = np.arange(size + 1, dtype=np.int32)
+    for lo in range(0, rows, step):
+        c = cost[lo : lo + step]
+        best, back = np.zeros((len(c), size + 1)), []
+        for j in range(pieces):
+            v = np.full(best.shape, np.inf)
+            v[:, n:] = best[:, :m] + c * (2 * min(j, pieces - 1 - j) + 1)  # so many places meet it
+            best = np.minimum.accumulate(v, axis=1)
+            back.append(np.maximum.accumulate(np.where(v == best, ends, 0), axis=1))
+        x = np.full(len(c), size)
+        for j in range(pieces - 1, -1, -1):
+            x = back[j][np.arange(len(c)), x] - n
+            out[lo : lo + step, j] = x
+    return out
 
 
-def terms(cp: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct ``(row, term)`` of a batch, sorted by row."""
+def picked_grams(cp: np.ndarray, off: np.ndarray, share: float, counts: np.ndarray):
+    """``(row, place, order, hash, bucket length)`` of the grams that each text is listed under."""
     size = np.diff(off)
+    plan = Plan(int(size.max(initial=0)), share)
+    out = [(*[np.zeros(0, np.int64)] * 3, np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    hashes: dict[int, np.ndarray] = {}
+    for length in np.unique(size[plan.kind[size] > 0]):
+        kind, pieces = int(plan.kind[length]), int(plan.edits[length]) + 1
+        n = kind % 16
+        if kind not in hashes:
+            hashes[kind] = _hashes(cp, n, kind)
+        rows = np.flatnonzero(size == length)
+        h = hashes[kind][off[rows][:, None] + np.arange(length - n + 1)]
+        seen = counts[(h & np.uint64(SLOTS - 1)).astype(np.int64)]
+        at = cheapest(seen + 0.01, n, pieces)
+        r, j = np.repeat(np.arange(len(rows)), pieces), np.tile(np.arange(pieces), len(rows))
+        at = at.reshape(-1)
+        ok = seen[r, at] > 0  # a gram no left text has meets nothing
+        r, j, at = r[ok], j[ok], at[ok]
+        out.append((rows[r], at, j, h[r, at], np.full(len(r), kind // 16)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def signatures(cp: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """256 bits per text, as four longs."""
+    n = len(off) - 1
+    row = np.repeat(np.arange(n), np.diff(off))
+    key = (row.astype(np.uint64) << np.uint64(32)) | cp.astype(np.uint64)
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    before = np.arange(len(key)) - np.searchsorted(key, key, "left")
     with np.errstate(over="ignore"):
-        h, row = _grams(cp, off, N)
-        if len(h):
-            # smallest hash of each window of W grams; windows of a text shorter than that are cut short
-            low = h.copy()
-            last = np.searchsorted(row, row, "right")
-            for k in range(1, W):
-                nxt = np.minimum(np.arange(len(h)) + k, last - 1)
-                low = np.minimum(low, h[nxt])
-            full = (np.arange(len(h)) + W <= last) | (np.searchsorted(row, row, "left") + W > last)
-            pick = np.zeros(len(h), bool)
-            for k in range(W):
-                src = np.arange(len(h)) - k
-                ok = (src >= 0) & (row[np.maximum(src, 0)] == row)
-                s = np.maximum(src, 0)
-                pick |= ok & full[s] & (low[s] == h)
-            keep = pick & (size[row] >= SHORT)
-            h, row = h[keep], row[keep]
-        h4, row4 = _grams(cp, off, SHORT_N)
-        few = size[row4] < SHORT_TOO
-        h4, row4 = h4[few] ^ np.uint64(1), row4[few]
-        h, row = np.r_[h, h4], np.r_[row, row4]
-        # texts shorter than any gram: the text itself, which only equal texts have, so nothing to join
-    order = np.lexsort((h, row))
-    h, row = h[order], row[order]
-    new = np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])] if len(h) else np.zeros(0, bool)
-    return row[new], h[new]
-
-
-def weigh(h: np.ndarray, counts: np.ndarray, total: int) -> np.ndarray:
-    c = counts[(h & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.float64)
-    return np.log1p(max(total, 1) / (1.0 + c)) ** 2
+        h = ((key & np.uint64(0xFFFFFFFF)) * np.uint64(1 << 24) + before.astype(np.uint64)) * MIX
+        h = (h ^ (h >> np.uint64(33))) * MIX
+    bits = np.bincount(row * 256 + (h >> np.uint64(56)).astype(np.int64), minlength=n * 256) & 1
+    return np.packbits(bits.reshape(n, 256).astype(np.uint8), axis=1).view(np.int64)
+
+
+def alike(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], share: float, bins: int = 1024) -> np.ndarray:
+    """Whether two texts, each of ``a`` and ``b`` code points and offsets, may be within ``share``: by their common
+    pairs of neighbouring characters, counted in ``bins`` (collisions only add common ones)."""
+    n = len(a[1]) - 1
+    counts = []
+    for cp, off in (a, b):
+        row = np.repeat(np.arange(n), np.diff(off))
+        both = row[1:] == row[:-1]
+        with np.errstate(over="ignore"):
+            h = ((cp[:-1].astype(np.uint64) << np.uint64(32)) | cp[1:].astype(np.uint64)) * MIX
+            h = (h ^ (h >> np.uint64(33))) * MIX
+        slot = (h[both] >> np.uint64(32)).astype(np.int64) % bins
+        counts.append(np.bincount(row[1:][both] * bins + slot, minlength=n * bins).reshape(n, bins))
+    size = np.maximum(np.diff(a[1]), np.diff(b[1]))
+    return np.minimum(*counts).sum(axis=1) >= size - 1 - 2 * np.floor(share * size + 1e-9)
 
 
 def edit_within(a: list[str], b: list[str], share: float) -> np.ndarray:
@@ -142,7 +231,7 @@ def edit_within(a: list[str], b: list[str], share: float) -> np.ndarray:
     return out
 
 
-def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", right: str = "train", least: int = 80, max_edit: float = 0.15, t: float = T):
+def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", right: str = "train", least: int = 80, max_edit: float = 0.15):
     """``(rows, pairs)``: ``rows (row, split, cid)`` and ``pairs (lcid, rcid)`` of linked classes.
 
     ``lcid`` is a class with rows in split ``left``, ``rcid`` one with rows in ``right``; a class with rows in both
@@ -164,7 +253,7 @@ def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", ri
         seen = 0
         for b in batches:
             cp, off, _ = explode(b.column(0))
-            _, h = terms(cp, off)
+            h = all_grams(cp, off, max_edit)[2]
             np.add.at(acc, (h & np.uint64(SLOTS - 1)).astype(np.int64), 1)
             seen += b.num_rows
         if seen:
@@ -183,56 +272,46 @@ def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", ri
     counts = np.zeros((BLOCKS, SLOTS // BLOCKS), np.uint32)
     for r in got:
         counts[r.block] = np.frombuffer(r.part, np.uint32)
-    total = sum(r.seen for r in got)
-    shared = spark.sparkContext.broadcast((counts.reshape(-1), total))
+    shared = spark.sparkContext.broadcast(counts.reshape(-1))
 
     def listed(side: str):
         def run(batches):
-            counts, total = shared.value
-            for b in batches:
-                cp, off, _ = explode(b.column(1))
-                row, h = terms(cp, off)
-                w = weigh(h, counts, total)
-                order = np.lexsort((h, -w, row))
-                row, h, w = row[order], h[order], w[order]
-                sq = np.cumsum(w * w)
-                first = np.searchsorted(row, np.arange(len(off) - 1), "left")
-                base = np.r_[0.0, sq][first]
-                norm = np.bincount(row, w * w, minlength=len(off) - 1)
-                rest = np.sqrt(np.maximum(norm[row] - (sq - base[row]), 0) / norm[row])  # after this term
-                before = np.sqrt(np.maximum(rest**2 + w * w / norm[row], 0))
-                keep = before >= t
-                if side == "r":  # a term no left text has meets nothing
-                    keep &= counts[(h & np.uint64(SLOTS - 1)).astype(np.int64)] > 0
-                row, h, w, rest = row[keep], h[keep], (w / np.sqrt(norm[row]))[keep], rest[keep]
-                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(h.view(np.int64)), pa.array(w.astype(np.float32)), pa.array(rest.astype(np.float32))], names=[f"{side}cid", "term", f"{side}w", f"{side}rest"])
-
-        return texts.where(side).select("cid", "body").mapInArrow(run, f"{side}cid long, term long, {side}w float, {side}rest float")
-
-    met = listed("l").join(listed("r"), "term").where(f"lw * rw + lrest * rrest >= {t - 1e-4} and lcid <> rcid")
-    sums = met.groupBy("lcid", "rcid").agg(F.sum(F.col("lw") * F.col("rw")).alias("dot")).where(f"dot + {t * t} >= {t - 1e-4}").select("lcid", "rcid")
-    cand = st.cut(sums)
+            for whole in batches:
+                for lo in range(0, whole.num_rows, 2000):
+                    b = whole.slice(lo, 2000)
+                    cp, off, _ = explode(b.column(1))
+                    if side == "l":
+                        row, at, h, wide = all_grams(cp, off, max_edit)
+                        order, key = np.zeros(len(row), np.int64), _key(h, at // wide)
+                    else:
+                        row, at, order, h, wide = picked_grams(cp, off, max_edit, shared.value)
+                        first = np.maximum(at - order, 0) // wide
+                        many = (at + order) // wide - first + 1
+                        x = np.repeat(np.arange(len(row)), many)
+                        bucket = first[x] + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
+                        row, at, order, key = row[x], at[x], order[x], _key(h[x], bucket)
+                    sig = signatures(cp, off)[row]
+                    ints = [np.diff(off)[row], at] + [order] * (side == "r")
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(key), *[pa.array(x.astype(np.int32)) for x in ints], *[pa.array(np.ascontiguousarray(sig[:, i])) for i in range(4)]], names=names)
+
+        fields = [f"{side}cid long", "term long", f"{side}len int", f"{side}at int", *["nth int"] * (side == "r"), *[f"{side}s{i} long" for i in range(4)]]
+        names = [f.split()[0] for f in fields]
+        return texts.where(side).select("cid", "body").mapInArrow(run, ", ".join(fields))
+
+    most = f"cast(floor({max_edit!r}D * greatest(llen, rlen) + 1e-9D) as int)"
+    fits = f"lcid <> rcid and abs(lat - rat) <= nth and abs(lat - rat - llen + rlen) <= {most} - nth and abs(llen - rlen) <= {most}"
+    bits = " + ".join(f"bit_count(ls{i} ^ rs{i})" for i in range(4))
+    met = listed("l").join(listed("r"), "term").where(f"{fits} and {bits} <= 2 * {most}")
+    cand = st.cut(met.select("lcid", "rcid").distinct())
     cand = cand.join(texts.select(F.col("cid").alias("lcid"), F.col("body").alias("a")), "lcid").join(texts.select(F.col("cid").alias("rcid"), F.col("body").alias("b")), "rcid")
 
     def verify(batches):
-        counts, total = shared.value
-        for rb in batches:
-            n = rb.num_rows
-            sides = []
-            for c in (2, 3):
-                cp, off, _ = explode(rb.column(c))
-                row, h = terms(cp, off)
-                w = weigh(h, counts, total)
-                sides.append((row, h, w, np.bincount(row, w * w, minlength=n)))
-            (r1, h1, w1, n1), (r2, h2, _, n2) = sides
-            pair = np.rec.fromarrays([np.r_[r1, r2], np.r_[h1, h2]], names="r,h")
-            _, inv = np.unique(pair, return_inverse=True)
-            both = np.isin(inv[: len(r1)], inv[len(r1) :])
-            dot = np.bincount(r1[both], (w1 * w1)[both], minlength=n) / np.sqrt(np.maximum(n1 * n2, 1e-12))
-            at = np.flatnonzero(dot >= t - 1e-6)
-            a, b = rb.column(2).take(pa.array(at)).to_pylist(), rb.column(3).take(pa.array(at)).to_pylist()
-            at = at[edit_within(a, b, max_edit)] if len(at) else at
-            yield pa.RecordBatch.from_arrays([rb.column(0).take(pa.array(at)), rb.column(1).take(pa.array(at))], names=["lcid", "rcid"])
+        for whole in batches:
+            for lo in range(0, whole.num_rows, 1000):
+                rb = whole.slice(lo, 1000)
+                rb = rb.filter(pa.array(alike(explode(rb.column(2))[:2], explode(rb.column(3))[:2], max_edit)))
+                at = pa.array(np.flatnonzero(edit_within(rb.column(2).to_pylist(), rb.column(3).to_pylist(), max_edit)))
+                yield pa.RecordBatch.from_arrays([rb.column(0).take(at), rb.column(1).take(at)], names=["lcid", "rcid"])
 
     near = cand.select("lcid", "rcid", "a", "b").mapInArrow(verify, "lcid long, rcid long")
     same = texts.where("l and r").select(F.col("cid").alias("lcid"), F.col("cid").alias("rcid"))
