@@ -141,3 +141,23 @@ def test_pairs_with_the_most_edits_allowed(spark):
     want = {(i, j) for i in sq if i < 1000 for j in (1000 + i, 2000 + i) if j in sq and distance(sq[i], sq[j]) <= int(0.15 * max(len(sq[i]), len(sq[j])) + 1e-9)}
     assert len(want) > 80
     assert {tuple(r) for r in overlap.row_pairs(df, "row_id", "output", "split").collect()} == want
+
+
+def test_no_bound_drops_a_pair_within_the_budget():
+    rng = random.Random(12)
+    counts = np.ones(overlap.SLOTS, np.uint32)
+    for _ in range(300):
+        n = rng.choice([9, 30, 64, 70, 81, 130, 260, 600])
+        a = "".join(rng.choice("가나다라마바사아자차카타파하") for _ in range(n))
+        b = noisy(rng, a, int(0.15 * n))
+        e = int(0.15 * max(len(a), len(b)) + 1e-9)
+        if a == b or distance(a, b) > e:
+            continue
+        (p, x), (q, y) = (overlap.explode(pa.array([t]))[:2] for t in (a, b))
+        assert overlap.alike((p, x), (q, y), 0.15).all()
+        assert np.bitwise_count((overlap.signatures(p, x) ^ overlap.signatures(q, y)).view(np.uint64)).sum() <= 2 * e
+        _, left, h, _ = overlap.all_grams(p, x, 0.15)
+        _, right, nth, g, _ = overlap.picked_grams(q, y, 0.15, counts)
+        d = left[:, None] - right
+        ok = (h[:, None] == g) & (abs(d) <= nth) & (abs(d - len(a) + len(b)) <= e - nth)
+        assert ok.any()
