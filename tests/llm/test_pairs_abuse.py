@@ -92,3 +92,13 @@ def test_against_reviewed_sample(spark):
     v = table(spark, d, "valid", "valid_id", "text").join(table(spark, d, "valid_labels", "valid_id", "abusive"), "valid_id")
     got = v.select("abusive", (abuse.scored(F.col("text")).getField("score") >= abuse.CASE).alias("hit")).collect()
     assert sum(bool(r.abusive) == r.hit for r in got) >= 0.98 * len(got)
+
+
+@pytest.mark.parametrize("text", ["너병신이냐", "존나씨발", "진짜병신같네", "완전 너병1신이네"])
+def test_strong_terms_inside_a_word(text):
+    assert abuse.score_text(text)[0] >= abuse.CASE
+
+
+@pytest.mark.parametrize("text", ["전염병 예방", "질병신고", "다시발송 했어요", "3개년 계획", "초등신입생", "미성년자위반", "건강간식", "다시.발송"])
+def test_harmless_inside_a_word(text):
+    assert abuse.score_text(text)[0] < abuse.CASE

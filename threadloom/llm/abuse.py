@@ -7,6 +7,8 @@ a whole one, and short terms allow less than that. Noise between the letters of
 after single syllables), bare initials, letters typed on the wrong keyboard and doubled syllables lead to
 the same term. Distinct words are looked up once per worker.
 
+A strong term after other syllables of a word counts as it is spelled, unless a harmless word covers part of it.
+
 A hit adds its term's weight to the score of its surroundings: weights within ``WINDOW`` words add up, words
 that mark mention instead of use (reporting, quoting, naming) divide the sum, and words that address somebody
 undo that. The document's score is the highest of its windows; from 1 on it counts as a case.
@@ -38,6 +40,13 @@ LEXICON = {
 INITIALS = {1.2: "ㅅㅂ ㅆㅂ ㅂㅅ ㅄ ㅁㅊㄴ ㅁㅊㄹ ㄱㅅㄲ ㄸㄹㅇㅅㄲ ㅆㄴ ㅅㄲ ㅈㅂ ㄷㅅ ㅈㄹ ㅈㄴ년 ㅈ밥 ㅆㅅㄲ ㄸㄹㅇ ㄷㅊㄹ"}
 # Words that begin like a term and are none.
 HARMLESS = "시발점 시발역 시발택시 씨발라 병신년 병신생 닥쳐올 닥쳐온 새끼손 새끼발 섹시 자위대 자위권 자위적 죽여주 미친듯 등신대 등신불 꺼져가 벗은발 scunthorpe 여자들이랑 쪽지로 박고정 가슴둘레 야한밤 좆나라 보지마 지랄리".split()
+# Words and word joints that hold a strong term across their syllables and are harmless.
+HARMLESS_INSIDE = (
+    "전염병 감염병 질병신 열병신 병신고 병신청 병신체 병신속 다시발 역시발 즉시발 동시발 일시발 임시발 수시발 표시발 도시발 혹시발 필시발 상시발 시발점 시발역 시발송 시발생 시발견 시발표 시발행 시발급 시발매 시발전 시발언 시발령 시발주 시발효 시발달 시발사 시발명 시발자국 "
+    "초등신 고등신 중등신 평등신 균등신 가로등신 형광등신 등신대 등신불 등신청 등신규 등신고 등신입 등신축 자위원 자위치 자위험 자위해 자위반 자위임 자위대 자위권 자위생 자위주 자위로 자위쪽 자위에 "
+    "건강간 한강간 강간식 강간호 강간편 강간다 강간판 분야동 야동네 야동생 야동안 야동물 야동시 야동의 야동료 야동향 야동아리 야동쪽 야동원 개년 호색스 유창녀 "
+    "떡칠판 떡칠십 떡칠천 따먹거리 따먹을거 섹스폰 에섹스 서섹스 웨섹스 미들섹스 써섹스 유니섹스 염병동 무지랄 시팔십 시발라 씨발라 병신년 병신생"
+).split()
 # Words of mention, and words of address.
 MENTION = "신고 욕설 단어 표현 뜻이 어원 금지어 드라마 맛집 달력 동네 검진 주차구역 뉴스 인용".split()
 ADDRESS = "너 네 니 야 글쓴이 너같은 니들 네놈 이놈 you your".split()
@@ -181,6 +190,19 @@ _HARMLESS = [letters(w) for w in HARMLESS]
 _DIGITS = re.compile(r"\d+")
 
 
+# a term of one syllable would be found in too many words
+_INSIDE = {t: w for w, terms in LEXICON.items() if w >= 1.1 for t in terms.split() if len(t) > 1 and all("가" <= c <= "힣" for c in t)}
+_INSIDE_AT = re.compile(f"(?<=[가-힣])(?=({'|'.join(sorted(_INSIDE, key=len, reverse=True))}))")
+_SAFE_AT = re.compile(f"(?=({'|'.join(sorted(HARMLESS_INSIDE, key=len, reverse=True))}))")
+
+
+def inside(form: str) -> list[tuple[str, float]]:
+    """Strong terms after other syllables of the same word, as they are spelled, unless a harmless word has part of them."""
+    found = [(m.start(), m[1]) for m in _INSIDE_AT.finditer(form)]
+    safe = [(m.start(), m.start() + len(m[1])) for m in _SAFE_AT.finditer(form)] if found else []
+    return [(t, _INSIDE[t]) for at, t in found if not any(a < at + len(t) and at < b for a, b in safe)]
+
+
 def word_hits(word: str) -> tuple[tuple[str, float], ...]:
     """Terms in one written word, each once, with its weight. Digits are noise, whichever they are."""
     return _word_hits(_DIGITS.sub("0", word.lower()))
@@ -191,6 +213,11 @@ def _word_hits(low: str) -> tuple[tuple[str, float], ...]:
     forms = {_NOISE.sub("", low), *(_NOISE.sub("", p) for p in _SPLIT.split(low) if len(p) > 1)}
     forms |= {_DOUBLE.sub(r"\1", f) for f in forms}
     out: dict[str, float] = {}
+    # what marks keep apart is no word: each part is searched for itself
+    for p in _SPLIT.split(low):
+        f = _NOISE.sub("", p)
+        for t, w in {*inside(f), *inside(_DOUBLE.sub(r"\1", f))}:
+            out[t] = w
     for f in forms:
         key = letters(f)
         if not key or any(key.startswith(h) for h in _HARMLESS):
