@@ -72,6 +72,12 @@ def test_masking(spark, model):
     assert pii.find(df.limit(0), "id", "text", model).collect() == []
 
 
+def test_names_of_two_syllables(model):
+    texts = ["예금주 김솔 확인하세요", "받는사람: 김솔", "본명은 김솔 입니다", "김솔 드림", "담당자 김솔 앞으로", "저는 김솔 입니다", "김솔 귀하", "이건 정말 좋아요", "택배가 이제 오네요"]
+    _, _, spans = pii.spans_of(pa.array(texts), model)
+    assert [(i, texts[i][a:b]) for i, a, b, _ in spans] == [(i, "김솔") for i in range(7)]
+
+
 GARBLE = [("utf-8", "cp1252"), ("utf-8", "mac_roman"), ("cp949", "cp1252")]
 
 

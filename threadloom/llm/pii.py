@@ -306,13 +306,18 @@ def shaped(kind: str, s: str) -> bool:
     return bool(_HANGUL_NAME.match(s)) and (s[0] in FAMILY or s[:2] in FAMILY_TWO) and not any(s.endswith(t) for t in TITLES)
 
 
+# What a name is given after.
+_NAME_CUE = re.compile(r"(?:(?:예금주|입금자|수취인|계약자|신청자|담당자|예약자|받는\s?(?:사람|분|이)|보내는\s?(?:사람|분|이))(?:명)?(?:은|는|이|가)?|(?:본명|실명|이름|성함|성명)(?:은|이)?)\s*[:：=]?\s*$")
+
+
 def _stands_alone(name: str, before: str, after: str) -> bool:
-    """A name is a word of its own; two syllables, which common words share, need a form of address after them."""
-    if before.isalnum():
+    """A name is a word of its own; two syllables, which common words share, need a cue before or a form of address,
+    or the end of a letter, after them."""
+    if before[-1:].isalnum():
         return False
     if _HANGUL_NAME.match(name):
         if len(name) == 2 and name not in FAMILY_TWO:
-            return bool(re.match(r"\s?(?:씨|님|실장|선생|이고|앞으로)", after))
+            return bool(re.match(r"\s?(?:씨|님|실장|선생|이고|앞으로|드림|올림|배상|귀하)", after) or _NAME_CUE.search(before) or re.search(r"저는\s*$", before) and re.match(r"\s?입니다", after))
         return not name.endswith(("하다", "해요", "네요", "어요"))
     return True
 
@@ -352,7 +357,7 @@ def spans_of(texts: pa.Array, model: tuple[tagger.Params, Alphabet]):
             s = form[x:y].tobytes().decode("utf-32-le")
             if k == 1 and shaped("id_number", s):
                 k = 2
-            around = form[max(x - 1, lo) : x].tobytes().decode("utf-32-le"), form[y : min(y + 4, hi)].tobytes().decode("utf-32-le")
+            around = form[max(x - 12, lo) : x].tobytes().decode("utf-32-le"), form[y : min(y + 4, hi)].tobytes().decode("utf-32-le")
             if shaped(TYPES[k], s) and (k != 4 or _stands_alone(s, *around)):
                 end = int(src[y]) if y < foff[i + 1] else int(off[i + 1])
                 begin = int(src[x])
