@@ -102,3 +102,13 @@ def test_strong_terms_inside_a_word(text):
 @pytest.mark.parametrize("text", ["전염병 예방", "질병신고", "다시발송 했어요", "3개년 계획", "초등신입생", "미성년자위반", "건강간식", "다시.발송"])
 def test_harmless_inside_a_word(text):
     assert abuse.score_text(text)[0] < abuse.CASE
+
+
+def test_copies_refusals_and_short_ends_without_cut_offs():
+    ends = pairs.Endings.__new__(pairs.Endings)
+    ends.chance, ends.enough, ends.rate = (lambda t: 1.0), [True] * 7, [0.0] * 7
+    title = "주말에 보증금 돌려받는 방법 아시는 분 계신가요 알려주세요"
+    why = "이 주제는 개인의 사정에 따라 달라지고 확인할 자료도 없어서 무엇이 맞는지 판단하기 어렵습니다. " * 6
+    outputs = ["아" + title + "요", "죄송하지만 답변을 드릴 수 없습니다. " + why, "죄송하지만 답변을 드릴 수 없습니다. 대신 이렇게 해보세요. " + why, "그건 집에서,", "인정"]
+    got = pairs.judge([f"[POST-TITLE] {title}\n[POST-BODY] 궁금합니다"] * 5, outputs, ends)
+    assert got == ["copy", "refusal", None, "truncated", None]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode, rows_of
 from .leaks import rolling
-from .overlap import edit_within
+from .overlap import alike, edit_within
 
 # Training sentences of the language model.
 SENTENCES = {
@@ -60,6 +60,8 @@ REFUSALS = [
     r"(?:извини|прости|к сожалению)[^.!?]{0,50}не (?:могу|можем)|не могу (?:помочь|ответить|продолжить|написать)",
 ]
 REFUSAL = re.compile("|".join(REFUSALS), re.I)
+# What begins an answer after all.
+ANSWERS = re.compile(r"(?:^|[\s.!?])(?:대신|하지만|그래도|일단|우선|먼저|however|but|instead|here (?:is|are)|that said)\b|(?:^|\s)1[.)]\s", re.I)
 # Words that open something, and marks and laughs that close a sentence.
 OPENERS = re.compile(
     r"(?:^|\s)(?:그리고|그런데|근데|그래서|그러나|하지만|왜냐하면|다만|특히나?|아마도?|게다가|물론|결국은|제가|저는|또|또는|혹은|혹시|혹|및|즉|만약에?|예를 들어|첫째|둘째|그러니까|and|or|but|because|so|the|a|an|of|to|with|that|which|pero|porque|que|de|et|mais|parce que|e|mas|и|но|потому что)[,:]?$",
@@ -205,8 +207,6 @@ def _main_script(text: str) -> int:
 
 def is_truncated(text: str, endings: Endings, least: float = 0.05) -> bool:
     """``text`` without tag and outer blanks."""
-    if len(text) < 12:
-        return False
     body = TAIL.sub("", text)
     if not body:
         return False
@@ -230,12 +230,23 @@ def is_truncated(text: str, endings: Endings, least: float = 0.05) -> bool:
         return True
     if re.search(r"[^\s,]+\s[^\s,]+,\s[^\s,]+\s[^\s,]+\s[^\s,]+$", body):
         return False
+    if len(text) < 12:  # short replies end as they like; see README
+        return False
     script = _main_script(body)
     if script in (1, 3, 4, 5, 6) and (not endings.enough[script] or endings.rate[script] >= 0.9):
         return bool(script)
     return endings.chance(body) < least
 
 
+def refuses(text: str) -> bool:
+    """A longer reply refuses if it begins or ends with a refusal and no answer follows the first one."""
+    m = REFUSAL.search(text)
+    if not m or len(text) <= 240:
+        return bool(m)
+    last = max((x.end() for x in REFUSAL.finditer(text)), default=0)
+    return (m.start() <= 120 or len(text) - last <= 40) and not ANSWERS.search(text, m.end())
+
+
 _VISIBLE = functools.cache(lambda ch: ch.isalnum() or unicodedata.category(ch) in ("So", "Sk", "Sm", "Sc"))
 
 
@@ -265,9 +276,11 @@ def judge(instructions: list, outputs: list, endings: Endings, odds: float = 6.0
             if len(ref) >= 4 and len(x) >= 4:
                 if x == ref:
                     out[i] = "copy"
-                elif len(ref) >= 10 and abs(len(x) - len(ref)) <= 0.1 * max(len(x), len(ref)) and (x[:3] == ref[:3] or x[-3:] == ref[-3:]):
+                elif len(ref) >= 10 and abs(len(x) - len(ref)) <= 0.1 * max(len(x), len(ref)):
                     copies.append((i, x, ref))
     if copies:
+        sides = [explode(pa.array([c[k] for c in copies], pa.string()))[:2] for k in (1, 2)]
+        copies = [c for c, yes in zip(copies, alike(*sides, 0.1)) if yes]
         for (i, _, _), yes in zip(copies, edit_within([c[1] for c in copies], [c[2] for c in copies], 0.1)):
             if yes and out[i] is None:
                 out[i] = "copy"
@@ -276,7 +289,7 @@ def judge(instructions: list, outputs: list, endings: Endings, odds: float = 6.0
     lang_out, odds_out = languages(*explode(pa.array([texts[i] for i in todo], pa.string()))[:2])
     for k, i in enumerate(todo):
         t = texts[i]
-        if len(t) <= 240 and REFUSAL.search(t):
+        if refuses(t):
             out[i] = "refusal"
         elif lang_in[k] >= 0 and lang_out[k] >= 0 and lang_in[k] != lang_out[k] and odds_in[k] > odds and odds_out[k] > odds:
             out[i] = "other_language"
