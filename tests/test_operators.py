@@ -172,3 +172,12 @@ def test_rules():
     assert s.stop == "stagnation"
     assert rules.step({"bigram_jsd": 0.01}, rules.State()).stop == "passed"
     assert rules.step({"bigram_jsd": 0.2}, rules.State(spent=24.9), cost=1).stop == "budget"
+
+
+def test_masked_labels_keep_long_answers(spark, tmp_path):
+    from threadloom.plans import building
+
+    rows = [(1, "질문 " * 150, "답변 " * 200)]
+    spark.createDataFrame(rows, "row_id long, instruction string, output string").write.parquet(f"{tmp_path}/round2_build_tc_sft.parquet")
+    got = building.QUERIES["masked_labels"][0](spark, str(tmp_path)).first()
+    assert 128 < len(got.input_ids) <= 1024 and len(got.labels) == len(got.input_ids) and got.trainable

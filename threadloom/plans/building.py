@@ -145,10 +145,10 @@ def prompt_reference_task(s, d):
 
 @query("masked_labels", None)
 def masked_labels(s, d):
-    """Supervised examples with ignored prompt labels, cut at 128 ids; rows with nothing to learn are marked."""
+    """Supervised examples with ignored prompt labels, cut at 1024 ids; rows with nothing to learn are marked."""
     t = sft(s, d, "row_id", "instruction", "output").where("output is not null")
     t = t.select("row_id", examples.token_ids(F.col("instruction")).alias("p"), examples.token_ids(F.col("output")).alias("a"))
-    e = examples.masked_example(F.col("p"), F.col("a"), 128)
+    e = examples.masked_example(F.col("p"), F.col("a"), 1024)
     return t.select("row_id", *[c.alias(k) for k, c in e.items()])
 
 
