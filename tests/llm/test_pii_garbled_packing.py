@@ -101,6 +101,27 @@ def test_round_trips(spark):
     assert garbled.find(df.limit(0), "doc_id", "text").collect() == []
 
 
+GENUINE = [
+    "“curly” ‘quotes’ … – —", "“Hello” – she said… ‘why’", "‘Ok’ ’90s — “yes”", "It’s “fine” — really…", "That’s €12 per shift…",
+    "L’ÉTÉ à Paris, façade, œuvre – 50 €", "«Où est la clé ?» — À côté… ÉÈÊ", "¿Qué? ¡No! «SÁBADO» — la señora dijo “sí”…", "NÃO, AÇÃO, ÇÃO — «José» disse “não”…",
+    "„Grüße“ – ‚Öl‘ … ÄÖÜ", "그는 “아니요”라고 했어요… ‘왜’ – 50€ 라서", "「彼は“はい”と言った…」—‘OK’ 50€", "Łódź — „tak”… ŻÓŁĆ", "ok � ok",
+]
+
+
+def test_genuine_typography_is_no_case(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents", "doc_id", "text")
+    for m in (garbled.model(docs, "doc_id", "text"), garbled.fit({ord(c): 500 for c in "오늘은 수선했어요 the of and"}, ["오늘 구두를 수선했어요."])):
+        assert [t for t, p in zip(GENUINE, garbled.label([np.array([ord(c) for c in t], np.uint32) for t in GENUINE], m)) if p.any()] == []
+
+
+def test_two_byte_encodings_read_as_western(spark):
+    m = garbled.model(table(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text"), "doc_id", "text")
+    for wrote, t in (("shift_jis", "先週駅前で靴を修理しましたが、とても便利だと聞きました。"), ("cp949", "지하상가 근처 수선집은 미리 예약해야 하더라고요.")):
+        bad = garbled.read_as(t.encode(wrote), "cp1252")
+        path = garbled.label([np.array([ord(c) for c in bad], np.uint32)], m)[0]
+        assert garbled.restore(bad, path, m) == (t, True, [f"{wrote}>cp1252"])
+
+
 def check(rows, capacity):
     by, place = {}, {}
     for r in rows:

@@ -4,11 +4,12 @@ States: one clean state, and one for each pair (encoding the bytes were written
 read in). A path may step from the clean state into a pair's state and back, at a price; the score of a
 character in a pair's state, relative to the clean state, is
 
-* for pairs read in a one-byte encoding and written in UTF-8: what the bytes around it spell. A complete
-  UTF-8 sequence scores the likelihood of the character it spells against that of the characters seen;
-  other non-ASCII characters are nearly impossible there;
-* for the other pairs: the log ratio of its share in simulated garbling to its share in clean text, with
-  a price for forms such text never has.
+* for pairs read in a one-byte encoding: what the bytes around it spell. A complete sequence of the encoding
+  it was written in scores the likelihood of the character it spells against that of the characters seen;
+  other non-ASCII characters are nearly impossible there. One sequence of two bytes is never enough, so
+  curly quotes, dashes and accents of genuine text, which are such bytes too, are no case by themselves;
+* for the other pairs: the log ratio of its share in simulated garbling to its share in clean text. A lone
+  replacement character decides nothing.
 
 Character shares are counted over all documents. The simulation garbles a bounded sample of documents
 (``sample`` rows); its counts are the only thing fitted to a sample. Every labelled span is put through
@@ -40,11 +41,17 @@ PAIRS = [
     ("utf-8>shift_jis", "utf-8", "cp932"),
     ("cp949>utf-8", "cp949", "utf-8"),
 ]
-STRUCT = 2  # the first two are judged by the sequences they spell
+STRUCT = 4  # the first four are judged by the sequences they spell
 PRICE = np.array([9.0, 9.0, 18.0, 18.0, 18.0, 18.0, 18.0])  # of entering, leaving is free
 ASCII_LETTER = np.array([0.02, 0.02, 0.4, 0.2, 0.4, 0.2, 0.4])
 ASCII_OTHER = np.array([0.02, 0.02, 0.02, 0.05, 0.02, 0.05, 0.02])
 IMPOSSIBLE = -12.0
+LOST = 8.0  # score of U+FFFD: below the price of any state, so three of them nearby are needed
+MOST_OF_PAIR = 14.0  # likewise of a sequence of two bytes
+# Characters genuine text may have at any time, however rare in the corpus, with the least log share
+# they are taken to have: signs of typography, European letters, ASCII.
+AT_LEAST = [(-11.5, [*range(0xA0, 0x180)]), (-10.0, [*range(0x2013, 0x2015), *range(0x2018, 0x201F), 0x2020, 0x2022, 0x2026, 0x20AC, 0x2122]), (-8.0, [*range(0x20, 0x7F)])]
+UNSEEN, PLAIN = -24.0, -16.0  # log shares of any other character no document has: where it is spelled, where it stands
 
 
 @functools.cache
@@ -79,6 +86,7 @@ for _b in range(256):
 @dataclass
 class Model:
     logp: np.ndarray  # log share of each BMP code point in clean text
+    plain: np.ndarray  # the same, at least PLAIN
     ratio: np.ndarray  # (len(PAIRS), BMP) log ratios of the table states
     unsafe: np.ndarray  # code points that call for a closer look
 
@@ -89,6 +97,9 @@ def fit(counts: dict[int, int], texts: list[str]) -> Model:
     for k, v in counts.items():
         c[min(k, BMP)] += v
     logp = np.log(c / c.sum())[:BMP]
+    logp[c[:BMP] < 1] = UNSEEN
+    for least, some in AT_LEAST:
+        logp[some] = np.maximum(logp[some], least)
     never = [0xFFFD, *range(0x80, 0xA0)]  # no decoder of the right encoding gives these
     logp[never] = -26.0
     ratio = np.full((len(PAIRS), BMP), -8.0, np.float32)
@@ -112,26 +123,25 @@ def fit(counts: dict[int, int], texts: list[str]) -> Model:
                 ratio[s, ord(k)] = np.log(v / tot) - logp[ord(k)]
         ratio[s] = np.clip(ratio[s], -8, 8)
         ratio[s, never] = np.where(ratio[s, never] > 0, 22.0, ratio[s, never])
-    ratio[:, 0xFFFD] = np.where(ratio[:, 0xFFFD] > -8, 22.0, -8.0)
-    ratio[-1, 0xFFFD] = max(ratio[-1, 0xFFFD], 22.0)  # someone's replacement character
+    ratio[:, 0xFFFD] = np.where(ratio[:, 0xFFFD] > -8, LOST, -8.0)
+    ratio[-1, 0xFFFD] = LOST  # someone's replacement character
     for s in range(len(PAIRS)):
         ratio[s, :0x80] = -ASCII_OTHER[s]
         for a in [*range(65, 91), *range(97, 123)]:
             ratio[s, a] = -ASCII_LETTER[s]
     unsafe = (ratio[STRUCT:] > 0).any(0)
-    for enc in ("cp1252", "mac_roman"):
-        b = byte_of(enc)
-        unsafe |= (b >= 0xC2) & (b <= 0xF4)
+    b = byte_of("mac_roman")
+    unsafe |= (b >= 0xC2) & (b <= 0xF4) | (byte_of("cp1252") >= 0x81)
     unsafe[:0x80] = False
-    return Model(logp, ratio, unsafe)
+    return Model(logp, np.maximum(logp, PLAIN), ratio, unsafe)
 
 
-def _utf8_scores(cp: np.ndarray, enc: str, logp: np.ndarray) -> np.ndarray:
+def _utf8_scores(cp: np.ndarray, enc: str, logp: np.ndarray, plain: np.ndarray) -> np.ndarray:
     """Score per code point of one text in state utf-8>enc."""
     b = byte_of(enc)[np.minimum(cp, BMP - 1)].astype(np.int32)
     b[cp >= BMP] = -1
     n = len(cp)
-    lp = np.maximum(logp[np.minimum(cp, BMP - 1)], -16.0)  # control codes alone prove no UTF-8
+    lp = plain[np.minimum(cp, BMP - 1)]  # control codes alone prove no UTF-8
     score = np.where((b >= 0) & (b < 0x80), -0.02, IMPOSSIBLE)
     pad = np.r_[b, -1, -1, -1]
     cont = (pad >= 0x80) & (pad < 0xC0)
@@ -157,28 +167,61 @@ def _utf8_scores(cp: np.ndarray, enc: str, logp: np.ndarray) -> np.ndarray:
     return score
 
 
-def _letters(cp: np.ndarray) -> np.ndarray:
-    return ((cp >= 65) & (cp <= 90)) | ((cp >= 97) & (cp <= 122))
+@functools.cache
+def _two_bytes(encoding: str) -> np.ndarray:
+    """Lead * 256 + trail -> the code point the two spell, or -1."""
+    out = np.full(1 << 16, -1, np.int32)
+    for lead in range(0x81, 0xFF):
+        for trail in range(0x30, 0xFF):
+            try:
+                c = bytes([lead, trail]).decode(encoding)
+            except UnicodeDecodeError:
+                continue
+            if len(c) == 1:
+                out[lead << 8 | trail] = ord(c)
+    return out
+
+
+def _two_byte_scores(cp: np.ndarray, state: int, logp: np.ndarray, plain: np.ndarray) -> np.ndarray:
+    """Score per code point of one text in the state of an East Asian encoding read as cp1252.
+
+    A run of bytes above ASCII is read from its beginning, as a decoder would: a lead byte takes the byte after
+    it, which may be ASCII. What is left over is as unlikely as any other character."""
+    b = byte_of("cp1252")[np.minimum(cp, BMP - 1)].astype(np.int32)
+    b[cp >= BMP] = -1
+    n = len(cp)
+    ascii_ = (b >= 0) & (b < 0x80)
+    letter = ascii_ & ((b | 32) >= 97) & ((b | 32) <= 122)
+    score = np.where(letter, -ASCII_LETTER[state], np.where(ascii_, -ASCII_OTHER[state], -8.0))
+    high = b >= 0x80
+    if not high.any():
+        return score
+    lp = plain[np.minimum(cp, BMP - 1)]
+    nxt = np.r_[b[1:], -1]
+    spelled = np.where(high & (nxt >= 0), _two_bytes(PAIRS[state][1])[(np.maximum(b, 0) << 8 | np.maximum(nxt, 0)) & 0xFFFF], -1)
+    before = np.r_[False, high[:-1]]
+    heads = []
+    cur = np.flatnonzero(high & ~before)
+    while len(cur):
+        ok = spelled[cur] >= 0
+        heads.append(cur[ok])
+        cur = cur + 1 + ok
+        cur = cur[cur < n]
+        cur = cur[high[cur] & before[cur]]
+    at = np.concatenate(heads)
+    each = np.clip(logp[spelled[at]] - lp[at] - lp[at + 1], -16.0, MOST_OF_PAIR) / 2
+    score[at] = score[at + 1] = each
+    return score
 
 
 def scores(cp: np.ndarray, m: Model) -> np.ndarray:
     """(len(PAIRS), n) scores of one text."""
     r = m.ratio[:, np.minimum(cp, BMP - 1)].astype(np.float64)
     r[:, cp >= BMP] = -8.0
-    high = cp >= 0x80
-    r[0] = _utf8_scores(cp, "cp1252", m.logp)
-    r[1] = _utf8_scores(cp, "mac_roman", m.logp)
-    # cp949 read as cp1252 comes in runs of even length, apart from ASCII letters
-    h = np.r_[False, (cp >= 0xA1) & (cp < 0x2200) & (byte_of("cp1252")[np.minimum(cp, BMP - 1)] >= 0x80), False]
-    start, end = np.flatnonzero(~h[:-1] & h[1:]), np.flatnonzero(h[:-1] & ~h[1:])
-    if len(start):
-        letter = np.r_[False, _letters(cp), False]
-        odd = ((end - start) % 2 == 1) & (end - start < 6)
-        price = odd * 8.0 + letter[start] * 7.0 + letter[end + 1] * 7.0
-        r[2, start] -= price
-    # shift_jis: a trail byte in ASCII belongs to the lead before it
-    lead = np.r_[False, ((cp >= 0x80) & (cp < 0xA0))[:-1]]
-    r[3, lead & ~high] = 0.0
+    r[0] = _utf8_scores(cp, "cp1252", m.logp, m.plain)
+    r[1] = _utf8_scores(cp, "mac_roman", m.logp, m.plain)
+    r[2] = _two_byte_scores(cp, 2, m.logp, m.plain)
+    r[3] = _two_byte_scores(cp, 3, m.logp, m.plain)
     return r
 
 
