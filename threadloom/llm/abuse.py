@@ -7,11 +7,15 @@ a whole one, and short terms allow less than that. Noise between the letters of
 after single syllables), bare initials, letters typed on the wrong keyboard and doubled syllables lead to
 the same term. Distinct words are looked up once per worker.
 
-A strong term after other syllables of a word counts as it is spelled, unless a harmless word covers part of it.
-
-A hit adds its term's weight to the score of its surroundings: weights within ``WINDOW`` words add up, words
-that mark mention instead of use (reporting, quoting, naming) divide the sum, and words that address somebody
-undo that. The document's score is the highest of its windows; from 1 on it counts as a case.
+The automaton starts at the beginning of a word, again after every term found and after words that lead up to
+an insult when written without a blank (``INTRO``), as often as the word goes on. After any other syllable a strong
+term counts as it is spelled, unless a harmless word covers part of it.
+
+A hit adds its term's weight to the score of its surroundings: weights within ``WINDOW`` words add up. Words that
+only support others (``SUPPORT``) count beside a term that is none of them; names of groups (``GROUPS``) count once,
+beside words that degrade; insults count more right after words that address somebody. Words that mark mention
+instead of use (reporting, quoting, naming) divide the sum, and words of address undo that. The document's score
+is the highest of its windows; from 1 on it counts as a case.
 """
 
 from __future__ import annotations
@@ -32,10 +36,20 @@ LEXICON = {
     "섹스 쎅스 야동 자위 떡칠 빨아줄 빨아줘 따먹 강간 딸딸이 byungsin byeongsin shibal sibal ssibal ssival gaesaekki gaesaeki michinnom michinnyeon jiral fuck fck fucking motherfucker bitch cunt whore slut asshole nigger faggot",
     1.1: "죽여버 뭉개버 패버린 뒤져라 뒤져버 뒈져 뒈질 짱깨 쪽바리 틀딱 맘충 한남충 된장녀 김치녀 급식충 홍어새끼 깜둥이 튀기새끼",
     0.8: "극혐 종특 미개해 미개한 내쫓아야 벌레같은 낯짝 아가리 ㅅㅅ 부숴줄 부숴버 찢어버 알몸 원나잇 주무르 nudes nude retard idiot moron",
-    0.6: "닥쳐 꺼져 쓰레기야 쓰레기들 키웠냐 박고 야한짓 벗고찍은 만지고싶 worthless pathetic trash 취급 사냐 조심해라 벗은 쳐맞 패줄 죽인다",
+    0.6: "닥쳐 꺼져 쓰레기야 쓰레기들 키웠냐 박고 야한짓 벗고찍은 만지고싶 worthless pathetic trash 취급 사냐 조심해라 벗은 쳐맞 패줄 죽인다 stupid dumb",
     0.5: "쓰레기 없어졌으면 야한 모텔 벗고 더럽다 역겹 만지고 찾아간다 찾아가서 밤길 것들 scum 달지마 파트너 엉덩이 빠구리 젖꼭지 ㅈㅈ",
-    0.4: "놈들 가슴 망한다 토나온다 두고봐 장애인 외국인 난민 이교도 시골것 조선족 동남아 흑인 여자들 남자들 노인네 답없다 그만좀 아니냐 찍은 판다 구함 얼굴 싶다 싶어 쪽지 교환할 tonight wanna stupid",
+    0.4: "놈들 가슴 망한다 토나온다 두고봐 장애인 외국인 난민 이교도 시골것 조선족 동남아 흑인 여자들 남자들 노인네 답없다 그만좀 아니냐 찍은 판다 구함 얼굴 싶다 싶어 쪽지 교환할 tonight wanna",
 }
+# Terms that are names of groups; terms that degrade one; terms that say nothing by themselves; insults
+# that name a person; what must stand within two words before a term.
+GROUPS = set("장애인 외국인 난민 이교도 시골것 조선족 동남아 흑인 여자들 남자들 노인네".split())
+DEGRADING = set("극혐 종특 미개해 미개한 내쫓아야 벌레같은 없어졌으면 더럽다 역겹 것들 취급 놈들 망한다 토나온다 쓰레기 쓰레기야 쓰레기들 꺼져 닥쳐 답없다 scum trash worthless pathetic stupid dumb".split())
+SUPPORT = set("얼굴 싶다 싶어 쪽지 교환할 찍은 판다 구함 아니냐 그만좀 모텔 파트너 달지마 두고봐 찾아간다 찾아가서 밤길 tonight wanna".split())
+INSULTS = set("쓰레기야 벌레같은 idiot moron retard stupid dumb trash pathetic worthless scum".split())
+NEEDS = {"취급": "사람"}
+# Words that lead up to an insult in one written word; words that make the next ones an insult of somebody.
+INTRO = "이런 저런 그런 이딴 저딴 완전 진짜 정말 존나 졸라 개같은 너 니 네 넌 너는 이 저 아 야 아오 에이 어휴 뭔 무슨 왜 걍 그냥 미친".split()
+TOWARDS = set("you u ur you're youre you’re 너 넌 니가 너는 너도 니네 너희 당신은 넌진짜".split())
 # Initials that stand for a term, taken only as a word's beginning.
 INITIALS = {1.2: "ㅅㅂ ㅆㅂ ㅂㅅ ㅄ ㅁㅊㄴ ㅁㅊㄹ ㄱㅅㄲ ㄸㄹㅇㅅㄲ ㅆㄴ ㅅㄲ ㅈㅂ ㄷㅅ ㅈㄹ ㅈㄴ년 ㅈ밥 ㅆㅅㄲ ㄸㄹㅇ ㄷㅊㄹ"}
 # Words that begin like a term and are none.
@@ -98,15 +112,17 @@ def _gap(c: str, before: str) -> float:
 
 
 class Trie:
-    __slots__ = ("next", "term", "most")
+    __slots__ = ("next", "term", "most", "deep")
 
     def __init__(self):
         self.next: dict[str, Trie] = {}
         self.term: tuple[str, float, float] | None = None
         self.most = 0.0  # largest budget of the terms below
+        self.deep = 0  # letters of the longest term below
 
     def add(self, key: str, term: str, weight: float, budget: float) -> None:
         node = self
+        self.deep = max(self.deep, len(key))
         for c in key:
             node.most = max(node.most, budget)
             node = node.next.setdefault(c, Trie())
@@ -146,7 +162,7 @@ def match(key: str, root: Trie | None = None) -> list[tuple[str, float, int]]:
     """
     root = root or lexicon()
     found: dict[str, tuple[float, int]] = {}
-    n = min(len(key), 18)
+    n = min(len(key), root.deep + REACH)  # no path within budget reaches farther
     first = [0.0]
     for j in range(min(n, REACH)):
         first.append(first[-1] + _gap(key[j], key[j - 1] if j else ""))
@@ -222,61 +238,104 @@ def _word_hits(low: str) -> tuple[tuple[str, float], ...]:
         key = letters(f)
         if not key or any(key.startswith(h) for h in _HARMLESS):
             continue
-        at, step = 0, 0
-        while at < len(key) and step < 4:  # a word may be several terms in one
-            got = match(key[at:])
-            if not got:
-                break
-            for t, w, _ in got:
-                out[t] = max(out.get(t, 0), w)
-            at += max(max(u for _, _, u in got), 1)
-            step += 1
-    # one spelling is one hit: nearby terms reached by edits do not add up
+        for t, w in from_starts(key):
+            out[t] = max(out.get(t, 0), w)
     strong = [(t, w) for t, w in out.items() if w >= 1.1]
-    if strong:
-        best = max(strong, key=lambda x: x[1])
-        return (best, *((t, w) for t, w in out.items() if w < 1.1))
-    return tuple(out.items())
+    return (*_best(strong), *((t, w) for t, w in out.items() if w < 1.1))
+
+
+def _best(found: list[tuple[str, float]]) -> list[tuple[str, float]]:
+    """One spelling is one hit of its kind: terms that edits turn into each other do not add up."""
+    best: dict[str, tuple[str, float]] = {}
+    for t, w in sorted(found, key=lambda x: (-x[1], x[0])):
+        best.setdefault("strong" if w >= 1.1 else "group" if t in GROUPS else "support" if t in SUPPORT else "plain", (t, w))
+    return list(best.values())
+
+
+_INTRO = tuple(letters(w) for w in INTRO)
+
+
+def from_starts(key: str) -> list[tuple[str, float]]:
+    """Terms that the letters of a word spell from its beginning, after a term or after words of ``INTRO``."""
+    todo, seen, out = [0], {0}, []
+    while todo:
+        at = todo.pop()
+        got = match(key[at:])
+        out += _best([(t, w) for t, w, _ in got])
+        ends = [at + len(i) for i in _INTRO if key.startswith(i, at)]
+        if got:
+            ends.append(at + max(max(u for _, _, u in got), 1))
+        for e in ends:
+            if e < len(key) and e not in seen:
+                seen.add(e)
+                todo.append(e)
+    return out
+
+
+@functools.lru_cache(100_000)
+def _spelled_out(form: str) -> tuple[tuple[str, float], ...]:
+    key = letters(form)
+    if any(key.startswith(h) for h in _HARMLESS):
+        return ()
+    return tuple((t, w) for t, w, _ in match(key) if w >= 1.1)
 
 
 _MENTION = tuple(MENTION)
 _ADDRESS = frozenset(ADDRESS)
 
 
+def _syllable(w: str) -> bool:
+    return len(w) == 1 and ("가" <= w <= "힣" or "ㄱ" <= w <= "ㆎ")
+
+
 def score_text(text: str) -> tuple[float, list[str]]:
     """``(score, terms of the best window)`` of a text in unified form."""
     joined = text.split()
     hits: list[tuple[int, str, float]] = []
     for i, w in enumerate(joined):
-        if w:
-            for t, x in word_hits(w):
+        for t, x in word_hits(w):
+            if t not in NEEDS or any(v.startswith(NEEDS[t]) for v in joined[max(0, i - 2) : i + 1]):
                 hits.append((i, t, x))
     # spelled-out words: a run of single syllables and the word after it, of which the first may be an ending
-    for i, w in enumerate(joined):
-        if len(w) == 1 and ("가" <= w <= "힣" or "ㄱ" <= w <= "ㆎ"):
-            acc = w
-            for nxt in joined[i + 1 : i + 5]:
-                acc += nxt
-                if len(nxt) > 1:
-                    break
-            for t, x in word_hits(acc) if len(acc) > 1 else ():
-                if x >= 1.1 and len(letters(t)) > len(letters(w)):
-                    hits.append((i, t, x))
+    i = 0
+    while i < len(joined):
+        if not _syllable(joined[i]):
+            i += 1
+            continue
+        end = i
+        while end < len(joined) and _syllable(joined[end]):
+            end += 1
+        run = "".join(joined[i : end + 1])
+        most = lexicon().deep + REACH  # syllables that may matter from any start
+        for k in range(i, end):
+            form = _NOISE.sub("", run[k - i : k - i + most].lower())
+            for f in {form, _DOUBLE.sub(r"\1", form)} if len(form) > 1 else ():
+                for t, x in _spelled_out(f):
+                    if len(letters(t)) > len(letters(joined[k])):
+                        hits.append((k, t, x))
+        i = end
     if not hits:
         return 0.0, []
     hits.sort()
     best, terms = 0.0, []
-    for i, _, _ in hits:
-        near = [(t, x) for k, t, x in hits if 0 <= k - i <= WINDOW]
-        if not near:
-            continue
-        total = sum(dict(near).values())
+    for first in range(len(hits)):
+        i, near = hits[first][0], {}
+        for k, t, x in hits[first:]:
+            if k - i > WINDOW:
+                break
+            towards = t in INSULTS and not TOWARDS.isdisjoint(v.lower() for v in joined[max(0, k - 3) : k])
+            near[t] = max(near.get(t, 0.0), x + 0.4 * towards)
+        total = sum(x for t, x in near.items() if t not in GROUPS and t not in SUPPORT)
+        if total:
+            total += sum(x for t, x in near.items() if t in SUPPORT)
+            if not DEGRADING.isdisjoint(near):
+                total += max((x for t, x in near.items() if t in GROUPS), default=0.0)
         around = joined[max(0, i - 3) : i + WINDOW + 1]
-        mention = any(w.startswith(_MENTION) or m in w for w in around for m in ("라는", "이라는") if w) or any(w.startswith(_MENTION) for w in around)
+        mention = any(w.startswith(_MENTION) or "라는" in w for w in around)
         if mention and not any(w.lower() in _ADDRESS for w in around):
             total *= 0.5
         if total > best:
-            best, terms = total, [t for t, _ in near]
+            best, terms = total, list(near)
     return best, terms
 
 
