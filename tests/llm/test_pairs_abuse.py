@@ -106,9 +106,34 @@ def test_harmless_inside_a_word(text):
 
 def test_copies_refusals_and_short_ends_without_cut_offs():
     ends = pairs.Endings.__new__(pairs.Endings)
-    ends.chance, ends.enough, ends.rate = (lambda t: 1.0), [True] * 7, [0.0] * 7
+    ends.whole = lambda t: 1.0
     title = "주말에 보증금 돌려받는 방법 아시는 분 계신가요 알려주세요"
     why = "이 주제는 개인의 사정에 따라 달라지고 확인할 자료도 없어서 무엇이 맞는지 판단하기 어렵습니다. " * 6
     outputs = ["아" + title + "요", "죄송하지만 답변을 드릴 수 없습니다. " + why, "죄송하지만 답변을 드릴 수 없습니다. 대신 이렇게 해보세요. " + why, "그건 집에서,", "인정"]
     got = pairs.judge([f"[POST-TITLE] {title}\n[POST-BODY] 궁금합니다"] * 5, outputs, ends)
     assert got == ["copy", "refusal", None, "truncated", None]
+
+
+def test_one_rule_for_scripts_with_few_and_many_rows(spark):
+    cut, whole = "We waited at the counter for a while and then the", "We waited at the counter for a while. Then they closed."
+    for n in (1, 19, 20, 21, 300):
+        rows = [(i, None, f"They repaired the lamp in {i} days. I paid at the counter.") for i in range(n)] + [(-1, None, cut), (-2, None, whole)]
+        df = spark.createDataFrame(rows, "row_id long, instruction string, output string")
+        assert [tuple(r) for r in pairs.defects(df, "row_id", "instruction", "output").collect()] == [(-1, "truncated")]
+
+
+def test_refusals_by_place_and_not_by_length():
+    why = "그 부분은 사정에 따라 다르고 자료도 부족해서 판단이 어려운 것 같습니다. "
+    for n in (0, 3, 12, 200):
+        assert pairs.refuses("죄송하지만 답변을 드릴 수 없습니다. " + why * n) and pairs.refuses(why * n + "그래서 답변을 드릴 수 없습니다.")
+        assert not pairs.refuses("죄송하지만 답변을 드릴 수 없습니다. 대신 이렇게 해보세요. " + why * n)
+
+
+def test_counters_are_summed_over_partitions(spark):
+    import numpy as np
+
+    from threadloom.llm.counting import slot_counts
+
+    df = spark.range(1000).repartition(7)
+    got = slot_counts(df, 70_000, lambda b, acc: np.add.at(acc, b.column(0).to_numpy() * 69, 2))
+    assert got.sum() == 2000 and (got[::69][:1000] == 2).all() and (slot_counts(df.limit(0), 5, lambda b, acc: None) == 0).all()

@@ -5,8 +5,9 @@
 * End of text: over all responses, every suffix of up to four characters is counted, and how often a mark
   that ends a sentence (or a laugh) follows it inside the text. Only places inside texts are counted, so
   responses that break off teach nothing about endings. Shorter suffixes smooth longer ones. A response that
-  ends without a mark is ``truncated`` if such a mark is unlikely there. In scripts whose responses nearly
-  always end with a mark, its absence is the evidence. Lists and open brackets have shapes of their own.
+  ends without a mark is ``truncated`` if that is less likely of a whole one: by the odds of an end there, times
+  the share of responses in its script that end without a mark. Both are smoothed, so that few rows change no
+  rule. Lists and open brackets have shapes of their own; fewer than three words are judged by shape only.
 * Counts sit in a table of fixed size, added up over all partitions.
 """
 
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode, rows_of
+from .counting import slot_counts
 from .leaks import rolling
 from .overlap import alike, edit_within
 
@@ -76,7 +78,7 @@ LABEL = re.compile(r"\[POST-(?:TITLE|BODY)\]")
 TAG = re.compile(r"^\s*\[\d+(?:-\d+)*\]")
 JAMO = re.compile("[ㄱ-ㆎ]")
 
-SLOTS, BLOCKS, ORDER = 1 << 21, 32, 4
+SLOTS, ORDER = 1 << 21, 4
 BITS = 15
 
 
@@ -151,9 +153,10 @@ def _suffix_slots(cp: np.ndarray, n: int) -> np.ndarray:
 _MARKS = np.array([ord(c) for c in END_MARK + LAUGH], np.uint32)
 
 
-def count_endings(cp: np.ndarray, off: np.ndarray, seen: np.ndarray, marked: np.ndarray, ends: np.ndarray) -> None:
-    """Adds a batch: suffixes of 1 to ORDER characters, and those a mark follows; ``ends``: per script, texts
-    and texts that end with a mark."""
+def count_endings(cp: np.ndarray, off: np.ndarray, acc: np.ndarray) -> None:
+    """Adds a batch: suffixes of 1 to ORDER characters, those a mark follows, and per script the texts and the
+    texts that end with a mark."""
+    seen, marked, ends = acc[:SLOTS], acc[SLOTS : 2 * SLOTS], acc[2 * SLOTS :].reshape(2, 7)
     row = rows_of(off)
     size = np.diff(off)
     # a blank before a laugh belongs to it; the place after the last character is no evidence
@@ -181,10 +184,17 @@ def count_endings(cp: np.ndarray, off: np.ndarray, seen: np.ndarray, marked: np.
 
 
 class Endings:
-    def __init__(self, seen: np.ndarray, marked: np.ndarray, ends: np.ndarray):
-        self.seen, self.marked = seen, marked
-        self.rate = ends[1] / np.maximum(ends[0], 1)
-        self.enough = ends[0] >= 20
+    PRIOR, WEIGHT = 0.95, 20  # share of texts that end with a mark, and the texts it stands for
+
+    def __init__(self, acc: np.ndarray):
+        acc = np.minimum(acc, 0xFFFFFFFF).astype(np.uint32)
+        self.seen, self.marked, ends = acc[:SLOTS], acc[SLOTS : 2 * SLOTS], acc[2 * SLOTS :].reshape(2, 7).astype(float)
+        self.bare = 1 - (ends[1] + self.PRIOR * self.WEIGHT) / (ends[0] + self.WEIGHT)
+
+    def whole(self, text: str) -> float:
+        """Odds of a whole text against one that breaks off, for one that ends with these characters and no mark."""
+        p = self.chance(text)
+        return p / (1 - p + 1e-9) * self.bare[_main_script(text)]
 
     def chance(self, text: str) -> float:
         """Chance of a mark after ``text``: shorter suffixes smooth longer ones, and the best of the suffixes
@@ -205,8 +215,8 @@ def _main_script(text: str) -> int:
     return int(h.argmax()) if h.sum() >= 15 else 0
 
 
-def is_truncated(text: str, endings: Endings, least: float = 0.05) -> bool:
-    """``text`` without tag and outer blanks."""
+def is_truncated(text: str, endings: Endings, least: float = 0.0125) -> bool:
+    """``text`` without tag and outer blanks; ``least``: the odds below which it breaks off."""
     body = TAIL.sub("", text)
     if not body:
         return False
@@ -230,21 +240,23 @@ def is_truncated(text: str, endings: Endings, least: float = 0.05) -> bool:
         return True
     if re.search(r"[^\s,]+\s[^\s,]+,\s[^\s,]+\s[^\s,]+\s[^\s,]+$", body):
         return False
-    if len(text) < 12:  # short replies end as they like; see README
+    if len(body.split()) < 3:  # no clause whose end could be missing; see README
         return False
-    script = _main_script(body)
-    if script in (1, 3, 4, 5, 6) and (not endings.enough[script] or endings.rate[script] >= 0.9):
-        return bool(script)
-    return endings.chance(body) < least
+    return endings.whole(body) < least
+
+
+_SENTENCE = re.compile(r"[.!?。！？](?=\s|$)|\n|[。！？]")
 
 
 def refuses(text: str) -> bool:
-    """A longer reply refuses if it begins or ends with a refusal and no answer follows the first one."""
+    """A reply refuses if a refusal stands in its first two sentences, or with at most two sentences after it, and
+    no answer follows the first one. Its length plays no part."""
     m = REFUSAL.search(text)
-    if not m or len(text) <= 240:
-        return bool(m)
-    last = max((x.end() for x in REFUSAL.finditer(text)), default=0)
-    return (m.start() <= 120 or len(text) - last <= 40) and not ANSWERS.search(text, m.end())
+    if not m:
+        return False
+    last = max(x.end() for x in REFUSAL.finditer(text))
+    placed = len(_SENTENCE.findall(text, 0, m.start())) < 2 or len(_SENTENCE.findall(text, last)) <= 3
+    return placed and not ANSWERS.search(text, m.end())
 
 
 _VISIBLE = functools.cache(lambda ch: ch.isalnum() or unicodedata.category(ch) in ("So", "Sk", "Sm", "Sc"))
@@ -299,36 +311,13 @@ def judge(instructions: list, outputs: list, endings: Endings, odds: float = 6.0
 
 
 def endings_of(df: DataFrame, output: str) -> Endings:
-    """Counts the endings of all responses; what comes to the driver is three tables of fixed size."""
+    """Counts the endings of all responses; what comes to the driver is one table of fixed size."""
 
-    def count(batches):
-        seen, marked, ends = np.zeros(SLOTS, np.uint32), np.zeros(SLOTS, np.uint32), np.zeros((2, 7), np.int64)
-        for b in batches:
-            cp, off, _ = explode(b.column(0))
-            count_endings(cp, off, seen, marked, ends)
-        if ends[0].sum():
-            s, m = seen.reshape(BLOCKS, -1), marked.reshape(BLOCKS, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(BLOCKS), pa.int32()), pa.array([np.concatenate([a, b]).tobytes() for a, b in zip(s, m)], pa.binary()), pa.array([ends.tobytes()] + [b"\0" * ends.nbytes] * (BLOCKS - 1), pa.binary())],
-                names=["block", "part", "ends"],
-            )
-
-    def add(table):
-        total = np.zeros(2 * SLOTS // BLOCKS, np.uint64)
-        ends = np.zeros((2, 7), np.int64)
-        for p, e in zip(table.column("part"), table.column("ends")):
-            total += np.frombuffer(p.as_py(), np.uint32)
-            ends += np.frombuffer(e.as_py(), np.int64).reshape(2, 7)
-        return pa.table({"block": table.column("block").slice(0, 1), "part": pa.array([np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()], pa.binary()), "ends": pa.array([ends.tobytes()], pa.binary())})
-
-    shape = "block int, part binary, ends binary"
-    got = df.select(output).where(F.col(output).isNotNull()).mapInArrow(count, shape).groupBy("block").applyInArrow(add, shape).collect()
-    seen, marked, ends = np.zeros((BLOCKS, SLOTS // BLOCKS), np.uint32), np.zeros((BLOCKS, SLOTS // BLOCKS), np.uint32), np.zeros((2, 7), np.int64)
-    for r in got:
-        both = np.frombuffer(r.part, np.uint32)
-        seen[r.block], marked[r.block] = both[: SLOTS // BLOCKS], both[SLOTS // BLOCKS :]
-        ends += np.frombuffer(r.ends, np.int64).reshape(2, 7)
-    return Endings(seen.reshape(-1), marked.reshape(-1), ends)
+    def add(b: pa.RecordBatch, acc: np.ndarray) -> None:
+        cp, off, _ = explode(b.column(0))
+        count_endings(cp, off, acc)
+
+    return Endings(slot_counts(df.select(output).where(F.col(output).isNotNull()), 2 * SLOTS + 14, add))
 
 
 def defects(df: DataFrame, key: str, instruction: str, output: str) -> DataFrame:
