@@ -45,6 +45,17 @@ def ship(spark: SparkSession) -> None:
     sc._threadloom_shipped = True
 
 
+def ship_file(path: str) -> None:
+    """Sends a file to the executors, once per application; workers find it by ``SparkFiles.get``."""
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        return
+    sent = spark.sparkContext.__dict__.setdefault("_threadloom_files", set())
+    if path not in sent:
+        spark.sparkContext.addFile(path)
+        sent.add(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """One input table; naming the columns keeps the scan's ReadSchema to them."""
     ship(spark)
@@ -65,12 +76,15 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in spark.checkpoint.dir.
 
-    Only where the setting is absent (tests, local runs) a folder of our own is made.
+    Only where the setting is absent on a local master (tests, local runs) a folder of our own is made; on a cluster
+    its absence is an error, since a machine's own folder is not shared.
     """
     global _OWN_DIR
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     if _OWN_DIR is None:
         _OWN_DIR = "file://" + tempfile.mkdtemp(prefix="threadloom-")
         spark.sparkContext.setCheckpointDir(_OWN_DIR)
