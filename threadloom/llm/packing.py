@@ -13,7 +13,8 @@ capacity and a rest; nothing else is cut. Each round
 4. opens new containers: at first one for each item above half the capacity, then, before a round, what the
    sum of the remaining sizes asks for beyond the room there is.
 
-Rounds repeat until every item has its container. Gaps too small for the smallest item left are closed.
+Rounds repeat until every item has its container: the largest item left always has a gap that holds it, so each
+round places one at least. Gaps too small for the smallest item left are closed.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from __future__ import annotations
 import base64
 import bisect
 import functools
+import os
 
 import numpy as np
 import pandas as pd
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import Stage
+from ..session import Stage, ship_file
 
 CAPACITY = 2048
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
@@ -40,13 +42,17 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 def encoder(path: str):
     import tiktoken
 
-    with open(path, "rb") as f:
+    from pyspark import SparkFiles
+
+    there = SparkFiles.get(os.path.basename(path))  # as sent by the driver; else the path itself
+    with open(there if os.path.exists(there) else path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 def token_count(text: Column, path: str = TOKENIZER) -> Column:
-    """Tokens of the whole text; null counts 0."""
+    """Tokens of the whole text; null counts 0. The vocabulary file is sent to the executors."""
+    ship_file(path)
 
     @F.arrow_udf("long")
     def count(t: pa.Array) -> pa.Array:
@@ -81,7 +87,7 @@ def _sweep(sizes: np.ndarray, is_gap: np.ndarray, ids: np.ndarray, floor: int) -
     return placed, [x for x in room[::-1] if x[0] >= least], items
 
 
-def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, per_range: int = 50_000, rounds: int = 200) -> DataFrame:
+def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, per_range: int = 50_000) -> DataFrame:
     """``items (key, size)`` -> ``(key, piece, size, container, place)``, place counting from 1 in a container.
 
     Items with null key or null, zero or negative size take no room and get no row. An item larger than the
@@ -104,9 +110,10 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, per_ra
     gaps = st.cut(big.select(F.col("id").alias("gap"), (F.lit(capacity) - F.col("size")).alias("room")).where("room > 0"))
     todo = st.cut(base.where(F.col("size") * 2 <= capacity).select("id", "size"))
     schema = "kind int, id long, gap long, size long, part int, rank long"
-    opened, before = -1, 0  # containers without a big item have numbers of their own, below zero
+    opened, before, rnd = -1, 0, 0  # containers without a big item have numbers of their own, below zero
 
-    for rnd in range(1, rounds + 1):
+    while True:
+        rnd += 1
         left = todo.agg(F.count("*").alias("n"), F.min("size").alias("least"), F.max("size").alias("most"), F.sum("size").alias("total")).first()
         if not left.n:
             break
@@ -173,8 +180,6 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY, per_ra
         gaps = gaps.join(used, "gap", "left").select("gap", (F.col("room") - F.coalesce("used", F.lit(0))).alias("room")).where("room > 0")
         gaps = st.cut(gaps)
         todo = st.cut(todo.join(placed.select("id"), "id", "left_anti"))
-    else:
-        raise RuntimeError("packing did not end")
 
     out = done[0]
     for d in done[1:]:
