@@ -161,3 +161,13 @@ def test_no_bound_drops_a_pair_within_the_budget():
         d = left[:, None] - right
         ok = (h[:, None] == g) & (abs(d) <= nth) & (abs(d - len(a) + len(b)) <= e - nth)
         assert ok.any()
+
+
+def test_boilerplate_is_cut_into_parts(spark):
+    rng = random.Random(5)
+    head = "안녕하세요 문의 주셔서 감사합니다 아래 내용을 확인하시고 다시 연락 부탁드립니다 감사합니다 그럼 좋은 하루 보내세요 "
+    rows = [(i, head + "".join(rng.choice("가나다라마바사아자차") for _ in range(50)), "train" if i % 2 else "eval") for i in range(60)]
+    rows += [(1000 + i, noisy(rng, rows[i][1], 6), "eval" if i % 2 else "train") for i in range(60)]
+    df = spark.createDataFrame(rows, "row_id long, output string, split string")
+    some = [{tuple(r) for r in overlap.row_pairs(df, "row_id", "output", "split", hot=h).collect()} for h in (overlap.HOT, 7, 1)]
+    assert some[0] == some[1] == some[2] and len(some[0]) >= 60

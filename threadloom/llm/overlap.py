@@ -16,6 +16,8 @@ only classes are joined. The join is exact: what it drops cannot be within ``max
 * The edit distance decides.
 
 Grams of the left side are counted in a table of fixed size, so that what executors get does not grow with the data.
+A gram that more than ``HOT`` left texts may have is cut into parts: a left text goes to one of them, a right text
+to all, so boilerplate that many texts share is no single key of the join.
 """
 
 from __future__ import annotations
@@ -27,13 +29,14 @@ from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode
 from ..session import Stage
+from .counting import slot_counts
 from .leaks import rolling
 
 TAG = r"(?U)^\s*\[\d+(?:-\d+)*\]"
 MOST = 8
 BUCKET, WIDE = 64, 256
 SLOTS = 1 << 22
-BLOCKS = 64
+HOT = 5_000
 MIX = np.uint64(0xFF51AFD7ED558CCD)
 
 
@@ -53,12 +56,22 @@ def _hashes(cp: np.ndarray, n: int, kind: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def _key(h: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+def _key(h: np.ndarray, bucket: np.ndarray, part: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        h = (h ^ (bucket.astype(np.uint64) + np.uint64(1))) * MIX
+        h = (h ^ (bucket.astype(np.uint64) + np.uint64(1)) ^ (part.astype(np.uint64) << np.uint64(40))) * MIX
     return (h ^ (h >> np.uint64(31))).view(np.int64)
 
 
+def _parts(h: np.ndarray, counts: np.ndarray, hot: int) -> np.ndarray:
+    return (counts[(h & np.uint64(SLOTS - 1)).astype(np.int64)] // hot + 1).astype(np.int64)
+
+
+def _times(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place ``n`` times, and which time it is."""
+    at = np.repeat(np.arange(len(n)), n)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+
+
 class Plan:
     """By length up to ``top``: the most edits to any partner, the kind of listing (gram and bucket length), and
     the shortest and longest partner."""
@@ -231,7 +244,7 @@ def edit_within(a: list[str], b: list[str], share: float) -> np.ndarray:
     return out
 
 
-def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", right: str = "train", least: int = 80, max_edit: float = 0.15):
+def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", right: str = "train", least: int = 80, max_edit: float = 0.15, hot: int = HOT):
     """``(rows, pairs)``: ``rows (row, split, cid)`` and ``pairs (lcid, rcid)`` of linked classes.
 
     ``lcid`` is a class with rows in split ``left``, ``rcid`` one with rows in ``right``; a class with rows in both
@@ -248,31 +261,12 @@ def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", ri
     rows = st.cut(rows.join(texts.select("body", "cid"), "body").select("row", "split", "cid"))
 
     # the counter table of the left side: SLOTS counters, whatever the input
-    def count(batches):
-        acc = np.zeros(SLOTS, np.uint32)
-        seen = 0
-        for b in batches:
-            cp, off, _ = explode(b.column(0))
-            h = all_grams(cp, off, max_edit)[2]
-            np.add.at(acc, (h & np.uint64(SLOTS - 1)).astype(np.int64), 1)
-            seen += b.num_rows
-        if seen:
-            parts = acc.reshape(BLOCKS, -1)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(BLOCKS), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary()), pa.array([seen] + [0] * (BLOCKS - 1), pa.int64())], names=["block", "part", "seen"])
-
-    def add(table):
-        total = np.zeros(SLOTS // BLOCKS, np.uint64)
-        for p in table.column("part"):
-            total += np.frombuffer(p.as_py(), np.uint32)
-        capped = np.minimum(total, 0xFFFFFFFF).astype(np.uint32)
-        return pa.table({"block": table.column("block").slice(0, 1).cast(pa.int32()), "part": pa.array([capped.tobytes()], pa.binary()), "seen": pa.array([sum(table.column("seen").to_pylist())], pa.int64())})
-
-    shape = "block int, part binary, seen long"
-    got = texts.where("l").select("body").coalesce(16).mapInArrow(count, shape).groupBy("block").applyInArrow(add, shape).collect()
-    counts = np.zeros((BLOCKS, SLOTS // BLOCKS), np.uint32)
-    for r in got:
-        counts[r.block] = np.frombuffer(r.part, np.uint32)
-    shared = spark.sparkContext.broadcast(counts.reshape(-1))
+    def count(b: pa.RecordBatch, acc: np.ndarray) -> None:
+        cp, off, _ = explode(b.column(0))
+        np.add.at(acc, (all_grams(cp, off, max_edit)[2] & np.uint64(SLOTS - 1)).astype(np.int64), 1)
+
+    counts = slot_counts(texts.where("l").select("body"), SLOTS, count)
+    shared = spark.sparkContext.broadcast(np.minimum(counts, 0xFFFFFFFF).astype(np.uint32))
 
     def listed(side: str):
         def run(batches):
@@ -282,14 +276,14 @@ def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", ri
                     cp, off, _ = explode(b.column(1))
                     if side == "l":
                         row, at, h, wide = all_grams(cp, off, max_edit)
-                        order, key = np.zeros(len(row), np.int64), _key(h, at // wide)
+                        spread = b.column(0).to_numpy()[row].view(np.uint64) * MIX >> np.uint64(33)
+                        order, key = np.zeros(len(row), np.int64), _key(h, at // wide, spread.astype(np.int64) % _parts(h, shared.value, hot))
                     else:
                         row, at, order, h, wide = picked_grams(cp, off, max_edit, shared.value)
                         first = np.maximum(at - order, 0) // wide
-                        many = (at + order) // wide - first + 1
-                        x = np.repeat(np.arange(len(row)), many)
-                        bucket = first[x] + np.arange(len(x)) - np.repeat(np.cumsum(many) - many, many)
-                        row, at, order, key = row[x], at[x], order[x], _key(h[x], bucket)
+                        parts = _parts(h, shared.value, hot)
+                        x, nth = _times(((at + order) // wide - first + 1) * parts)
+                        row, at, order, key = row[x], at[x], order[x], _key(h[x], first[x] + nth // parts[x], nth % parts[x])
                     sig = signatures(cp, off)[row]
                     ints = [np.diff(off)[row], at] + [order] * (side == "r")
                     yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(key), *[pa.array(x.astype(np.int32)) for x in ints], *[pa.array(np.ascontiguousarray(sig[:, i])) for i in range(4)]], names=names)
