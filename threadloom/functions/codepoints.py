@@ -58,3 +58,23 @@ def reoffset(kept_per_row: np.ndarray) -> np.ndarray:
     out = np.zeros(len(kept_per_row) + 1, np.int64)
     np.cumsum(kept_per_row, out=out[1:])
     return out
+
+
+def gram_hashes(cp: np.ndarray, n: int) -> np.ndarray:
+    """A 64-bit hash of the ``n`` code points from every place on; the last n - 1 places have none."""
+    m = max(len(cp) - n + 1, 0)
+    h = np.zeros(m, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(n):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + cp[k : k + m] + np.uint64(1)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def grams(cp: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, place, hash)`` of every n-gram that lies within one row."""
+    h = gram_hashes(cp, n)
+    row = rows_of(offsets)[: len(h)]
+    at = np.arange(len(h))
+    ok = at + n <= offsets[row + 1] if len(h) else np.zeros(0, bool)
+    return row[ok], at[ok], h[ok]

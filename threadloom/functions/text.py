@@ -140,7 +140,7 @@ def distinct_terms(c: Column, terms: list[str]) -> Column:
     return F.size(F.array_distinct(F.regexp_extract_all(c, F.lit("(" + "|".join(terms) + ")"), F.lit(1))))
 
 
-def loss_weight(cells: list[Column], terms: list[str] = packs.ARGOT, least: int = 2, weight: float = 1.5) -> Column:
+def loss_weight(cells: list[Column], terms: list[str] = packs.TERMS, least: int = 2, weight: float = 1.5) -> Column:
     found = F.array_distinct(F.flatten(F.array(*[F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit("(" + "|".join(terms) + ")"), F.lit(1)) for c in cells])))
     return F.when(F.size(found) >= max(least, 1), F.lit(max(weight, 1.0))).otherwise(F.lit(1.0))
 

@@ -16,18 +16,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.codepoints import explode, grams
 from ..session import Stage
+from .counting import slot_counts
 
 P61 = (1 << 61) - 1
 
 
 def first_wins(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
-    """The first row of every key; ties of the order column are broken by nothing else, so make it unique."""
-    cols = df.columns
-    d = df.withColumns({f"_k{i}": k for i, k in enumerate(keys)})
-    ks = [f"_k{i}" for i in range(len(keys))]
-    best = d.groupBy(*ks).agg(F.min_by(F.struct(*cols), order).alias("r"))  # partial aggregation, no sort of a hot key
-    return best.select(*[F.col("r")[c].alias(c) for c in cols])
+    """The first row of every key by the unique column ``order``; null is a key like others.
+
+    The least ``order`` of each key is a hash aggregate over a digest of the key and a number, and the rows are kept
+    by a semi-join on it: no row with its text goes through a sort or an aggregate.
+    """
+    digest = F.sha2(F.to_json(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), {"ignoreNullFields": "false"}), 256)
+    best = df.groupBy(digest.alias("k")).agg(F.min(order).alias(order)).select(order)
+    return df.join(best, order, "left_semi")
 
 
 def duplicate_rate(df: DataFrame, c: Column) -> DataFrame:
@@ -135,22 +139,85 @@ def minhash_kept(df: DataFrame, order: str, c: str, bands: int = 32) -> DataFram
     return greedy(buckets(sig, "ord", "sig", bands))
 
 
+def minhash_clusters(df: DataFrame, order: str, c: str, bands: int = 32) -> DataFrame:
+    """``(keeper, size)``: every kept row with the rows that fell for it and itself; a row falls for the earliest
+    kept row it shares a band with."""
+    st = Stage(df.sparkSession, "clusters")
+    sig = st.cut(df.where(F.col(c).isNotNull()).select(F.col(order).alias("ord"), signature(F.col(c)).alias("sig")))
+    band = st.cut(buckets(sig, "ord", "sig", bands))
+    kept = st.cut(greedy(band))
+    owner = band.join(kept.where("kept").select("ord"), "ord", "left_semi").groupBy("bucket").agg(F.min("ord").alias("keeper"))
+    to = band.join(kept.where("not kept").select("ord"), "ord", "left_semi").join(owner, "bucket").groupBy("ord").agg(F.min("keeper").alias("keeper"))
+    all_rows = to.select("keeper").unionByName(kept.where("kept").select(F.col("ord").alias("keeper")))
+    return all_rows.groupBy("keeper").agg(F.count("*").alias("size"))
+
+
+JACCARD_SLOTS = 1 << 20
+
+
 def jaccard_pairs(df: DataFrame, key: str, group: str, c: str, n: int = 4, least: float = 0.85) -> DataFrame:
     """``(a, b, jaccard)`` of rows of one group whose n-gram sets (blanks removed) reach ``least``.
 
-    Prefix filter: ordered by hash, two sets that similar share a gram among the first (1 - least) * size + 1 of
-    each, so only those grams are joined, not the group with itself.
+    Prefix filter: in one order of the grams, two sets that similar share a gram among the first (1 - least) * size
+    + 1 of each, so only those are joined, not the group with itself. The order is by rarity: grams are counted in a
+    table of fixed size, whatever the input, so the grams that boilerplate shares come last.
     """
-    g = df.select(F.col(key).alias("k"), F.col(group).alias("grp"), F.array_sort(F.array_distinct(F.transform(text.ngrams(F.regexp_replace(c, r"\s+", ""), n), lambda x: F.xxhash64(x)))).alias("g"))
-    g = g.where(F.size("g") > 0)
-    prefix = F.slice("g", 1, (F.size("g") - F.ceil(F.size("g") * least) + 1).cast("int"))
-    p = g.select("grp", "k", F.explode(prefix).alias("t"), F.size("g").alias("n"))
-    q = p.select(F.col("grp").alias("grp2"), F.col("t").alias("t2"), F.col("k").alias("k2"), F.col("n").alias("n2"))
-    cand = p.join(q, (p.grp == q.grp2) & (p.t == q.t2) & (p.k < q.k2) & (F.least(p.n, q.n2) >= F.greatest(p.n, q.n2) * least)).select("k", "k2").distinct()
-    a = g.select("k", F.col("g").alias("ga"))
-    b = g.select(F.col("k").alias("k2"), F.col("g").alias("gb"))
+    spark = df.sparkSession
+    t = df.select(F.col(key).alias("k"), F.col(group).alias("grp"), F.regexp_replace(c, r"\s+", "").alias("t")).where(F.length("t") >= n)
+
+    def add(b: pa.RecordBatch, acc: np.ndarray) -> None:
+        cp, off, _ = explode(b.column(0))
+        np.add.at(acc, (grams(cp, off, n)[2] % JACCARD_SLOTS).astype(np.int64), 1)
+
+    shared = spark.sparkContext.broadcast(slot_counts(t.select("t"), JACCARD_SLOTS, add))
+
+    def prefixes(batches):
+        counts = shared.value
+        for b in batches:
+            cp, off, _ = explode(b.column(0))
+            row, _, h = grams(cp, off, n)
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            first = np.r_[True, (row[1:] != row[:-1]) | (h[1:] != h[:-1])] if len(row) else np.zeros(0, bool)
+            row, h = row[first], h[first]  # each gram of a row once
+            order = np.lexsort((h, counts[(h % JACCARD_SLOTS).astype(np.int64)], row))
+            row, h = row[order], h[order]
+            size = np.bincount(row, minlength=b.num_rows)
+            place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+            ok = place < size[row] - np.ceil(size[row] * least - 1e-9) + 1
+            at = pa.array(row[ok])
+            yield pa.RecordBatch.from_arrays([b.column(1).take(at), b.column(2).take(at), pa.array(h[ok].view(np.int64)), pa.array(size[row[ok]].astype(np.int32))], names=["k", "grp", "t", "n"])
+
+    kinds = dict(t.dtypes)
+    p = t.select("t", "k", "grp").mapInArrow(prefixes, f"k {kinds['k']}, grp {kinds['grp']}, t long, n int")
+    q = p.select("grp", "t", F.col("k").alias("k2"), F.col("n").alias("n2"))
+    cand = p.join(q, ["grp", "t"]).where((F.col("k") < F.col("k2")) & (F.least("n", "n2") >= F.greatest("n", "n2") * least)).select("k", "k2").distinct()
+    sets = t.select("k", F.array_distinct(text.ngrams(F.col("t"), n)).alias("g"))
     j = F.size(F.array_intersect("ga", "gb")) / F.size(F.array_union("ga", "gb"))
-    return cand.join(a, "k").join(b, "k2").withColumn("jaccard", F.round(j, 6)).where(F.col("jaccard") >= least).select(F.col("k").alias("a"), F.col("k2").alias("b"), "jaccard")
+    both = cand.join(sets.toDF("k", "ga"), "k").join(sets.toDF("k2", "gb"), "k2").withColumn("jaccard", F.round(j, 6))
+    return both.where(F.col("jaccard") >= least).select(F.col("k").alias("a"), F.col("k2").alias("b"), "jaccard")
+
+
+def thread_greedy(df: DataFrame, key: str, thread: str, c: str, exempt: Column, least: float = 0.85) -> DataFrame:
+    """``(key, kept)``: within a thread, in order of ``key``, a row falls for an earlier kept row whose 4-gram set is
+    ``least`` alike; exempt rows (posts) never fall but others fall for them. Rows without a thread or text stay.
+
+    Resolved over the similar pairs in rounds: a row is decided once all earlier rows like it are."""
+    st = Stage(df.sparkSession, "thread_greedy")
+    rows = df.select(F.col(key).alias("k"), F.coalesce(exempt, F.lit(False)).alias("exempt"))
+    links = jaccard_pairs(df.where(F.col(thread).isNotNull()), key, thread, c, 4, least).select(F.col("a").alias("early"), F.col("b").alias("late"))
+    links = st.cut(links.join(rows.where("not exempt").select(F.col("k").alias("late")), "late", "left_semi"))
+    fallen = None
+    while not links.isEmpty():
+        # rows that wait for nobody are kept; what is like them falls, and with it its own claims
+        free = links.select(F.col("early").alias("k")).distinct().join(links.select(F.col("late").alias("k")), "k", "left_anti")
+        down = st.cut(links.join(free.withColumnRenamed("k", "early"), "early", "left_semi").select(F.col("late").alias("k")).distinct())
+        fallen = down if fallen is None else fallen.unionByName(down)
+        gone = down.select(F.col("k").alias("late"))
+        links = st.cut(links.join(gone, "late", "left_anti").join(down.withColumnRenamed("k", "early"), "early", "left_anti").join(free.withColumnRenamed("k", "early"), "early", "left_anti"))
+    if fallen is None:
+        return rows.select("k", F.lit(True).alias("kept"))
+    return rows.join(fallen.withColumn("out", F.lit(True)), "k", "left").select("k", F.col("out").isNull().alias("kept"))
 
 
 def cosine(a: str, b: str) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import packs, text
+from ..functions.codepoints import explode, grams
 
 
 def first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -38,12 +41,33 @@ def is_promo(c: Column) -> Column:
 def entropy(df: DataFrame, key: str, c: str, n: int = 5, least: int = 60) -> DataFrame:
     """``(key, entropy)``: Shannon entropy in bits of the character n-grams of texts of ``least`` characters or more.
 
-    The n-grams are counted per key with map-side partial sums; no text's grams are gathered in one row.
+    A document is one row, so its n-grams are counted where it stands, a batch at a time, without a shuffle.
     """
-    t = df.where(F.length(F.trim(c)) >= least).select(F.col(key).alias("key"), F.explode(text.ngrams(F.trim(F.col(c)), n)).alias("g"))
-    per = t.groupBy("key", "g").agg(F.count("*").alias("k"))
-    total = per.groupBy("key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.log2("k")).alias("s"))
-    return total.select("key", F.round(F.log2("n") - F.col("s") / F.col("n"), 6).alias("entropy"))
+    t = df.select(F.col(key).alias("key"), F.trim(F.col(c)).alias("t")).where(F.length("t") >= least)
+
+    def run(batches):
+        for b in batches:
+            cp, off, _ = explode(b.column(1))
+            row, _, h = grams(cp, off, n)
+            order = np.lexsort((h, row))
+            row, h = row[order], h[order]
+            edge = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (h[1:] != h[:-1])]) if len(row) else np.zeros(0, np.int64)
+            k = np.diff(np.r_[edge, len(row)]).astype(float)
+            total = np.bincount(row, minlength=b.num_rows)
+            s = np.bincount(row[edge], k * np.log2(k), minlength=b.num_rows)
+            bits = np.log2(np.maximum(total, 1)) - s / np.maximum(total, 1)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(bits)], names=["key", "entropy"])
+
+    e = t.mapInArrow(run, f"key {dict(t.dtypes)['key']}, entropy double")
+    return e.select("key", F.round("entropy", 6).alias("entropy"))
+
+
+def entropy_reason(df: DataFrame, key: str, cells: list[str], threshold: float, n: int = 5, least: int = 60) -> DataFrame:
+    """``(key, low)``: whether all cells of a row that are long enough lie below ``threshold``; rows without such a
+    cell are not low. A threshold of 0 turns the gate off."""
+    long = df.select(F.col(key).alias("key"), F.explode(F.array(*cells)).alias("t"))
+    e = entropy(long, "key", "t", n, least).groupBy("key").agg(F.max("entropy").alias("most"))
+    return df.select(F.col(key).alias("key")).join(e, "key", "left").select("key", F.coalesce(F.col("most") < threshold, F.lit(False)).alias("low"))
 
 
 def frequent_copies(df: DataFrame, c: Column, least: int = 3) -> DataFrame:
@@ -57,6 +81,13 @@ def frequent_copies(df: DataFrame, c: Column, least: int = 3) -> DataFrame:
 
 
 def bursts(df: DataFrame, who: str, ts: str, least: int = 10, seconds: int = 3600) -> DataFrame:
-    """Rows of ``who`` that stand in a window of ``seconds`` up to them with at least ``least`` rows."""
-    w = Window.partitionBy(who).orderBy(F.col(ts).cast("timestamp").cast("double")).rangeBetween(-seconds, 0)
-    return df.withColumn("in_window", F.count("*").over(w)).where(F.col("in_window") >= least)
+    """Rows of ``who`` that stand in a window of ``seconds`` up to them with at least ``least`` rows.
+
+    A row is counted in its own slice of ``seconds`` and shown to the next one, so a task sees two slices of one
+    ``who`` at most, however many rows that one has in all.
+    """
+    t = F.col(ts).cast("timestamp").cast("double")
+    d = df.withColumn("_t", t).withColumn("_slice", F.explode(F.array(F.floor(t / seconds), F.floor(t / seconds) + 1)))
+    w = Window.partitionBy(who, "_slice").orderBy("_t").rangeBetween(-seconds, 0)
+    own = F.floor(F.col("_t") / seconds) == F.col("_slice")
+    return d.withColumn("in_window", F.count("*").over(w)).where(own & (F.col("in_window") >= least)).drop("_t", "_slice")

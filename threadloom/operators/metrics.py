@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..functions.codepoints import explode, gram_hashes
 
 
 def gram_counts(df: DataFrame, side: Column, c: str, n: int) -> DataFrame:
@@ -17,7 +20,7 @@ def gram_counts(df: DataFrame, side: Column, c: str, n: int) -> DataFrame:
 def jsd(counts: DataFrame, a: str, b: str) -> DataFrame:
     """One row ``jsd`` in bits of two sides of ``(side, g, k)``: one aggregation per gram, no join."""
     t = counts.where(F.col("side").isin(a, b)).groupBy("g").agg(F.sum(F.when(F.col("side") == a, F.col("k"))).alias("p"), F.sum(F.when(F.col("side") == b, F.col("k"))).alias("q"))
-    tot = counts.agg(F.sum(F.when(F.col("side") == a, F.col("k"))).alias("tp"), F.sum(F.when(F.col("side") == b, F.col("k"))).alias("tq"))
+    tot = t.agg(F.sum("p").alias("tp"), F.sum("q").alias("tq"))  # of the same exchange
     t = t.join(F.broadcast(tot))  # one row
     p, q = F.coalesce("p", F.lit(0)) / F.col("tp"), F.coalesce("q", F.lit(0)) / F.col("tq")
     m = (p + q) / 2
@@ -60,3 +63,63 @@ def gate(values: DataFrame, thresholds: dict[str, tuple[str, float]]) -> DataFra
     t = spark.createDataFrame([(k, op, v) for k, (op, v) in thresholds.items()], "metric string, op string, threshold double")
     ok = F.when(F.col("op") == "le", F.col("value") <= F.col("threshold")).otherwise(F.col("value") >= F.col("threshold"))
     return t.join(values, "metric", "left").select("metric", "value", "op", "threshold", F.coalesce(ok, F.lit(False)).alias("ok"))
+
+
+def term_fires(df: DataFrame, c: str, terms: list[str]) -> DataFrame:
+    """``(term, fires, rows_with)``: how often each term occurs without overlapping itself, and in how many texts.
+
+    One pass for any number of terms: per length of terms, the n-grams of a batch are looked up by hash and compared.
+    Terms that do not occur have no row. Null texts hold nothing; empty terms are an error.
+    """
+    if not all(terms):
+        raise ValueError("empty term")
+    names = sorted(set(terms))
+    by: dict[int, list[int]] = {}
+    for i, t in enumerate(names):
+        by.setdefault(len(t), []).append(i)
+
+    def run(batches):
+        tables = []
+        for n, which in by.items():
+            cps = np.array([[ord(ch) for ch in names[i]] for i in which], np.uint32)
+            h = np.array([gram_hashes(x, n)[0] for x in cps])
+            order = np.argsort(h)
+            loops = np.array([any(names[i].startswith(names[i][k:]) for k in range(1, n)) for i in which])
+            tables.append((n, h[order], np.array(which)[order], cps[order], loops[order]))
+        fires, rows = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+        for b in batches:
+            cp, off, _ = explode(b.column(0))
+            for n, keys, which, cps, loops in tables:
+                h = gram_hashes(cp, n)
+                at = np.searchsorted(keys, h)
+                place = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == h)
+                row = np.searchsorted(off, place, "right") - 1
+                ok = place + n <= off[row + 1]
+                place, row, term = place[ok], row[ok], at[place[ok]]
+                same = (cp[place[:, None] + np.arange(n)] == cps[term]).all(1)
+                place, row, term = place[same], row[same], term[same]
+                if loops[term].any():  # a term that may overlap itself counts from the left
+                    keep, last = ~loops[term], {}
+                    for k in np.flatnonzero(~keep):
+                        key = (row[k], term[k])
+                        if place[k] >= last.get(key, -1):
+                            keep[k], last[key] = True, place[k] + n
+                    place, row, term = place[keep], row[keep], term[keep]
+                fires += np.bincount(which[term], minlength=len(names))
+                pair = np.unique(row * len(names) + which[term])
+                rows += np.bincount(pair % len(names), minlength=len(names))
+        some = np.flatnonzero(fires)
+        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in some], pa.string()), pa.array(fires[some]), pa.array(rows[some])], names=["term", "fires", "rows_with"])
+
+    got = df.select(c).mapInArrow(run, "term string, fires long, rows_with long")
+    return got.groupBy("term").agg(F.sum("fires").alias("fires"), F.sum("rows_with").alias("rows_with"))
+
+
+def ratio_match(df: DataFrame, side: Column, a: str, b: str, kind: str, c: str, patterns: dict[str, str]) -> DataFrame:
+    """``(kind, worst)``: the largest difference between two sides in the share of texts with a pattern, per kind and
+    over all (kind ``any``); a kind that only one side has is left out."""
+    t = df.select(F.col(kind).alias("kind"), side.alias("side"), F.col(c).alias("c")).where("c is not null")
+    share = lambda x, p: F.avg(F.when(F.col("side") == x, F.col("c").rlike(p).cast("int")))
+    worst = F.greatest(*[F.abs(share(a, p) - share(b, p)) for p in patterns.values()])
+    g = t.groupingSets([("kind",), ()], "kind").agg(F.round(worst, 6).alias("worst"), F.grouping("kind").alias("whole"))
+    return g.where("worst is not null").select(F.when(F.col("whole") == 1, "any").otherwise(F.col("kind")).alias("kind"), "worst")

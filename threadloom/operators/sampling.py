@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import Stage
 
 
 def split_ab(key: Column, seed: int = 42) -> Column:
@@ -18,23 +19,37 @@ def every_nth(df: DataFrame, order: str, n: int = 10) -> DataFrame:
     return at.withColumn("split", F.when((F.col("rn") - 1) % n == 0, "eval").otherwise("train"))
 
 
-def row_numbers(df: DataFrame, order: str, ranges: int = 32) -> DataFrame:
-    """``rn``: the 1-based place of every row in the order, without one task seeing all rows."""
+def running(df: DataFrame, order: str, weight: str | None = None, per_range: int = 1_000_000) -> DataFrame:
+    """Adds ``rn``: the running sum of ``weight`` (1 without) up to every row in the order, this row included.
+
+    The rows are written in ranges of about ``per_range`` rows; one sum per range goes to the driver, and each range
+    goes on from the sum before it. No task sees more than a range, unless one value of the order fills it.
+    """
     spark = df.sparkSession
-    cuts = df.approxQuantile(order, [i / ranges for i in range(1, ranges)], 0.001) if ranges > 1 else []
-    cuts = sorted(set(cuts))
-    part = F.lit(0)
-    for c in cuts:
-        part = part + (F.col(order) > c).cast("int")
-    d = df.withColumn("_part", part)
-    n = {r._part: r.n for r in d.groupBy("_part").agg(F.count("*").alias("n")).collect()}  # at most `ranges` rows
+    st = Stage(spark, "running")
+    plain, n = st.cut_counted(df)
+    ranges = max(1, -(-n // per_range))
+    ranged = plain.repartitionByRange(ranges, order) if ranges > 1 else plain.coalesce(1)
+    d = st.cut(ranged.withColumn("_part", F.spark_partition_id()))
+    w = F.col(weight) if weight else F.lit(1)
+    sums = {r._part: r.n for r in d.groupBy("_part").agg(F.sum(w).alias("n")).collect()}  # one row per range
     lead, rows = 0, []
-    for p in sorted(n):
+    for p in sorted(sums):
         rows.append((p, lead))
-        lead += n[p]
+        lead += sums[p]
     leads = spark.createDataFrame(rows or [(0, 0)], "_part int, _lead long")
-    w = Window.partitionBy("_part").orderBy(order)
-    return d.join(F.broadcast(leads), "_part").withColumn("rn", F.row_number().over(w) + F.col("_lead")).drop("_part", "_lead")
+    win = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    return d.join(F.broadcast(leads), "_part").withColumn("rn", F.sum(w).over(win) + F.col("_lead")).drop("_part", "_lead")  # a row per range
+
+
+def row_numbers(df: DataFrame, order: str, per_range: int = 1_000_000) -> DataFrame:
+    """``rn``: the 1-based place of every row in the order, without one task seeing all rows."""
+    return running(df, order, None, per_range)
+
+
+def first_share(df: DataFrame, order: str, take: int) -> DataFrame:
+    """The first ``take`` rows of the order, however many that is of the table."""
+    return row_numbers(df, order).where(F.col("rn") <= take).drop("rn")
 
 
 def copies(weight: Column, key: Column, seed: int = 13, most: float = 10.0) -> Column:
@@ -48,18 +63,25 @@ def oversample(df: DataFrame, weight: Column, key: Column, seed: int = 13) -> Da
     return df.withColumn("copy", F.explode(F.sequence(F.lit(1), copies(weight, key, seed))))
 
 
-def largest_remainder(counts: dict[str, int], total: int) -> dict[str, int]:
-    """Quotas in proportion to ``counts`` that sum to ``total``; the largest remainders round up, and what a kind
-    cannot fill spills to the others by size."""
-    whole = sum(counts.values())
-    total = min(total, whole)
+def largest_remainder(shares: dict[str, float], total: int, available: dict[str, int] | None = None) -> dict[str, int]:
+    """Quotas in proportion to ``shares`` that sum to ``total``, the largest remainders rounded up. What a kind
+    cannot fill out of ``available`` spills to the others by what they have left, until it is placed or nothing is left."""
+    whole = sum(shares.values())
     if not whole:
-        return dict.fromkeys(counts, 0)
-    exact = {k: total * v / whole for k, v in counts.items()}
+        return dict.fromkeys(shares, 0)
+    exact = {k: total * v / whole for k, v in shares.items()}
     out = {k: int(x) for k, x in exact.items()}
-    for k in sorted(counts, key=lambda k: (out[k] - exact[k], k))[: total - sum(out.values())]:
+    for k in sorted(shares, key=lambda k: (out[k] - exact[k], k))[: total - sum(out.values())]:
         out[k] += 1
-    return {k: min(v, counts[k]) for k, v in out.items()}
+    if available is None:
+        return out
+    out = {k: min(v, available.get(k, 0)) for k, v in out.items()}
+    missing = total - sum(out.values())
+    for k in sorted(out, key=lambda k: (out[k] - available.get(k, 0), k)):
+        more = min(missing, available.get(k, 0) - out[k])
+        out[k] += more
+        missing -= more
+    return out
 
 
 def capped(df: DataFrame, group: str, rank: Column, cap: int) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import packs, text
-from ..operators import metrics, quantiles
+from ..operators import metrics, quantiles, sampling
 from ..session import table
 
 Q: dict = {}
@@ -80,14 +80,20 @@ def distinct_threads_authors(s, d):
     return table(s, d, "phase1_data_pipeline", "thread_key", "author_key").agg(F.count_distinct("thread_key").alias("threads"), F.count_distinct("author_key").alias("authors"))
 
 
-@query("term_fire_audit", "WITH t(term) AS (SELECT unnest([" + ", ".join(f"'{t}'" for t in TERMS) + """])), o AS (SELECT term, CAST((length(text) - length(replace(text, term, ''))) / length(term) AS BIGINT) AS k FROM documents, t)
-SELECT term, CAST(sum(k) AS BIGINT) AS fires, count(*) FILTER (k > 0) AS rows_with, round(count(*) FILTER (k > 0) / count(*), 6) AS rate FROM o GROUP BY term""")
+_VOCAB = """SELECT token AS term FROM (SELECT unnest(regexp_extract_all(text, '[가-힣A-Za-z0-9]{2,}')) AS token FROM valid) GROUP BY token ORDER BY count(*) DESC, token LIMIT 240"""
+
+
+@query("term_fire_audit", f"""
+WITH t AS ({_VOCAB}), o AS (SELECT term, CAST((length(text) - length(replace(text, term, ''))) / length(term) AS BIGINT) AS k FROM documents, t WHERE text IS NOT NULL)
+SELECT term, CAST(sum(k) AS BIGINT) AS fires, count(*) FILTER (k > 0) AS rows_with, round(count(*) FILTER (k > 0) / (SELECT count(*) FROM documents), 6) AS rate, sum(k) = 0 AS dead FROM o GROUP BY term""")
 def term_fire_audit(s, d):
-    """Fires per term in one pass and one aggregation: a column per term, no terms-by-rows product."""
-    occ = [text.occurrences(F.col("text"), t) for t in TERMS]
-    one = docs(s, d).agg(F.count("*").alias("n"), *[F.sum(o).alias(f"f{i}") for i, o in enumerate(occ)], *[F.count_if(o > 0).alias(f"r{i}") for i, o in enumerate(occ)])
-    rows = F.array(*[F.struct(F.lit(t).alias("term"), F.col(f"f{i}").alias("fires"), F.col(f"r{i}").alias("rows_with"), F.round(F.col(f"r{i}") / F.col("n"), 6).alias("rate")) for i, t in enumerate(TERMS)])
-    return one.select(F.inline(rows))
+    """Fires of the 240 most frequent tokens of valid in documents, and which are dead: one pass over the texts."""
+    t = table(s, d, "valid", "text").select(F.explode(F.regexp_extract_all("text", F.lit("([가-힣A-Za-z0-9]{2,})"), F.lit(1))).alias("term"))
+    terms = [r.term for r in t.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(240).collect()]  # a vocabulary of 240
+    one = docs(s, d).agg(F.count("*").alias("n"))
+    known = s.createDataFrame([(x,) for x in terms], "term string")
+    hit = known.join(metrics.term_fires(docs(s, d), "text", terms), "term", "left").fillna(0, ["fires", "rows_with"])
+    return hit.join(F.broadcast(one)).select("term", "fires", "rows_with", F.round(F.col("rows_with") / F.col("n"), 6).alias("rate"), (F.col("fires") == 0).alias("dead"))  # one row
 
 
 @query("dimension_baseline", """
@@ -220,11 +226,12 @@ WITH u AS (SELECT user_id, sum(value) AS v FROM events WHERE event_type = 'view'
 SELECT round(sum(v) FILTER (rn <= ceil(n * 0.01)) / max(total), 6) AS top1, round(sum(v) FILTER (rn <= ceil(n * 0.1)) / max(total), 6) AS top10 FROM r""")
 def view_skew_ntile(s, d):
     u = table(s, d, "events", "user_id", "event_type", "value").where("event_type = 'view'").groupBy("user_id").agg(F.sum("value").alias("v"))
-    # ranks through counts per distinct value, ties in any order have the same value
+    # counts per distinct value, summed along the values from below by ranges; ties have one value
     c = u.groupBy("v").agg(F.count("*").alias("k"))
-    w = Window.orderBy(F.desc("v"))
-    r = c.withColumn("upto", F.sum("k").over(w)).withColumn("n", F.sum("k").over(Window.partitionBy())).withColumn("total", F.sum(F.col("v") * F.col("k")).over(Window.partitionBy()))
-    share = lambda q: F.sum(F.col("v") * F.greatest(F.lit(0), F.least(F.col("k"), F.ceil(F.col("n") * q) - F.col("upto") + F.col("k")))) / F.max("total")
+    r = sampling.running(c, "v", "k")
+    whole = u.agg(F.count("*").alias("n"), F.sum("v").alias("total"))
+    r = r.join(F.broadcast(whole)).withColumn("above", F.col("n") - F.col("rn"))  # one row
+    share = lambda q: F.sum(F.col("v") * F.greatest(F.lit(0), F.least(F.col("k"), F.ceil(F.col("n") * q) - F.col("above")))) / F.max("total")
     return r.agg(F.round(share(0.01), 6).alias("top1"), F.round(share(0.1), 6).alias("top10"))
 
 

@@ -89,8 +89,8 @@ SELECT valid_id FROM (SELECT valid_id, row_number() OVER (ORDER BY sha1(CAST(val
 def mix_ratio_sample(s, d):
     """Pairs to mix into a raw corpus at a ratio of 0.8, in hash order (a sampling operator)."""
     n = table(s, d, "documents", "doc_id").count()
-    v = table(s, d, "valid", "valid_id")
-    return v.orderBy(F.sha1(F.concat(F.col("valid_id").cast("string"), F.lit("|mix"))), "valid_id").limit(round(n * 0.2 / 0.8))
+    h = F.concat_ws("|", F.sha1(F.concat(F.col("valid_id").cast("string"), F.lit("|mix"))), F.col("valid_id").cast("string"))
+    return sampling.first_share(table(s, d, "valid", "valid_id").withColumn("h", h), "h", round(n * 0.2 / 0.8)).select("valid_id")
 
 
 @query("quota_largest_remainder", """
@@ -99,7 +99,7 @@ k AS (SELECT source, n, b, row_number() OVER (ORDER BY r DESC, source) AS rn, 50
 SELECT source, n AS available, b + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS quota FROM k""")
 def quota_largest_remainder(s, d):
     c = {r.source: r.n for r in table(s, d, "documents", "source").groupBy("source").agg(F.count("*").alias("n")).collect()}  # one row per source
-    q = sampling.largest_remainder(c, 500)
+    q = sampling.largest_remainder(c, min(500, sum(c.values())), c)
     return s.createDataFrame([(k, c[k], q[k]) for k in sorted(c)], "source string, available long, quota long")
 
 

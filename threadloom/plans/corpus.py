@@ -265,12 +265,15 @@ def secret_scan(s, d):
 # F: filters
 
 
-@query("filter_reasons", r"""
-WITH r AS (SELECT CASE WHEN length(trim(text)) < 5 THEN 'short' WHEN regexp_matches(text, '텔레그램|(광고|홍보|이벤트)[ \t\n\r\f\x0b]*문의') THEN 'spam' WHEN NOT regexp_matches(text, '[가-힣]') THEN 'no_script' END AS reason FROM documents)
-SELECT coalesce(reason, 'kept') AS reason, count(*) AS rows FROM r GROUP BY 1""")
+_SPAM = "|".join(packs.SPAM)
+
+
+@query("filter_reasons", f"""
+WITH r AS (SELECT CASE WHEN trim(coalesce(text, '')) = '' THEN 'empty' WHEN length(trim(text)) < 5 THEN 'short' WHEN regexp_matches(text, '{_SPAM}') THEN 'spam' WHEN NOT regexp_matches(text, '[가-힣]') THEN 'no_script' END AS reason FROM documents)
+SELECT coalesce(reason, 'kept') AS reason, count(*) AS rows FROM r GROUP BY 1""".replace(r"\s", r"[ \t\n\r\f\x0b]"))
 def filter_reasons(s, d):
     c = F.col("text")
-    reason = filters.first_reason([("short", F.length(F.trim(c)) < 5), ("spam", c.rlike(r"텔레그램|(광고|홍보|이벤트)\s*문의")), ("no_script", ~c.rlike("[가-힣]"))])
+    reason = filters.first_reason([("empty", F.trim(F.coalesce(c, F.lit(""))) == ""), ("short", F.length(F.trim(c)) < 5), ("spam", c.rlike(_SPAM)), ("no_script", ~c.rlike("[가-힣]"))])
     return docs(s, d).groupBy(F.coalesce(reason, F.lit("kept")).alias("reason")).agg(F.count("*").alias("rows"))
 
 
@@ -282,10 +285,10 @@ def launch_clean_reasons(s, d):
     return p.groupBy(F.coalesce(filters.launch_reason(F.col("text")), F.lit("kept")).alias("reason")).agg(F.count("*").alias("rows"))
 
 
-@query("ad_matches", None)
+@query("ad_matches", "SELECT record_id, regexp_extract(text, '(?i)(" + packs.AD.replace(r"\s", r"[ \t\n\r\f\x0b]") + ")', 1) AS matched FROM phase1_data_pipeline WHERE regexp_matches(text, '(?i)(" + packs.AD.replace(r"\s", r"[ \t\n\r\f\x0b]") + ")')")
 def ad_matches(s, d):
     """Rows that match an advertising pattern, with what matched."""
-    p = table(s, d, "phase1_data_pipeline", "record_id", "text").withColumn("matched", F.regexp_extract("text", "(?iu)(" + packs.AD + ")", 1))
+    p = table(s, d, "phase1_data_pipeline", "record_id", "text").withColumn("matched", F.regexp_extract("text", "(?i)(" + packs.AD + ")", 1))
     return p.where("matched <> ''").select("record_id", "matched")
 
 
@@ -414,8 +417,11 @@ def dedup_cosine_pairs(s, d):
 @query("leak_exact_anti", """
 SELECT v.valid_id FROM valid v WHERE NOT EXISTS (SELECT 1 FROM documents t WHERE t.text = v.text) AND NOT EXISTS (SELECT 1 FROM round2_build_tc_sft r WHERE r.output = v.text)""")
 def leak_exact_anti(s, d):
-    v = table(s, d, "valid", "valid_id", "text")
-    return v.join(docs(s, d).select("text"), "text", "left_anti").join(table(s, d, "round2_build_tc_sft", "output").select(F.col("output").alias("text")), "text", "left_anti").select("valid_id")
+    """Texts are compared by a digest of 256 bits, so no text goes through a shuffle."""
+    v = table(s, d, "valid", "valid_id", "text").select("valid_id", F.sha2("text", 256).alias("h"))
+    a = docs(s, d).select(F.sha2("text", 256).alias("h")).where("h is not null")
+    b = table(s, d, "round2_build_tc_sft", "output").select(F.sha2("output", 256).alias("h")).where("h is not null")
+    return v.join(a, "h", "left_anti").join(b, "h", "left_anti").select("valid_id")
 
 
 @query("leak_tagged", """
