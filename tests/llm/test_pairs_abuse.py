@@ -132,7 +132,7 @@ def test_refusals_by_place_and_not_by_length():
 def test_counters_are_summed_over_partitions(spark):
     import numpy as np
 
-    from threadloom.llm.counting import slot_counts
+    from threadloom.operators.counting import slot_counts
 
     df = spark.range(1000).repartition(7)
     got = slot_counts(df, 70_000, lambda b, acc: np.add.at(acc, b.column(0).to_numpy() * 69, 2))

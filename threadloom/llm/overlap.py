@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode
 from ..session import Stage
-from .counting import slot_counts
+from ..operators.counting import slot_counts
 from .leaks import rolling
 
 TAG = r"(?U)^\s*\[\d+(?:-\d+)*\]"

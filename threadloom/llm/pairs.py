@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode, rows_of
-from .counting import slot_counts
+from ..operators.counting import slot_counts
 from .leaks import rolling
 from .overlap import alike, edit_within
 
