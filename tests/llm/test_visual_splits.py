@@ -56,16 +56,20 @@ def test_components_random_chain_and_hub(spark):
     edges = [(f"n{rng.randrange(150)}", f"n{rng.randrange(150)}") for _ in range(110)]
     edges += [(f"c{i}", f"c{i + 1}") for i in range(70)] + [("hub", f"h{i}") for i in range(200)]
     df = spark.createDataFrame(edges + [("x", None), (None, None)] + edges[:5], "a string, b string").withColumn("node", F.lit(1))
-    got = {}
-    for r in splits.components(df, hot=50).collect():
-        got.setdefault(r.comp, []).append(r.node)
-    assert sorted(map(sorted, got.values())) == components(edges)
+    for small in (200_000, 3):  # the small graph in one task, and by search
+        got = {}
+        for r in splits.components(df, hot=50, small=small).collect():
+            got.setdefault(r.comp, []).append(r.node)
+        assert sorted(map(sorted, got.values())) == components(edges)
 
 
 def test_pairs_and_splits(spark):
     rows = [("1", "a", "K"), ("2", "b", " k "), ("3", "b", "anon"), ("4", "c", None), ("5", None, "k"), ("6", None, None), ("7", "d", "ㅇㅇ"), ("8", "b", "K")]
     df = spark.createDataFrame(rows, "rec string, grp string, author string").withColumn("owner", splits.identity(F.col("author")))
     assert {tuple(r) for r in splits.linked_pairs(df).collect()} == {("a", "b")}
+    assert {(r.grp, r.links) for r in splits.linked_members(df).collect()} == {("a", 1), ("b", 1), ("c", 0), ("d", 0)}
+    star = spark.createDataFrame([(str(i), f"g{i}", "x") for i in range(40)], "rec string, grp string, owner string")
+    assert splits.linked_pairs(star, part=7).distinct().count() == 40 * 39 // 2 == splits.linked_pairs(star).count()
     got = {r.rec: r for r in splits.assign(df).collect()}
     assert len(got) == 8 and len({got[k].split for k in ("1", "2", "3", "5", "8")}) == 1 and got["6"].comp != got["4"].comp
     big = spark.range(4000).select(F.col("id").cast("string").alias("rec"), (F.col("id") % 1000).cast("string").alias("grp"), F.lit(None).cast("string").alias("owner"))
