@@ -116,8 +116,8 @@ def test_leaks_against_brute_force(spark):
                 want.add((d, i))
     dd = spark.createDataFrame(docs, "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("item", F.lit(1))
     ii = spark.createDataFrame(items, "item_id long, text string")
-    for block in (20_000, 7):
-        got = {(r.key, r.item) for r in leaks.find(dd, "doc_id", "text", ii, "item_id", "text", block=block).collect()}
+    for block, edits in ((20_000, 0), (20_000, 2), (7, 2)):
+        got = {(r.key, r.item) for r in leaks.find(dd, "doc_id", "text", ii, "item_id", "text", edits=edits, block=block).where("distance = 0").collect()}
         assert got == want
     assert leaks.find(dd.limit(0), "doc_id", "text", ii, "item_id", "text").collect() == []
     assert leaks.find(dd, "doc_id", "text", ii.limit(0), "item_id", "text").collect() == []
@@ -126,6 +126,33 @@ def test_leaks_against_brute_force(spark):
     assert pa.__version__
 
 
+def test_edited_passages_against_brute_force(spark):
+    rng = random.Random(11)
+    items = [(i, "".join(rng.choice("가나다라마바사아자차카타") for _ in range(rng.randrange(30, 90)))) for i in range(12)]
+    docs = []
+    for i in range(120):
+        src = rng.choice(items)[1]
+        a = rng.randrange(max(len(src) - 44, 1))
+        docs.append((i, "".join(rng.choice("거너더러머") for _ in range(30)) + noisy(rng, src[a : a + rng.randrange(38, 60)], rng.randrange(6)) + "".join(rng.choice("거너더러머") for _ in range(30))))
+
+    def least_edits(t, x):  # of any stretch of 40 characters of the item to any stretch of the document
+        best = 99
+        for k in range(len(x) - 39):
+            prev = [0] * (len(t) + 1)
+            for i, c in enumerate(x[k : k + 40]):
+                cur = [i + 1]
+                for j, y in enumerate(t):
+                    cur.append(min(prev[j] + (c != y), prev[j + 1] + 1, cur[j] + 1))
+                prev = cur
+            best = min(best, *prev)
+        return best
+
+    want = {(d, i, e) for d, t in docs for i, x in items if len(x) >= 40 and set(t) & set(x) and sum(c in t for c in x) > 20 for e in [least_edits(t, x)] if e <= 2}
+    dd, ii = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.key, r.item, r.distance) for r in leaks.find(dd, "doc_id", "text", ii, "item_id", "text").collect()}
+    assert got == want and {e for _, _, e in got} == {0, 1, 2}
+
+
 def test_pairs_with_the_most_edits_allowed(spark):
     rng = random.Random(9)
     rows = []

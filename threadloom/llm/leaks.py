@@ -1,15 +1,13 @@
 """Evaluation passages inside training documents.
 
-Pigeonhole edit matching. A test item, reduced to its letters and digits, is cut into pieces of
-``piece`` characters. A passage that shows a stretch of 2 * piece - 1 characters of the item holds at
-least one piece unchanged; and an item of m pieces that went through fewer than m edits keeps one of them
-(its error budget plus one pieces). Documents are searched for exact pieces with a rolling hash over the
-whole batch. Around each hit, the stretch of the item that reaches ``piece`` characters to either side of
-the piece is aligned with the document by Myers' bit-parallel distance, many hits at a time, and hits
-within the budget stay. An exact check then measures the longest unbroken common stretch.
-
-Documents are scanned once, without a shuffle. Items go to the executors in blocks of ``block`` items, so
-what is broadcast is bounded whatever the size of the test set.
+Pigeonhole edit matching. A passage is a stretch of ``least`` letters or digits of a test item that a document
+holds with at most ``edits`` edits. Items are cut into pieces so short that any such stretch covers ``edits`` + 1
+whole ones, of which one at least is unchanged. Documents are searched for exact pieces with a rolling hash over
+the whole batch. Around each hit, every stretch of ``least`` characters of the item that covers the piece is
+compared with the document by Myers' bit-parallel distance, many at a time; what is within the budget is a passage.
+
+Documents are scanned once, without a shuffle. Items go to the executors in blocks of ``block`` items; a task holds
+one block at a time and takes its documents through all of them.
 """
 
 from __future__ import annotations
@@ -110,16 +108,15 @@ def _windows(flat: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 class Index:
     """Pieces of one block of items."""
 
-    def __init__(self, ids: list, texts: list, piece: int):
+    def __init__(self, ids: list, texts: list, least: int, edits: int):
         cp, off, _ = explode(pa.array(texts, pa.string()))
         self.cp, self.off = bare(cp, off)
-        self.ids, self.piece = ids, piece
-        owner, start = [], []
-        for i in range(len(ids)):
-            for a in range(int(self.off[i]), int(self.off[i + 1]) - piece + 1, piece):
-                owner.append(i)
-                start.append(a)
-        self.owner, self.start = np.array(owner, np.int64), np.array(start, np.int64)
+        self.ids, self.least, self.edits = ids, least, edits
+        self.piece = piece = piece_length(least, edits)
+        size = np.diff(self.off)
+        n = np.where(size >= least, size // piece, 0)
+        self.owner = np.repeat(np.arange(len(ids)), n)
+        self.start = self.off[self.owner] + (np.arange(len(self.owner)) - np.repeat(np.cumsum(n) - n, n)) * piece
         h = rolling(self.cp, piece)
         key = h[self.start] if len(self.start) else np.zeros(0, np.uint64)
         order = np.argsort(key, kind="stable")
@@ -128,8 +125,13 @@ class Index:
         self.sieve[(self.key >> np.uint64(44)).astype(np.int64)] = True
 
 
-def hits(ix: Index, cp: np.ndarray, off: np.ndarray, chunk: int = 200_000) -> tuple[np.ndarray, ...]:
-    """``(row, item, distance, run)`` of every verified piece hit; one entry per hit."""
+def piece_length(least: int, edits: int) -> int:
+    """The longest pieces of which every stretch of ``least`` characters covers ``edits`` + 1."""
+    return (least + 1) // (edits + 2)
+
+
+def _piece_hits(ix: Index, cp: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(row, item, place in the documents, place in the items)`` of every exact piece."""
     q = ix.piece
     h = rolling(cp, q)
     at = np.flatnonzero(ix.sieve[(h >> np.uint64(44)).astype(np.int64)])
@@ -138,78 +140,143 @@ def hits(ix: Index, cp: np.ndarray, off: np.ndarray, chunk: int = 200_000) -> tu
     left, right = np.searchsorted(ix.key, h[at], "left"), np.searchsorted(ix.key, h[at], "right")
     n = right - left
     which = np.repeat(left, n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-    at, row = np.repeat(at, n), np.repeat(row, n)
+    at, row, start = np.repeat(at, n), np.repeat(row, n), ix.start[which]
+    same = np.ones(len(at), bool)  # equal hashes are compared, character by character
+    for k in range(q):
+        same &= cp[at + k] == ix.cp[start + k]
+    return row[same], ix.owner[which][same], at[same], start[same]
+
+
+def _runs(ix: Index, cp: np.ndarray, off: np.ndarray, row, own, at, start) -> tuple[np.ndarray, np.ndarray]:
+    """How far item and document agree without a break before and after the beginning of each piece."""
     out = []
-    for a in range(0, len(at), chunk):
-        p, r, w = at[a : a + chunk], row[a : a + chunk], which[a : a + chunk]
-        own, st = ix.owner[w], ix.start[w]
-        # equal hashes are compared, character by character
-        same = (cp[p[:, None] + np.arange(q)] == ix.cp[st[:, None] + np.arange(q)]).all(1)
-        p, r, own, st = p[same], r[same], own[same], st[same]
-        if not len(p):
-            continue
-        ilo, ihi = np.maximum(st - q, ix.off[own]), np.minimum(st + 2 * q, ix.off[own + 1])
-        dlo, dhi = np.maximum(p - q - q // 2, off[r]), np.minimum(p + 2 * q + q // 2, off[r + 1])
-        dist = myers(_windows(ix.cp, ilo, ihi), ihi - ilo, _windows(cp, dlo, dhi), dhi - dlo)
-        ok = dist <= q  # the budget of a stretch of three pieces that must keep two thirds
-        p, r, own, st, dist = p[ok], r[ok], own[ok], st[ok], dist[ok]
-        # exact check: how far the two agree to either side of the piece
-        run = np.full(len(p), q)
-        for step, first in ((1, q), (-1, -1)):
-            live, k = np.arange(len(p)), first
-            while len(live):
-                x, y = p[live] + k, st[live] + k
-                inside = (x >= off[r[live]]) & (x < off[r[live] + 1]) & (y >= ix.off[own[live]]) & (y < ix.off[own[live] + 1])
-                live, x, y = live[inside], x[inside], y[inside]
-                live = live[cp[x] == ix.cp[y]]
-                run[live] += 1
-                k += step
-        out.append((r, own, dist, run))
-    if not out:
-        z = np.zeros(0, np.int64)
-        return z, z, z, z
-    return tuple(np.concatenate(c) for c in zip(*out))
-
-
-def find(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, least: int = 40, block: int = 20_000) -> DataFrame:
-    """``(key, item, run, distance, pieces)``: documents that hold at least ``least`` consecutive letters or
-    digits of an item, with the longest such stretch, the smallest verified distance and the hits.
-
-    Case, blanks and punctuation are ignored. ``least`` is at most 40, so that pieces of half its length fit
-    a machine word three times. Null and empty texts leak nothing and give nothing away, as do items
-    shorter than ``least``; repeated documents each count; an empty table gives no rows.
+    for step, k in ((-1, -1), (1, ix.piece)):
+        reach = np.zeros(len(row), np.int64) if step < 0 else np.full(len(row), ix.piece)
+        live = np.arange(len(row))
+        while len(live):
+            x, y = at[live] + k, start[live] + k
+            inside = (x >= off[row[live]]) & (x < off[row[live] + 1]) & (y >= ix.off[own[live]]) & (y < ix.off[own[live] + 1])
+            live, x, y = live[inside], x[inside], y[inside]
+            live = live[cp[x] == ix.cp[y]]
+            reach[live] += 1
+            k += step
+        out.append(reach)
+    return tuple(out)
+
+
+def _distances(ix: Index, cp: np.ndarray, off: np.ndarray, row, at, s, chunk: int = 50_000) -> np.ndarray:
+    """Edits between the stretches of the item at ``s`` and the documents around ``at``, where they would stand."""
+    m, e = ix.least, ix.edits
+    out = np.zeros(len(s), np.int64)
+    for a in range(0, len(s), chunk):
+        ss, pp, r = s[a : a + chunk], at[a : a + chunk], row[a : a + chunk]
+        lo, hi = np.maximum(pp - e, off[r]), np.minimum(pp + m + e, off[r + 1])
+        out[a : a + chunk] = myers(_windows(ix.cp, ss, ss + m), np.full(len(ss), m), _windows(cp, lo, hi), hi - lo)
+    return out
+
+
+def _promising(ix: Index, cp: np.ndarray, off: np.ndarray, row, own, at, start, chunk: int = 100_000) -> np.ndarray:
+    """Which of the stretches that cover each piece, by where they begin, may be within the budget: of a stretch with
+    ``edits`` edits, all but as many characters stand in the document at most that far from their place."""
+    q, m, e = ix.piece, ix.least, ix.edits
+    around = np.arange(q - m, m)
+    out = np.zeros((len(row), m - q + 1), bool)
+    for a in range(0, len(row), chunk):
+        r, o, p, i = (x[a : a + chunk] for x in (row, own, at, start))
+        y = i[:, None] + around
+        there = (y >= ix.off[o][:, None]) & (y < ix.off[o + 1][:, None])
+        want = ix.cp[np.clip(y, 0, len(ix.cp) - 1)]
+        met = np.zeros(y.shape, bool)
+        for d in range(-e, e + 1):
+            x = p[:, None] + around + d
+            met |= (x >= off[r][:, None]) & (x < off[r + 1][:, None]) & (cp[np.clip(x, 0, len(cp) - 1)] == want)
+        n = np.zeros((len(r), 2, len(around) + 1), np.int16)
+        np.cumsum(met & there, axis=1, out=n[:, 0, 1:])
+        np.cumsum(there, axis=1, out=n[:, 1, 1:])
+        within = n[:, :, m:] - n[:, :, :-m]
+        out[a : a + chunk] = (within[:, 1] == m) & (within[:, 0] >= m - e)
+    return out
+
+
+def hits(ix: Index, cp: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """``(row, item, distance, run, pieces)``, one entry per document and item that share a passage.
+
+    Of each pair, the stretch that the longest unbroken run covers best is measured first. Where that is no exact
+    copy, all stretches that cover any of the pair's pieces are.
     """
-    piece = (least + 1) // 2
-    if not 2 <= piece <= 20:
-        raise ValueError("least must lie between 3 and 40")
+    q, m, e, w = ix.piece, ix.least, ix.edits, max(len(ix.ids), 1)
+    row, own, at, start = _piece_hits(ix, cp, off)
+    z = np.zeros(0, np.int64)
+    if not len(row):
+        return z, z, z, z, z
+    before, after = _runs(ix, cp, off, row, own, at, start)
+    run = before + after
+    pair = row * w + own
+    order = np.lexsort((-run, pair))
+    pair, row, own, at, start, before, run = (x[order] for x in (pair, row, own, at, start, before, run))
+    first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+    pieces = np.diff(np.r_[first, len(pair)])
+    s = np.minimum(np.maximum(start[first] - before[first], ix.off[own[first]]), ix.off[own[first] + 1] - m)
+    best = _distances(ix, cp, off, row[first], at[first] + s - start[first], s)
+    rest = np.flatnonzero(best > 0)
+    if len(rest):
+        of_pair = np.repeat(np.arange(len(first)), pieces)
+        some = np.flatnonzero((best > 0)[of_pair])
+        hit, place = np.nonzero(_promising(ix, cp, off, row[some], own[some], at[some], start[some]))
+        k = some[hit]
+        s = start[k] + q - m + place
+        span = len(ix.cp) + 1  # pieces on one diagonal share stretches
+        _, once = np.unique((at[k] - start[k] + span) * span + s, return_index=True)
+        k, s = k[once], s[once]
+        np.minimum.at(best, of_pair[k], _distances(ix, cp, off, row[k], at[k] + s - start[k], s))
+    ok = best <= e
+    first = first[ok]
+    return row[first], own[first], best[ok], run[first], pieces[ok]
+
+
+def _chunks(batches, most: int):
+    """Batches together, up to about ``most`` bytes."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def find(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str, item_text: str, least: int = 40, edits: int = 2, block: int = 20_000) -> DataFrame:
+    """``(key, item, distance, run, pieces)``: documents that hold a passage of ``least`` consecutive letters or
+    digits of an item with at most ``edits`` edits; ``distance`` is the least number of edits of such a passage (0
+    for one that stands there as it is), ``run`` the longest unbroken stretch around one of the exact ``pieces``.
+
+    Case, blanks and punctuation are ignored. ``least`` is at most 64, a machine word. Null and empty texts leak
+    nothing and give nothing away, as do items shorter than ``least``; repeated documents each count; an empty
+    table gives no rows.
+    """
+    if not (0 <= edits and 2 <= piece_length(least, edits) and least <= 64):
+        raise ValueError("least must be at most 64, and pieces of (least + 1) // (edits + 2) at least 2 characters")
     spark = docs.sparkSession
     kind, item_kind = dict(docs.dtypes)[key], dict(items.dtypes)[item_key]
-    schema = f"key {kind}, item {item_kind}, run long, distance long, pieces long"
+    schema = f"key {kind}, item {item_kind}, distance long, run long, pieces long"
     it = items.select(F.col(item_key).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
     blocks = max(1, -(-it.count() // block))
-    out = None
-    for b in range(blocks):
+    shared = []
+    for b in range(blocks):  # one block at a time on the driver
         part = it.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == b).collect()
-        shared = spark.sparkContext.broadcast(Index([r.i for r in part], [r.t for r in part], piece))
-
-        def run(batches, shared=shared):
-            ix = shared.value
-            ids = pa.array(ix.ids)
-            for rb in batches:
-                cp, off, _ = explode(rb.column(1))
-                r, own, dist, length = hits(ix, *bare(cp, off))
-                ok = length >= least
-                r, own, dist, length = r[ok], own[ok], dist[ok], length[ok]
-                pair, inv = np.unique(r * max(len(ix.ids), 1) + own, return_inverse=True)
-                best, low, n = np.zeros(len(pair), np.int64), np.full(len(pair), 1 << 30, np.int64), np.bincount(inv, minlength=len(pair))
-                np.maximum.at(best, inv, length)
-                np.minimum.at(low, inv, dist)
-                w = max(len(ix.ids), 1)
-                yield pa.RecordBatch.from_arrays(
-                    [rb.column(0).take(pa.array(pair // w)), ids.take(pa.array(pair % w)) if len(pair) else pa.array([], rb.column(0).type if not len(ids) else ids.type), pa.array(best), pa.array(low), pa.array(n.astype(np.int64))],
-                    names=["key", "item", "run", "distance", "pieces"],
-                )
-
-        one = docs.select(F.col(key), F.col(text)).where(F.col(text).isNotNull()).mapInArrow(run, schema)
-        out = one if out is None else out.unionByName(one)
-    return out
+        shared.append(spark.sparkContext.broadcast(Index([r.i for r in part], [r.t for r in part], least, edits)))
+
+    def run(batches):
+        for chunk in _chunks(batches, 64 << 20) if len(shared) > 1 else ([b] for b in batches):
+            for s in shared:
+                ix = s.value if len(shared) == 1 else s.load_from_path(s._path)  # read anew: one block is held at a time
+                ids = pa.array(ix.ids)
+                for rb in chunk if len(ix.ids) else ():
+                    cp, off, _ = explode(rb.column(1))
+                    r, own, dist, length, n = hits(ix, *bare(cp, off))
+                    columns = [rb.column(0).take(pa.array(r)), ids.take(pa.array(own)), pa.array(dist), pa.array(length), pa.array(n)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "item", "distance", "run", "pieces"])
+
+    return docs.select(F.col(key), F.col(text)).where(F.col(text).isNotNull()).mapInArrow(run, schema)

@@ -28,6 +28,11 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splits.linked_pairs(_linked_records(spark, sf_dir))
 
 
+def p1_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every thread id with the number of others it must share a split with; the pairs' content without the pairs."""
+    return splits.linked_members(_linked_records(spark, sf_dir)).select(F.col("grp").alias("id"), "links")
+
+
 def p1_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _linked_records(spark, sf_dir).withColumn("rec", F.concat_ws(":", "table_name", F.col("record_id").cast("string")))
     out = splits.assign(r)
@@ -50,6 +55,13 @@ SELECT DISTINCT s AS id_a, d AS id_b FROM reach WHERE s < d
 """
 
 
+P1_MEMBERS_SQL = f"""
+WITH p AS ({P1_FOUND_SQL}), t AS (SELECT root_id AS id FROM {SFT} WHERE root_id IS NOT NULL UNION SELECT source_id FROM {VALID} WHERE source_id IS NOT NULL),
+b AS (SELECT id_a AS id FROM p UNION ALL SELECT id_b FROM p)
+SELECT t.id, count(b.id) AS links FROM t LEFT JOIN b ON b.id = t.id GROUP BY t.id
+"""
+
+
 # 2: broken pairs
 
 
@@ -184,13 +196,17 @@ def _leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _leaks(spark, sf_dir).select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"))
+    return _leaks(spark, sf_dir).where("distance = 0").select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"))
 
 
 def p9_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Which test items leaked, into how many documents, and how much of them at most."""
-    hit = _leaks(spark, sf_dir).groupBy("item").agg(F.count("*").alias("documents"), F.max("run").alias("longest_run"), F.min("distance").alias("least_distance"))
-    return hit.withColumnRenamed("item", "item_id")
+    """Which test items leaked as they are, and into how many documents."""
+    return _leaks(spark, sf_dir).where("distance = 0").groupBy(F.col("item").alias("item_id")).agg(F.count_distinct("key").alias("documents"))
+
+
+def p9_edited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold passages of items with one or two edits only, none as it is."""
+    return _leaks(spark, sf_dir).where("distance > 0").select(F.col("key").alias("doc_id"), F.col("item").alias("item_id"), "distance", "run", "pieces")
 
 
 P9_FOUND_SQL = """
@@ -202,6 +218,9 @@ SELECT DISTINCT h.doc_id, g.item_id FROM g JOIN h USING (w)
 """
 
 
+P9_ITEMS_SQL = f"SELECT item_id, count(*) AS documents FROM ({P9_FOUND_SQL}) GROUP BY item_id"
+
+
 # 10: wrong encodings
 
 
@@ -215,6 +234,7 @@ def p10_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": (p1_found, P1_FOUND_SQL),
+    "p1_members": (p1_members, P1_MEMBERS_SQL),
     "p1_splits": (p1_splits, None),
     "p2_found": (p2_found, None),
     "p2_rates": (p2_rates, None),
@@ -229,7 +249,8 @@ QUERIES = {
     "p7_masked": (p7_masked, None),
     "p8_containers": (p8_containers, None),
     "p9_found": (p9_found, P9_FOUND_SQL),
-    "p9_items": (p9_items, None),
+    "p9_items": (p9_items, P9_ITEMS_SQL),
+    "p9_edited": (p9_edited, None),
     "p10_found": (p10_found, None),
     "p10_restored": (p10_restored, None),
 }
