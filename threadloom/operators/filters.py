@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -19,14 +21,17 @@ def first_reason(rules: list[tuple[str, Column]]) -> Column:
     return out
 
 
-def proximity(c: Column, a: list[str], b: list[str], window: int = 60) -> Column:
-    """Whether a term of ``a`` and one of ``b`` begin within ``window`` characters of each other."""
+def near_pattern(a: list[str], b: list[str], window: int = 60) -> str:
+    """A pattern of a term of ``a`` and one of ``b`` that begin within ``window`` characters, without look-ahead, for
+    lists none of whose terms begins inside a term of the other."""
+    after = lambda x, y: "|".join(f"{t}.{{0,{window - len(t)}}}(?:{'|'.join(y)})" for t in x if len(t) <= window)
+    return f"(?s)(?:{after(a, b)}|{after(b, a)})"
 
-    def starts(terms: list[str]) -> Column:
-        hit = lambda i: F.exists(F.array(*[F.lit(t) for t in terms]), lambda t: F.substring(c, i, F.length(t)) == t)
-        return F.filter(F.sequence(F.lit(1), F.greatest(F.length(c), F.lit(1))), hit)
 
-    near = F.exists(starts(a), lambda x: F.exists(starts(b), lambda y: F.abs(x - y) <= window))
+def proximity(c: Column, a: list[str], b: list[str], window: int = 60) -> Column:
+    """Whether a term of ``a`` and one of ``b`` begin within ``window`` characters of each other. Null holds neither."""
+    one, two = ("(?:" + "|".join(re.escape(t) for t in x) + ")" for x in (a, b))
+    near = c.rlike(f"(?s)(?:(?={one}).{{0,{window}}}?{two}|(?={two}).{{0,{window}}}?{one})")
     return F.coalesce(text.any_term(c, a) & text.any_term(c, b) & near, F.lit(False))
 
 

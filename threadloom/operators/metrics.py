@@ -57,12 +57,23 @@ def wilson(hits: Column, n: Column, z: float = 1.959964) -> tuple[Column, Column
     return F.round(mid - half, 6), F.round(mid + half, 6)
 
 
-def gate(values: DataFrame, thresholds: dict[str, tuple[str, float]]) -> DataFrame:
-    """``values (metric, value)`` against thresholds: ``(metric, value, op, threshold, ok)``; a missing value fails."""
+def hist_kl_symmetric(hist: DataFrame, bins: int, a: str, b: str, eps: float) -> DataFrame:
+    """One row ``kl``: the mean of the two directions, with ``eps`` on both sides."""
+    t = hist.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).join(hist, "bin", "left").groupBy("bin")
+    t = t.agg(*[F.coalesce(F.sum(F.when(F.col("side") == x, F.col("k"))), F.lit(0)).alias(c) for c, x in (("p", a), ("q", b))])
+    t = t.join(F.broadcast(t.agg(F.sum("p").alias("tp"), F.sum("q").alias("tq"))))  # one row
+    p, q = F.col("p") / F.col("tp") + eps, F.col("q") / F.col("tq") + eps
+    return t.agg((F.sum((p - q) * F.ln(p / q)) / 2).alias("kl"))
+
+
+def gate(values: DataFrame, thresholds: dict[str, tuple[str, float]], suspect: tuple[str, ...] = ("mauve_score",), too_good: float = 0.99) -> DataFrame:
+    """``values (metric, value)`` against thresholds: ``(metric, value, op, threshold, violation)``. A missing value is
+    a violation; so is one above ``too_good`` for the ``suspect`` metrics, where it hints at a leak."""
     spark = values.sparkSession
-    t = spark.createDataFrame([(k, op, v) for k, (op, v) in thresholds.items()], "metric string, op string, threshold double")
+    t = spark.createDataFrame([(k, op, float(v)) for k, (op, v) in thresholds.items()], "metric string, op string, threshold double")
     ok = F.when(F.col("op") == "le", F.col("value") <= F.col("threshold")).otherwise(F.col("value") >= F.col("threshold"))
-    return t.join(values, "metric", "left").select("metric", "value", "op", "threshold", F.coalesce(ok, F.lit(False)).alias("ok"))
+    why = F.when(F.col("value").isNull(), "value_unavailable").when(~ok, "out_of_bounds").when(F.col("metric").isin(*suspect) & (F.col("value") > too_good), "too_good")
+    return t.join(values, "metric", "left").select("metric", "value", "op", "threshold", why.alias("violation"))
 
 
 def term_fires(df: DataFrame, c: str, terms: list[str]) -> DataFrame:

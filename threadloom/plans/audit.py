@@ -352,12 +352,15 @@ def ratio_match_grouping_sets(s, d):
     return t.groupingSets([("kind",), ()], "kind").agg(F.round(worst, 6).alias("worst")).select(F.coalesce("kind", F.lit("any")).alias("kind"), "worst")
 
 
-@query("tone_match", f"""
-WITH r AS (SELECT split, regexp_matches(output, '습니다|합니다|입니다') AS f FROM round2_build_tc_sft WHERE output IS NOT NULL)
-SELECT round(abs(avg(CASE WHEN f THEN 1 ELSE 0 END) FILTER (split = 'train') - avg(CASE WHEN f THEN 1 ELSE 0 END) FILTER (split = 'eval')), 6) AS formal_delta FROM r""")
+@query("tone_match", r"""
+WITH v AS (SELECT split, len(regexp_extract_all(output, '(?m)(합니다|합니까|하세요|하십시오|하시겠|입니다|습니다|습니까|세요|시오|겠습|에요|예요|해요|하죠|죠)[ \t\n\r\f\x0b]*[.?!]?[ \t\n\r\f\x0b]*$')) AS a, len(regexp_extract_all(output, '(?m)(해|했|한다|했다|하지|했지|함|했음|인데|인듯|거든|거임|임|음|ㅋ|ㅎ|ㅠ|ㅜ)[ \t\n\r\f\x0b]*[.?!]?[ \t\n\r\f\x0b]*$')) AS b FROM round2_build_tc_sft WHERE output IS NOT NULL),
+t AS (SELECT split, CASE WHEN a + b > 0 AND a / (a + b) > 0.7 THEN 1 ELSE 0 END AS polite, CASE WHEN a + b > 0 AND b / (a + b) > 0.7 THEN 1 ELSE 0 END AS casual FROM v)
+SELECT round(greatest(abs(avg(polite) FILTER (split = 'train') - avg(polite) FILTER (split = 'eval')), abs(avg(casual) FILTER (split = 'train') - avg(casual) FILTER (split = 'eval'))), 6) AS tone_delta FROM t""")
 def tone_match(s, d):
-    t = table(s, d, "round2_build_tc_sft", "split", "output").where("output is not null").withColumn("f", F.col("output").rlike("습니다|합니다|입니다").cast("int"))
-    return t.agg(F.round(F.abs(F.avg(F.when(F.col("split") == "train", F.col("f"))) - F.avg(F.when(F.col("split") == "eval", F.col("f")))), 6).alias("formal_delta"))
+    """The larger difference between the splits in the shares of polite and of casual texts."""
+    t = table(s, d, "round2_build_tc_sft", "split", "output").where("output is not null").withColumn("tone", text.tone_votes(F.col("output")))
+    share = lambda x, tone: F.avg(F.when(F.col("split") == x, (F.col("tone") == tone).cast("int")))
+    return t.agg(F.round(F.greatest(*[F.abs(share("train", k) - share("eval", k)) for k in ("존댓말", "반말")]), 6).alias("tone_delta"))
 
 
 @query("reply_depth_hist", "SELECT split, least(depth, 4) AS bin, count(*) AS n FROM round2_build_tc_sft WHERE depth IS NOT NULL GROUP BY 1, 2")
@@ -365,6 +368,83 @@ def reply_depth_hist(s, d):
     return table(s, d, "round2_build_tc_sft", "split", "depth").where("depth is not null").groupBy("split", F.least("depth", F.lit(4)).alias("bin")).agg(F.count("*").alias("n"))
 
 
+_DEPTH = r"CASE WHEN regexp_extract(output, '^[ \t\n\r\f\x0b]*\[([0-9]+(?:-[0-9]+)*)\]', 1) = '' THEN 0 ELSE least(4, len(string_split(regexp_extract(output, '^[ \t\n\r\f\x0b]*\[([0-9]+(?:-[0-9]+)*)\]', 1), '-'))) END"
+
+
+@query("reply_depth_kl", f"""
+WITH b AS (SELECT {_SIDE} AS side, {_DEPTH} AS bin FROM round2_build_tc_sft WHERE output IS NOT NULL AND lower(trim(kind)) IN ('comment', 'context_comment', 'reply', 'comments')),
+h AS (SELECT r.i, count(*) FILTER (side = 'a') AS p, count(*) FILTER (side = 'b') AS q FROM range(5) r(i) LEFT JOIN b ON b.bin = r.i GROUP BY r.i), n AS (SELECT sum(p) AS P1, sum(q) AS Q1 FROM h)
+SELECT coalesce(round(sum(CASE WHEN p > 0 THEN p / P1 * ln((p / P1) / (q / Q1 + 1e-12)) ELSE 0 END), 6), 0.0) AS kl FROM h, n""")
+def reply_depth_kl(s, d):
+    """KL of the reply depths 0 to 4 and more, over comments only; 0 if a side has none."""
+    t = table(s, d, "round2_build_tc_sft", "split", "kind", "output").where("output is not null").where(text.kind_of(F.col("kind")) == "comment")
+    h = t.groupBy(_split_side().alias("side"), F.least(text.reply_parts(F.col("output"))["segments"], F.lit(4)).alias("bin")).agg(F.count("*").alias("k"))
+    return metrics.hist_kl(h, 5, "a", "b").select(F.coalesce("kl", F.lit(0.0)).alias("kl"))
+
+
+def _match_sql(patterns: dict[str, str]) -> str:
+    share = lambda side, p: f"avg(CASE WHEN regexp_matches(output, '{p}') THEN 1 ELSE 0 END) FILTER (split = '{side}')"
+    worst = ", ".join(f"abs({share('train', p)} - {share('eval', p)})" for p in patterns.values())
+    return f"SELECT max(worst) AS worst FROM (SELECT round(greatest({worst}), 6) AS worst FROM round2_build_tc_sft WHERE output IS NOT NULL GROUP BY GROUPING SETS ((kind), ()))"
+
+
+def _matched(s, d, patterns):
+    t = table(s, d, "round2_build_tc_sft", "kind", "split", "output")
+    return metrics.ratio_match(t, F.col("split"), "train", "eval", "kind", "output", patterns).agg(F.max("worst").alias("worst"))
+
+
+@query("punct_match", _match_sql(packs.PUNCT))
+def punct_match(s, d):
+    return _matched(s, d, packs.PUNCT)
+
+
+@query("initial_match", _match_sql(packs.INITIALS))
+def initial_match(s, d):
+    return _matched(s, d, packs.INITIALS)
+
+
+@query("persona_share", """
+WITH p AS (SELECT id FROM persona_list), r AS (SELECT TRY_CAST(nullif(regexp_extract(lower(trim(persona_id)), '^p?-?0*([0-9]+)$', 1), '') AS INTEGER) AS n, persona FROM round2_build_tc_sft)
+SELECT round(count(*) FILTER (n IN (SELECT id FROM p) OR persona IN (SELECT name FROM persona_list)) / count(*), 6) AS consistency FROM r""")
+def persona_share(s, d):
+    """Rows whose persona, by number or by name, is in the list."""
+    r = table(s, d, "round2_build_tc_sft", "persona_id", "persona").select(text.persona_number(F.col("persona_id")).alias("id"), F.col("persona").alias("name"))
+    p = table(s, d, "persona_list", "id", "name")
+    known = lambda c: F.broadcast(p.select(c).where(F.col(c).isNotNull()).distinct().withColumn(f"has_{c}", F.lit(True)))  # noqa: E731  the fixed persona list
+    m = r.join(known("id"), "id", "left").join(known("name"), "name", "left")
+    return m.agg(F.round(F.count_if(F.coalesce("has_id", "has_name", F.lit(False))) / F.count("*"), 6).alias("consistency"))
+
+
+_HALF = "CASE WHEN ('0x' || sha256(CAST(row_id AS VARCHAR) || ':run')[1:16])::UBIGINT % 2 = 0 THEN 'a' ELSE 'b' END"
+
+
+@query("bigram_jsd_halves", _jsd_sql(2).replace(_SIDE, _HALF).replace("SELECT split, output, unnest", "SELECT row_id, output, unnest"))
+def bigram_jsd_halves(s, d):
+    """Agreement of two runs: bigrams of two halves of the outputs, by hash."""
+    half = F.when(text.hash64_mod(F.concat(F.col("row_id").cast("string"), F.lit(":run")), 2) == 0, "a").otherwise("b")
+    return metrics.jsd(metrics.gram_counts(table(s, d, "round2_build_tc_sft", "row_id", "output"), half, "output", 2), "a", "b")
+
+
+_KL_AB, _KL_BA = "sum((p / P1 + 1e-6) * ln((p / P1 + 1e-6) / (q / Q1 + 1e-6)))", "sum((q / Q1 + 1e-6) * ln((q / Q1 + 1e-6) / (p / P1 + 1e-6)))"
+
+
+@query("calibration_targets", f"""
+WITH l AS ({_HIST} SELECT {_KL_AB} AS ab, {_KL_BA} AS ba FROM h, n), u AS ({_jsd_sql(1)}), b AS ({_jsd_sql(2)})
+SELECT round((ab + ba) / 2, 6) AS length_kl_symmetric, greatest(0.08, round(b.jsd * 1.5, 6)) AS bigram_primary, greatest(0.05, round(b.jsd * 1.2, 6)) AS bigram_stretch, greatest(0.04, round(u.jsd * 1.5, 6)) AS unigram_primary,
+ greatest(0.10, round(ab + ba, 6)) AS length_kl_primary FROM l, u, b""")
+def calibration_targets(s, d):
+    """The symmetric KL of lengths, and targets as multiples of what one side of the corpus is to the other."""
+    h = _hist(s, d)
+    kl = metrics.hist_kl_symmetric(h, 14, "a", "b", 1e-6)
+    u, b = unigram_jsd_splits(s, d).select(F.col("jsd").alias("u")), bigram_jsd_splits(s, d).select(F.col("jsd").alias("b"))
+    one = kl.join(F.broadcast(u)).join(F.broadcast(b))  # one row each
+    target = lambda floor, x: F.greatest(F.lit(floor), F.round(x, 6))
+    return one.select(
+        F.round("kl", 6).alias("length_kl_symmetric"), target(0.08, F.col("b") * 1.5).alias("bigram_primary"), target(0.05, F.col("b") * 1.2).alias("bigram_stretch"),
+        target(0.04, F.col("u") * 1.5).alias("unigram_primary"), target(0.10, F.col("kl") * 2).alias("length_kl_primary"),
+    )
+
+
 @query("group_trigram_cosine", """
 WITH g AS (SELECT source, text[i:i+2] AS g FROM (SELECT source, text, unnest(range(1, length(text) - 1)) AS i FROM documents WHERE length(text) >= 3)), c AS (SELECT source, g, count(*) AS k FROM g GROUP BY 1, 2),
 n AS (SELECT source, sqrt(sum(k * k)) AS n FROM c GROUP BY 1)
@@ -389,12 +469,4 @@ def accuracy_drop_gate(s, d):
     return a.select("reviewer", F.round(F.col("v") - F.col("base"), 6).alias("delta"), (F.col("v") - F.col("base") >= -0.05).alias("ok"))
 
 
-@query("gate_eval_long", _jsd_sql(2).replace("SELECT round(sum(CASE", ", m AS (SELECT round(sum(CASE").replace("AS jsd FROM x", "AS v FROM x)") + """, t(metric, op, threshold) AS (VALUES """ + ", ".join(f"('{k}', '{op}', {v}::DOUBLE)" for k, (op, v) in packs.GATE.items()) + """)
-SELECT t.metric, CASE WHEN t.metric = 'bigram_jsd' THEN m.v END AS value, t.op, t.threshold, coalesce(CASE WHEN t.metric = 'bigram_jsd' THEN CASE WHEN t.op = 'le' THEN m.v <= t.threshold ELSE m.v >= t.threshold END END, FALSE) AS ok FROM t, m""")
-def gate_eval_long(s, d):
-    """Thresholds against the measured values; a metric that was not measured fails."""
-    v = bigram_jsd_splits(s, d).select(F.lit("bigram_jsd").alias("metric"), F.col("jsd").alias("value"))
-    return metrics.gate(v, packs.GATE)
-
-
 QUERIES = Q

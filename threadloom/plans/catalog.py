@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import audit, building, corpus, events, hierarchy
+from . import audit, building, corpus, events, gates, hierarchy
 
 QUERIES: dict = {}
-for _module in (hierarchy, corpus, audit, building, events):
+for _module in (hierarchy, corpus, audit, building, events, gates):
     QUERIES.update(_module.QUERIES)

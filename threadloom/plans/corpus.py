@@ -298,12 +298,18 @@ def promo_flags(s, d):
     return table(s, d, "phase1_data_pipeline", "record_id", "text").where(filters.is_promo(F.col("text"))).select("record_id")
 
 
-@query("proximity_block", None)
+@query("proximity_block", f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{filters.near_pattern(packs.MINOR, packs.SEXUAL)}')")
 def proximity_block(s, d):
-    """Texts with a term of two lists near each other; tested by brute force, its lists are a safety rule."""
+    """Texts with a term of two lists near each other, a safety rule."""
     return docs(s, d).where(filters.proximity(F.col("text"), packs.MINOR, packs.SEXUAL)).select("doc_id")
 
 
+@query("proximity_terms", f"SELECT doc_id FROM documents WHERE regexp_matches(text, '{filters.near_pattern(packs.TERMS[:6], packs.TERMS[6:12])}')")
+def proximity_terms(s, d):
+    """The same rule over two lists of everyday words."""
+    return docs(s, d).where(filters.proximity(F.col("text"), packs.TERMS[:6], packs.TERMS[6:12])).select("doc_id")
+
+
 @query("short_text_filter", "SELECT valid_id FROM valid WHERE length(text) >= 8 AND length(text) < 200 AND regexp_matches(text, '[가-힣]')")
 def short_text_filter(s, d):
     c = F.col("text")
