@@ -206,3 +206,55 @@ def nfkc(c: Column) -> Column:
         return pa.array([None if s is None else unicodedata.normalize("NFKC", s).translate(table) for s in t.to_pylist()], pa.string())
 
     return run(c)
+
+
+def term_density(c: Column, terms: list[str]) -> Column:
+    """Occurrences of the terms per thousand characters; 0 for empty text."""
+    n = reduce(lambda a, b: a + b, [occurrences(c, t) for t in terms])
+    return F.when(F.length(c) > 0, n / F.length(c) * 1000).otherwise(F.lit(0.0))
+
+
+# A comment's own tag, up to 30 characters in, and the tags of what it refers to.
+OWN_TAG = r"^(?:[^\[\n]{0,30})?\[([0-9]+(?:-[0-9]+)*)\]"
+REF_TAGS = r"^(?:(?:[^ \t\n\r\f]+[ \t\n\r\f]+)?\[[0-9]+(?:-[0-9]+)*\][ \t\n\r\f]*)+"
+
+
+def cleaned_comment(c: Column) -> dict[str, Column]:
+    """``key``: the comment's own tag, or null; ``body``: what follows it without any number of reference tags."""
+    t = strip(F.replace(c, F.lit("\u00a0"), F.lit(" ")))
+    key = F.regexp_extract(t, OWN_TAG, 1)
+    rest = F.regexp_replace(t, OWN_TAG + r"[ \t\n\r\f]*", "")
+    return {"key": F.when(key != "", key), "body": strip(F.regexp_replace(rest, REF_TAGS, ""))}
+
+
+def kind_derived(kinds: list[Column], post: Column, comment: Column, prompts: list[Column], body: Column) -> Column:
+    """``post`` or ``comment``: from the named kinds, else from which of the two texts is there, else from hints in the
+    prompts, else from a reply tag, else a post."""
+    blob = F.lower(F.concat_ws("\n", *prompts))
+    has_post, has_comment = falsy(post).isNotNull(), falsy(comment).isNotNull()
+    return F.coalesce(
+        *[kind_of(k) for k in kinds],
+        F.when(has_comment & ~has_post, "comment").when(has_post & ~has_comment, "post"),
+        F.when(blob.rlike("댓글|답글|comment|reply"), "comment").when(blob.rlike("게시글|본문|post|원글"), "post"),
+        F.when(body.rlike(r"^[ \t\n]*\[[0-9]+(?:-[0-9]+)*\]"), "comment").otherwise("post"),
+    )
+
+
+def joined(*cols: Column) -> Column:
+    """The cells that are neither null nor empty, one per line."""
+    return F.concat_ws("\n", *[F.when(c != "", c) for c in cols])
+
+
+def label_of(c: Column, labels: tuple[str, ...] = ("AI", "HUMAN"), default: str = "HUMAN") -> Column:
+    """The label a judge gave: the field ``label`` of a JSON answer, else the first label named in it, else the default."""
+    given = F.upper(F.trim(F.get_json_object(F.when(F.try_parse_json(c).isNotNull(), c), "$.label")))
+    named = F.upper(F.regexp_extract(c, r"(?i)\b(" + "|".join(labels) + r")\b", 1))
+    return F.coalesce(F.when(given.isin(*labels), given), F.when(named != "", named), F.lit(default))
+
+
+def without_formal_tail(c: Column) -> Column:
+    """Lines trimmed, empty ones dropped, and the last one dropped if it ends formally, unless nothing is left."""
+    lines = F.filter(F.transform(F.split(c, "\n"), strip), lambda x: x != "")
+    last = F.try_element_at(lines, F.lit(-1))
+    cut = F.when(last.rlike(r"(?:습니다|입니다|드립니다|하겠습니다)[ \t]*[.!?~]*$"), F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
+    return F.coalesce(F.nullif(F.array_join(cut, "\n"), F.lit("")), strip(c))

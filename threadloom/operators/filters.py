@@ -43,6 +43,16 @@ def is_promo(c: Column) -> Column:
     return c.rlike(r"01[016789][- .]?[0-9]{3,4}[- .]?[0-9]{4}") | c.rlike(r"https?://|open\.kakao") | (c.rlike(packs.PROMO_WORDS) & (F.length(c) > 60))
 
 
+# A formal opening or closing of generated text.
+FORMAL_GENERATED = r"(?i)안녕하세요|감사합니다\.|하겠습니다|도움이\s*되|말씀하신|문의\s*사항|참고하시기|좋은\s*하루|에\s*대해\s*알려"
+
+
+def is_dense_promo(c: Column, share: float = 0.3) -> Column:
+    """A contact, or advertising patterns that make up more matches per character than ``share``."""
+    contact = c.rlike(r"01[016789][- .]?[0-9]{3,4}[- .]?[0-9]{4}") | c.rlike(r"https?://")
+    return contact | (F.regexp_count(c, F.lit("(?i)(?:" + packs.AD + ")")) / F.greatest(F.length(c), F.lit(1)) > share)
+
+
 def entropy(df: DataFrame, key: str, c: str, n: int = 5, least: int = 60) -> DataFrame:
     """``(key, entropy)``: Shannon entropy in bits of the character n-grams of texts of ``least`` characters or more.
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import audit, building, corpus, events, gates, hierarchy
+from . import audit, building, corpus, events, gates, hierarchy, shapes
 
 QUERIES: dict = {}
-for _module in (hierarchy, corpus, audit, building, events, gates):
+for _module in (hierarchy, corpus, audit, building, events, gates, shapes):
     QUERIES.update(_module.QUERIES)
