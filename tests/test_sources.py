@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from threadloom.functions.udfs import register_udfs
 from threadloom.sources import io
@@ -11,7 +12,9 @@ def test_jsonl_modes(spark, tmp_path):
     p.write_text('{"id": 1, "t": "가"}\n\nnot json\n[1]\n{"id": 2, "t": null}\n', encoding="utf-8")
     rows, errors = io.jsonl_audit(spark, str(p), "id long, t string")
     assert [tuple(r) for r in rows.orderBy("line").collect()] == [(1, 1, "가"), (5, 2, None)]
-    assert [tuple(r)[1:] for r in errors.orderBy("line").collect()] == [(3, "bad_json"), (4, "row_not_object")]
+    assert [tuple(r)[1:] for r in errors.orderBy("line").collect()] == [(3, "bad_json", 1), (4, "row_not_object", 0)]
+    none, missing = io.jsonl_audit(spark, str(tmp_path / "none.jsonl"), "id long, t string")
+    assert none.collect() == [] and [r.error for r in missing.collect()] == ["missing_file"]
     good = tmp_path / "b.jsonl"
     good.write_text('{"id": 1, "t": "x"}\n', encoding="utf-8")
     assert io.jsonl(spark, str(good), "id long, t string").collect()[0].t == "x"
@@ -64,3 +67,56 @@ def test_sql_functions(spark):
     register_udfs(spark)
     assert [tuple(r) for r in spark.sql("SELECT * FROM char_ngrams('abcd', 3)").collect()] == [(1, "abc"), (2, "bcd")]
     assert spark.sql("SELECT nfkc('ＡＢ') x").first().x == "AB"
+    assert spark.sql("SELECT scrub_pii('mail a@b.com now') x, scrub_pii(NULL) y, size(minhash_signature('hello')) n").first() == ("mail [이메일] now", None, 128)
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    p = tmp_path / "big.txt"
+    p.write_text("".join(f"line {i}\x0b{'x' * (i % 90)}\n" for i in range(1, 3001)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = io.numbered(spark, str(p)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(got) == 3000 and all(r.value.startswith(f"line {r.line}\x0b") for r in got)
+
+
+def test_replace_keeps_the_old_data_if_writing_fails(spark, tmp_path):
+    path = str(tmp_path / "t")
+    io.write_jsonl(spark.range(3), path)
+    bad = spark.range(3).select(F.raise_error(F.lit("no")).alias("x"))
+    with pytest.raises(Exception):
+        io.write_jsonl(bad, path)
+    assert io.jsonl(spark, path, "id long").count() == 3
+    kept = io.write_jsonl(spark.range(5), path, keep=True)
+    assert io.jsonl(spark, path, "id long").count() == 5 and io.jsonl(spark, kept, "id long").count() == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == sorted(["t", kept.split("/")[-1]])
+
+
+def test_rebuild_by_parameters(spark, tmp_path):
+    calls = []
+    build = lambda n: lambda: calls.append(n) or spark.range(n)
+    for n in (2, 2, 3):
+        t, built = io.rebuild(spark, str(tmp_path / "r"), {"n": n}, build(n))
+        assert t.count() == n
+    assert calls == [2, 3] and built
+
+
+def test_reports_runs_csv_and_encodings(spark, tmp_path):
+    df = spark.createDataFrame([("a|b", 1, None)], "metric string, n int, x string")
+    assert io.markdown(df, "T") == "# T\n\n| metric | n | x |\n|-|-|-|\n| a\\|b | 1 |  |\n"
+    assert "<td>&lt;b&gt;</td>" in io.html_report(spark.createDataFrame([("<b>",)], "t string"), "R & D") and "R &amp; D" in io.html_report(df, "R & D")
+    io.write_summary(df, str(tmp_path / "s"))
+    assert spark.read.text(str(tmp_path / "s")).first().value == '{"metric":"a|b","n":1,"x":null}'
+    for run, report in (("cycle-1", '{"gate": {"verdict": "PASS"}, "metrics": {"bigram_jsd": 0.05}}'), ("cycle-2", None)):
+        (tmp_path / "runs" / run).mkdir(parents=True)
+        (tmp_path / "runs" / run / "ai_generated.jsonl").write_text('{"text": "x", "kind": "post"}\n')
+        if report:
+            (tmp_path / "runs" / run / "eval-report.json").write_text(report)
+    got = {r.run: (r.text, r.verdict, r.bigram_jsd) for r in io.runs(spark, str(tmp_path / "runs")).collect()}
+    assert got == {"cycle-1": ("x", "PASS", 0.05), "cycle-2": ("x", None, None)}
+    (tmp_path / "g.csv").write_text("id,source,topic,len\n1,ai,t,9\n")
+    assert [tuple(r) for r in io.truth_csv(spark, str(tmp_path / "g.csv")).collect()] == [("1", "ai", "t", 9)]
+    (tmp_path / "e.txt").write_bytes(b"\xef\xbb\xbfab\xffc")
+    assert io.decoded(spark, str(tmp_path / "e.txt")).first().text == "abc"

@@ -68,34 +68,39 @@ def token_hash(t: str) -> int:
     return int.from_bytes(hashlib.blake2b(t.encode("utf-8"), digest_size=8).digest(), "big")
 
 
+def signatures(t: pa.Array, num: int = 128, seed: int = 42, n: int = 5) -> pa.Array:
+    """MinHash signatures over the character shingles of a column; blank texts have zeros, null stays null."""
+    a, b = seeds(num, seed)
+    texts, hashes, known = t.to_pylist(), [], {}
+    count = np.zeros(len(texts), np.int64)
+    for i, s in enumerate(texts):
+        s = " ".join(s.split()).lower() if s else ""
+        if s:
+            sh = {s} if len(s) < n else {s[k : k + n] for k in range(len(s) - n + 1)}
+            count[i] = len(sh)
+            for q in sh:
+                if q not in known:
+                    known[q] = token_hash(q) % P61
+                hashes.append(known[q])
+    out = np.zeros((len(texts), num), np.int64)
+    some = np.flatnonzero(count)
+    if len(some):
+        x = np.array(hashes, np.uint64)
+        first = np.r_[0, np.cumsum(count[some])[:-1]]
+        for k in range(num):  # one permutation over all shingles of the batch
+            h = (_mulmod(x, a[k]) + np.uint64(b[k] % P61)) % np.uint64(P61)
+            out[some, k] = np.minimum.reduceat(h, first).astype(np.int64)
+    flat = pa.array(out.reshape(-1), pa.int64())
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * num, pa.int32()), flat)
+    return lists if all(s is not None for s in texts) else pa.array([None if s is None else r for s, r in zip(texts, out.tolist())], pa.list_(pa.int64()))
+
+
 def signature(c: Column, num: int = 128, seed: int = 42, n: int = 5) -> Column:
     """MinHash signature over the character shingles of ``c``; blank texts have zeros, null stays null."""
-    a, b = seeds(num, seed)
 
     @F.arrow_udf("array<long>")
     def run(t: pa.Array) -> pa.Array:
-        texts, hashes, known = t.to_pylist(), [], {}
-        count = np.zeros(len(texts), np.int64)
-        for i, s in enumerate(texts):
-            s = " ".join(s.split()).lower() if s else ""
-            if s:
-                sh = {s} if len(s) < n else {s[k : k + n] for k in range(len(s) - n + 1)}
-                count[i] = len(sh)
-                for q in sh:
-                    if q not in known:
-                        known[q] = token_hash(q) % P61
-                    hashes.append(known[q])
-        out = np.zeros((len(texts), num), np.int64)
-        some = np.flatnonzero(count)
-        if len(some):
-            x = np.array(hashes, np.uint64)
-            first = np.r_[0, np.cumsum(count[some])[:-1]]
-            for k in range(num):  # one permutation over all shingles of the batch
-                h = (_mulmod(x, a[k]) + np.uint64(b[k] % P61)) % np.uint64(P61)
-                out[some, k] = np.minimum.reduceat(h, first).astype(np.int64)
-        flat = pa.array(out.reshape(-1), pa.int64())
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * num, pa.int32()), flat)
-        return lists if all(s is not None for s in texts) else pa.array([None if s is None else r for s, r in zip(texts, out.tolist())], pa.list_(pa.int64()))
+        return signatures(t, num, seed, n)
 
     return run(c)
 
