@@ -102,3 +102,92 @@ def stratified(df: DataFrame, by: list[str], rank: Column, per: int) -> DataFram
     d = d.withColumn("_n", F.row_number().over(Window.partitionBy(*by, "_s").orderBy("_r"))).where(F.col("_n") <= per)
     d = d.withColumn("stratum_rank", F.row_number().over(Window.partitionBy(*by).orderBy("_r"))).where(F.col("stratum_rank") <= per)
     return d.drop("_r", "_s", "_n")
+
+
+def round_robin(targets: dict[str, int], available: dict[str, int], total: int) -> dict[str, int]:
+    """Targets cut to what is available; what is missing to ``total`` is given out one by one, in the order of the
+    names, to those that have more."""
+    out = {k: min(v, available.get(k, 0)) for k, v in sorted(targets.items())}
+    missing = total - sum(out.values())
+    while missing > 0 and any(out[k] < available.get(k, 0) for k in out):
+        for k in out:
+            if missing > 0 and out[k] < available.get(k, 0):
+                out[k] += 1
+                missing -= 1
+    return out
+
+
+def equal_targets(names: list[str], total: int) -> dict[str, int]:
+    """``total`` in equal parts, the first names getting one more."""
+    names = sorted(names)
+    return {k: total // len(names) + (i < total % len(names)) for i, k in enumerate(names)} if names else {}
+
+
+def take(df: DataFrame, by: str, rank: Column, quotas: dict[str, int]) -> DataFrame:
+    """The first ``quotas[kind]`` rows of every kind in order of ``rank``. Salted as in ``capped``; kinds are few."""
+    if not quotas:
+        return df.limit(0)
+    quota = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(v))])
+    d = df.where(F.col(by).isin(list(quotas))).withColumn("_r", rank).withColumn("_q", F.element_at(quota, F.col(by))).withColumn("_s", F.pmod(F.xxhash64("_r"), F.lit(16)))
+    d = d.withColumn("_n", F.row_number().over(Window.partitionBy(by, "_s").orderBy("_r"))).where(F.col("_n") <= F.col("_q"))
+    d = d.withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy("_r"))).where(F.col("_n") <= F.col("_q"))
+    return d.drop("_r", "_q", "_s", "_n")
+
+
+def _firsts(d: DataFrame, by: list[str], n: Column) -> DataFrame:
+    """The first ``n`` rows by ``_r`` of every group: of 16 slices of it first, then of the group."""
+    d = d.withColumn("_s", F.pmod(F.xxhash64("_r"), F.lit(16)))
+    d = d.withColumn("_n", F.row_number().over(Window.partitionBy(*by, "_s").orderBy("_r"))).where(F.col("_n") <= n)
+    return d.withColumn("_n", F.row_number().over(Window.partitionBy(*by).orderBy("_r"))).where(F.col("_n") <= n).drop("_s", "_n")
+
+
+def greedy_quota(df: DataFrame, task: str, bucket: str, source: str, rank: Column, quotas: dict[str, int], cap: int) -> DataFrame:
+    """Rows chosen per task: bucket by bucket in proportion to their sizes, in order of ``rank``, at most ``cap`` rows of
+    a source over all buckets; what a bucket leaves open is filled from the rest in order of ``rank``.
+
+    Which rows the cap takes depends on the rows before, so a task is decided in one place, from no more than three
+    times its quota per bucket: more rows cannot be looked at.
+    """
+    d = df.where(F.col(task).isin(list(quotas))).withColumn("_r", rank)
+    sizes: dict[str, dict[str, int]] = {}
+    for r in d.groupBy(task, bucket).agg(F.count("*").alias("n")).collect():  # one row per task and bucket
+        sizes.setdefault(r[task], {})[r[bucket]] = r.n
+    quota = F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(v))])
+    # in a bucket no source gives more than its first `cap` rows; and of the rows left, at most as many as the quota are
+    # refused for the cap in each of the two passes, so three times the quota, in order, is all that can be looked at
+    d = d.withColumn("_q", F.element_at(quota, F.col(task)))
+    blank = F.coalesce(F.col(source), F.lit("")) == ""
+    d = _firsts(d.where(~blank), [task, bucket, source], F.lit(cap)).unionByName(d.where(blank))
+    d = _firsts(d, [task, bucket], F.col("_q") * 3)
+    names = df.columns
+
+    def choose(f):
+        t = f[task].iloc[0]
+        want = largest_remainder(sizes[t], min(quotas[t], sum(sizes[t].values())), sizes[t])
+        taken, of_source = [], {}
+
+        def passes(order, open_in=None):
+            for i in order:
+                if len(taken) == quotas[t]:
+                    return
+                b, src = f.at[i, bucket], f.at[i, source] or ""
+                if i in seen or (open_in is not None and open_in.get(b, 0) <= 0) or (src and of_source.get(src, 0) >= cap):
+                    continue
+                taken.append(i)
+                seen.add(i)
+                of_source[src] = of_source.get(src, 0) + 1
+                if open_in is not None:
+                    open_in[b] -= 1
+
+        seen: set = set()
+        passes(f.sort_values([bucket, "_r"], kind="stable").index, dict(want))
+        passes(f.sort_values("_r", kind="stable").index)
+        return f.loc[taken, names]
+
+    def run(table):
+        import pyarrow as pa
+
+        out = choose(table.to_pandas())
+        return pa.Table.from_pandas(out, schema=pa.schema([table.schema.field(n) for n in names]), preserve_index=False)
+
+    return d.groupBy(task).applyInArrow(run, df.schema)

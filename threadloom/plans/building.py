@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
-from ..operators import examples, sampling
+from ..functions import packs, text
+from ..operators import examples, filters, sampling
 from ..session import table
 
 Q: dict = {}
@@ -21,6 +21,9 @@ def query(name: str, sql: str | None):
     return add
 
 
+_AD = "(?i)(?:" + packs.AD.replace(r"\s", r"[ \t\n\r\f\x0b]") + ")"
+
+
 def sft(s: SparkSession, d: str, *cols: str) -> DataFrame:
     return table(s, d, T, *cols)
 
@@ -32,12 +35,15 @@ def split_sha256_ab(s, d):
 
 
 @query("split_md5_thread", """
-WITH h AS (SELECT DISTINCT thread_key, md5(thread_key) AS m FROM phase1_data_pipeline WHERE thread_key IS NOT NULL)
-SELECT thread_key, CAST((((('0x' || m[1:16])::UBIGINT % 10000) * 1616 + ('0x' || m[17:32])::UBIGINT % 10000) % 10000) AS INTEGER) AS bucket, (((('0x' || m[1:16])::UBIGINT % 10000) * 1616 + ('0x' || m[17:32])::UBIGINT % 10000) % 10000) < 500 AS in_val FROM h""")
+WITH v AS (SELECT DISTINCT source_id FROM valid WHERE source_id IS NOT NULL), h AS (SELECT DISTINCT thread_key, md5(thread_key) AS m FROM phase1_data_pipeline WHERE thread_key IS NOT NULL),
+b AS (SELECT thread_key, CAST((((('0x' || m[1:16])::UBIGINT % 10000) * 1616 + ('0x' || m[17:32])::UBIGINT % 10000) % 10000) AS INTEGER) AS bucket FROM h)
+SELECT thread_key, bucket, bucket < 500 OR thread_key IN (SELECT source_id FROM v) AS in_val FROM b""")
 def split_md5_thread(s, d):
+    """Threads by their digest, and those that hold validation rows already."""
     t = table(s, d, "phase1_data_pipeline", "thread_key").where("thread_key is not null").distinct()
+    v = table(s, d, "valid", "source_id").where("source_id is not null").select(F.col("source_id").alias("thread_key")).distinct().withColumn("held", F.lit(True))
     b = text.md5_mod_10000(F.col("thread_key"))
-    return t.select("thread_key", b.alias("bucket"), (b < 500).alias("in_val"))
+    return t.join(v, "thread_key", "left").select("thread_key", b.alias("bucket"), ((b < 500) | F.col("held").isNotNull()).alias("in_val"))
 
 
 @query("split_time_95_5", """
@@ -103,6 +109,73 @@ def quota_largest_remainder(s, d):
     return s.createDataFrame([(k, c[k], q[k]) for k in sorted(c)], "source string, available long, quota long")
 
 
+@query("bucket_quota", """
+WITH c AS (SELECT length_bucket AS bucket, count(*) AS n FROM documents WHERE length_bucket IS NOT NULL GROUP BY 1), t AS (SELECT bucket, n, least(300, sum(n) OVER ()) * n / sum(n) OVER () AS x, least(300, sum(n) OVER ()) AS total FROM c), f AS (SELECT *, CAST(floor(x) AS BIGINT) AS b, x - floor(x) AS r FROM t),
+k AS (SELECT bucket, n, b, row_number() OVER (ORDER BY r DESC, bucket) AS rn, total - sum(b) OVER () AS spare FROM f)
+SELECT bucket, n AS available, CAST(b + CASE WHEN rn <= spare THEN 1 ELSE 0 END AS BIGINT) AS quota FROM k""")
+def bucket_quota(s, d):
+    c = {r.length_bucket: r.n for r in table(s, d, "documents", "length_bucket").where("length_bucket is not null").groupBy("length_bucket").agg(F.count("*").alias("n")).collect()}  # one row per bucket
+    q = sampling.largest_remainder(c, min(300, sum(c.values())), c)
+    return s.createDataFrame([(k, c[k], q[k]) for k in sorted(c)], "bucket string, available long, quota long")
+
+
+@query("greedy_quota_selection", None)
+def greedy_quota_selection(s, d):
+    """Rows per kind by quotas over length buckets, at most 4 of a source over all buckets."""
+    t = sft(s, d, "row_id", "kind", "root_id", "output").where("output is not null and kind is not null").select("row_id", "kind", text.bucket_b(F.col("output")).alias("bucket"), F.col("root_id").alias("source"))
+    return sampling.greedy_quota(t, "kind", "bucket", "source", F.sha1(F.col("row_id").cast("string")), {"comment": 200, "reply": 120, "post": 80}, 4).select("row_id", "kind", "bucket")
+
+
+@query("paired_sample", """
+WITH a AS (SELECT kind, count(*) FILTER (split = 'train') AS x, count(*) FILTER (split = 'eval') AS y FROM round2_build_tc_sft WHERE kind IS NOT NULL GROUP BY kind), k AS (SELECT kind, least(x, y) AS room, row_number() OVER (ORDER BY kind) AS i, count(*) OVER () AS n FROM a WHERE x > 0 AND y > 0),
+q AS (SELECT kind, CASE WHEN n = 1 THEN least(60, room) ELSE least(60 // n + CASE WHEN i <= 60 % n THEN 1 ELSE 0 END, room) END AS quota FROM k),
+r AS (SELECT row_id, kind, split, row_number() OVER (PARTITION BY kind, split ORDER BY sha1(CAST(row_id AS VARCHAR)), row_id) AS rn FROM round2_build_tc_sft)
+SELECT r.row_id, r.kind, r.split FROM r JOIN q USING (kind) WHERE rn <= quota AND split IN ('train', 'eval')""")
+def paired_sample(s, d):
+    """As many rows of every kind from both splits; kinds that lack rows are made up for, one by one, by the others."""
+    t = sft(s, d, "row_id", "kind", "split").where("kind is not null")
+    n = t.groupBy("kind").agg(F.count_if(F.col("split") == "train").alias("x"), F.count_if(F.col("split") == "eval").alias("y")).collect()  # one row per kind
+    room = {r.kind: min(r.x, r.y) for r in n if r.x and r.y}
+    quotas = sampling.round_robin(sampling.equal_targets(list(room), 60), room, 60)
+    rank = F.struct(F.sha1(F.col("row_id").cast("string")), "row_id")
+    return sampling.take(t.where("split = 'train'"), "kind", rank, quotas).unionByName(sampling.take(t.where("split = 'eval'"), "kind", rank, quotas))
+
+
+_MIX = {"ko": 0.33, "en": 0.33, "es": 0.17, "fr": 0.17}
+
+
+@query("class_mix", """
+WITH c AS (SELECT lang, count(*) AS n FROM documents WHERE lang IN ('ko', 'en', 'es', 'fr') GROUP BY lang), q(lang, target) AS (VALUES ('ko', 13), ('en', 13), ('es', 7), ('fr', 7)),
+r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha1(CAST(doc_id AS VARCHAR)), doc_id) AS rn FROM documents WHERE lang IN ('ko', 'en', 'es', 'fr')), m AS (SELECT r.doc_id, r.lang FROM r JOIN q USING (lang) WHERE rn <= target)
+SELECT doc_id, lang, CASE WHEN h < 80 THEN 'train' WHEN h < 90 THEN 'validation' ELSE 'test' END AS split FROM (SELECT *, ('0x' || sha256(CAST(doc_id AS VARCHAR) || ':mix')[1:16])::UBIGINT % 100 AS h FROM m)""")
+def class_mix(s, d):
+    """40 texts of four classes by shares, missing ones made up for by the others, with a hash split of 80/10/10."""
+    t = table(s, d, "documents", "doc_id", "lang").where(F.col("lang").isin(list(_MIX)))
+    have = {r.lang: r.n for r in t.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row per class
+    quotas = sampling.largest_remainder(_MIX, 40, have)
+    h = text.hash64_mod(F.concat(F.col("doc_id").cast("string"), F.lit(":mix")), 100)
+    rank = F.struct(F.sha1(F.col("doc_id").cast("string")), "doc_id")
+    return sampling.take(t, "lang", rank, quotas).withColumn("split", F.when(h < 80, "train").when(h < 90, "validation").otherwise("test"))
+
+
+@query("job_mix", """
+WITH r AS (SELECT record_id, kind, row_number() OVER (PARTITION BY kind ORDER BY sha1(CAST(record_id AS VARCHAR)), record_id) AS rn, count(*) OVER (PARTITION BY kind) AS n FROM phase1_data_pipeline WHERE kind IN ('post', 'comment')),
+q AS (SELECT least((SELECT count(*) FROM r WHERE kind = 'post'), greatest(1, 50)) AS posts)
+SELECT record_id, kind FROM r, q WHERE rn <= CASE kind WHEN 'post' THEN posts ELSE 100 - posts END""")
+def job_mix(s, d):
+    """100 jobs, half of them posts as far as there are any; the other kind makes up for what is missing."""
+    t = table(s, d, "phase1_data_pipeline", "record_id", "kind").where(F.col("kind").isin("post", "comment"))
+    have = {r.kind: r.n for r in t.groupBy("kind").agg(F.count("*").alias("n")).collect()}  # two rows
+    quotas = sampling.round_robin({"post": 50, "comment": 50}, have, 100)
+    return sampling.take(t, "kind", F.struct(F.sha1(F.col("record_id").cast("string")), "record_id"), quotas)
+
+
+@query("first_rows", "SELECT row_id, instruction FROM round2_build_tc_sft ORDER BY row_id LIMIT 100")
+def first_rows(s, d):
+    """A cap on the rows of a run: the first 100 by id (the feature)."""
+    return sft(s, d, "row_id", "instruction").orderBy("row_id").limit(100)
+
+
 @query("capped_per_source", f"""
 SELECT row_id, source FROM (SELECT row_id, source, row_number() OVER (PARTITION BY source ORDER BY sha1(CAST(row_id AS VARCHAR)), row_id) AS rn FROM {T}) WHERE source IS NULL OR rn <= 40""")
 def capped_per_source(s, d):
@@ -130,6 +203,46 @@ def sft_pairs_v3(s, d):
     return examples.thread_pairs(sft(s, d, "row_id", "instruction", "output", "node_id", "parent_id"))
 
 
+@query("continuation_rows", f"""
+WITH p AS (SELECT record_id, source_id, thread_key, trim(text) AS target FROM phase1_data_pipeline WHERE kind = 'post' AND trim(text) <> '' AND NOT regexp_matches(text, '{_AD}'))
+SELECT record_id, coalesce(source_id, thread_key) AS thread_key, 'post_continuation' AS task_type, 0 AS depth, CASE WHEN length(target) > 256 THEN rtrim(target[1:256]) || '...' ELSE target END AS post_body_excerpt, target AS target_comment,
+ CASE WHEN length(target) < 40 THEN 'xs' WHEN length(target) < 80 THEN 'sm' WHEN length(target) < 160 THEN 'md' ELSE 'lg' END AS length_bucket FROM p""")
+def continuation_rows(s, d):
+    """Posts as rows that continue themselves, at depth 0."""
+    p = table(s, d, "phase1_data_pipeline", "record_id", "kind", "source_id", "thread_key", "text").where((F.col("kind") == "post") & (F.trim("text") != "") & ~F.col("text").rlike("(?i)(?:" + packs.AD + ")"))
+    t = F.trim("text")
+    return p.select("record_id", F.coalesce("source_id", "thread_key").alias("thread_key"), F.lit("post_continuation").alias("task_type"), F.lit(0).alias("depth"), text.excerpt(F.col("text")).alias("post_body_excerpt"), t.alias("target_comment"), text.bucket_b(F.col("text")).alias("length_bucket"))
+
+
+@query("thread_tasks", r"""
+WITH c AS (SELECT row_id, output, regexp_extract(output, '^[ \t\n\r\f\x0b]*\[([0-9]+(?:-[0-9]+)*)\]', 1) AS k, regexp_replace(output, '^[ \t\n\r\f\x0b]*\[([0-9]+(?:-[0-9]+)*)\][ \t\n\r\f\x0b]*', '') AS body FROM round2_build_tc_sft WHERE output IS NOT NULL),
+r AS (SELECT CASE WHEN contains(k, '-') THEN 'reply' ELSE 'root_comment' END AS task_type, CASE WHEN regexp_matches(output, '@BLOCKED@') THEN 'placeholder' WHEN regexp_matches(body, '@AD@') THEN 'ad' WHEN regexp_replace(body, '@WS@+', '', 'g') = '' THEN 'empty' END AS reason FROM c)
+SELECT task_type, coalesce(reason, 'kept') AS outcome, count(*) AS rows FROM r GROUP BY 1, 2""".replace("@BLOCKED@", packs.BLOCKED.replace(r"\s", r"[ \t\n\r\f\x0b]")).replace("@AD@", _AD).replace("@WS@", text.WS))
+def thread_tasks(s, d):
+    """Task types of the rows, and why rows fall, the first reason first."""
+    t = sft(s, d, "output").where("output is not null")
+    r = text.reply_parts(F.col("output"))
+    reason = filters.first_reason([("placeholder", F.col("output").rlike(packs.BLOCKED)), ("ad", r["body"].rlike("(?i)(?:" + packs.AD + ")")), ("empty", text.strip(r["body"]) == "")])
+    return t.groupBy(F.when(r["segments"] > 1, "reply").otherwise("root_comment").alias("task_type"), F.coalesce(reason, F.lit("kept")).alias("outcome")).agg(F.count("*").alias("rows"))
+
+
+@query("thread_conditioned_rows", f"""
+WITH p AS (SELECT name, tone, mood, row_number() OVER (ORDER BY id) - 1 AS i, count(*) OVER () AS n FROM persona_list), o AS (SELECT node_id, max_by(output, row_id) AS parent FROM {T} WHERE output IS NOT NULL GROUP BY node_id),
+h AS (SELECT *, ('0x' || sha256(CAST(row_id AS VARCHAR))[1:16])::UBIGINT AS h FROM {T} WHERE output IS NOT NULL)
+SELECT h.row_id, h.instruction, '[CONTEXT]' || chr(10) || coalesce(o.parent, '(no parent)') || chr(10) || '[REPLY-DEPTH=' || coalesce(CAST(h.depth AS VARCHAR), '1') || ']' || chr(10) || '[PERSONA: ' || concat_ws(' | ', p.name, p.tone, p.mood) || ']' AS input, h.output,
+ CASE WHEN len(list_distinct(list_concat(regexp_extract_all(coalesce(h.instruction, ''), '{'|'.join(packs.TERMS)}'), regexp_extract_all(h.output, '{'|'.join(packs.TERMS)}')))) >= 2 THEN 1.5 ELSE 1.0 END::DOUBLE AS loss_weight
+FROM h LEFT JOIN o ON o.node_id = h.parent_id JOIN p ON p.i = h.h % p.n""")
+def thread_conditioned_rows(s, d):
+    """Reply rows with their context, depth, a persona by hash and the weight of their terms."""
+    people = table(s, d, "persona_list", "id", "name", "tone", "mood").orderBy("id").collect()  # the fixed persona list
+    i = text.hash64_mod(F.col("row_id").cast("string"), len(people))
+    persona = F.element_at(F.array(*[F.lit(" | ".join(x for x in (p.name, p.tone, p.mood) if x is not None)) for p in people]), i + 1)
+    t = sft(s, d, "row_id", "instruction", "output", "node_id", "parent_id", "depth").where("output is not null")
+    o = t.groupBy(F.col("node_id").alias("parent_id")).agg(F.max_by("output", "row_id").alias("parent"))
+    line = F.concat(F.lit("[CONTEXT]\n"), F.coalesce("parent", F.lit("(no parent)")), F.lit("\n[REPLY-DEPTH="), F.coalesce(F.col("depth").cast("string"), F.lit("1")), F.lit("]\n[PERSONA: "), persona, F.lit("]"))
+    return t.join(o, "parent_id", "left").select("row_id", "instruction", line.alias("input"), "output", text.loss_weight([F.col("instruction"), F.col("output")], packs.TERMS).alias("loss_weight"))
+
+
 @query("chat_messages", f"""
 SELECT row_id, '[{{"role":"user","content":' || to_json(instruction) || '}},{{"role":"assistant","content":' || to_json(output) || '}}]' AS messages FROM {T} WHERE output IS NOT NULL""")
 def chat_messages(s, d):
@@ -152,6 +265,58 @@ def masked_labels(s, d):
     return t.select("row_id", *[c.alias(k) for k, c in e.items()])
 
 
+_WORDS = r"[^ \t\n\r\f\x0b]+"
+
+
+@query("raw_examples", f"SELECT doc_id, CAST(least(1024, len(regexp_extract_all(text, '{_WORDS}')) + 1) AS INTEGER) AS ids, CAST(least(1024, len(regexp_extract_all(text, '{_WORDS}')) + 1) AS INTEGER) AS labels FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]')")
+def raw_examples(s, d):
+    """Raw rows whose labels are their ids, as sizes; texts whose only white space is ASCII, on which engines agree."""
+    t = table(s, d, "documents", "doc_id", "text").where("text is not null").where(~F.col("text").rlike(r"[\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"))
+    e = examples.raw_example(F.col("text"), 1024)
+    return t.select("doc_id", F.size(e["input_ids"]).alias("ids"), F.size(e["labels"]).alias("labels"))
+
+
+@query("chat_masks", None)
+def chat_masks(s, d):
+    """Chat examples: how many ids come before the last assistant mark, and how many are learned."""
+    t = sft(s, d, "row_id", "instruction", "output").where("output is not null and instruction is not null")
+    e = examples.chat_example(examples.chat_text("system", F.col("instruction"), F.col("output")), 1024)
+    return t.select("row_id", F.size(e["input_ids"]).alias("ids"), F.size(F.filter(e["labels"], lambda x: x != examples.IGNORE)).alias("learned"), e["trainable"].alias("trainable"))
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace(coalesce({c}, ''), '^{text.WS}+|{text.WS}+$', '', 'g')"
+
+
+@query("schema_branches", f"""
+WITH r AS (SELECT row_id, row_id % 2 = 0 AS paired, {_strip('instruction')} AS i, {_strip('input')} AS x, {_strip('output')} AS o, output FROM {T})
+SELECT row_id, CASE WHEN paired THEN 'instruction' ELSE 'post' END AS branch, CASE WHEN i <> '' AND o <> '' THEN i || CASE WHEN paired AND x <> '' THEN chr(10) || x ELSE '' END || chr(10) END AS prompt, CASE WHEN i <> '' AND o <> '' THEN o END AS answer FROM r""")
+def schema_branches(s, d):
+    """Rows of two schemas (odd ones read as post and comment) brought to prompt and answer."""
+    t, even = sft(s, d, "row_id", "instruction", "input", "output"), F.col("row_id") % 2 == 0
+    none = F.lit(None).cast("string")
+    only = lambda c, yes: F.when(yes, F.coalesce(F.col(c), F.lit(""))).otherwise(none)
+    b = examples.prompt_and_answer(only("instruction", even), F.col("input"), only("output", even), only("instruction", ~even), only("output", ~even))
+    return t.select("row_id", *[c.alias(k) for k, c in b.items()])
+
+
+@query("preference_pairs_filled", f"""
+WITH x AS (SELECT {_strip('text')} AS t FROM valid UNION SELECT {_strip('output')} FROM {T} WHERE split = 'eval'), r AS (SELECT * FROM {T} WHERE split = 'train' AND length(output) BETWEEN 8 AND 199),
+c AS (SELECT output, row_number() OVER (ORDER BY sha1(CAST(row_id AS VARCHAR) || ':11'), row_id) AS pair FROM r WHERE regexp_matches(output, '[가-힣]') AND NOT regexp_matches(output, '(습니다|합니다)') AND {_strip('output')} NOT IN (SELECT t FROM x)),
+b AS (SELECT output, row_number() OVER (ORDER BY sha1(CAST(row_id AS VARCHAR) || ':11'), row_id) AS pair FROM r WHERE regexp_matches(output, '(습니다|합니다)')),
+j AS (SELECT c.pair, c.output AS chosen, b.output AS bad, ('0x' || sha256(CAST(c.pair AS VARCHAR))[1:16])::UBIGINT % 3 AS m FROM c LEFT JOIN b USING (pair))
+SELECT pair, chosen, coalesce(bad, CASE m WHEN 0 THEN '다음과 같은 점을 안내드립니다. ' || chosen WHEN 1 THEN chosen || ' 참고만 해주세요' ELSE '다음과 같은 점을 안내드립니다. ' || chosen || ' 참고만 해주세요' END) AS rejected, bad IS NOT NULL AS mined FROM j WHERE pair <= 1500""")
+def preference_pairs_filled(s, d):
+    """Short casual training outputs outside the held-out texts against formal ones, filled up with synthetic negatives;
+    1,500 pairs is the size of the data set built."""
+    t = sft(s, d, "row_id", "split", "output")
+    held = table(s, d, "valid", "text").select(F.col("text").alias("t")).unionByName(t.where("split = 'eval'").select(F.col("output").alias("t")))
+    held = held.select(F.sha2(text.strip(F.coalesce("t", F.lit(""))), 256).alias("h")).distinct()
+    formal = F.col("output").rlike("(습니다|합니다)")
+    rows = t.where("split = 'train'").where(F.length("output").between(8, 199))
+    return examples.mined_pairs(rows, "row_id", "output", held, F.col("output").rlike("[가-힣]") & ~formal, formal, 1500)
+
+
 @query("preference_pairs", f"""
 WITH c AS (SELECT output, row_number() OVER (ORDER BY sha1(CAST(row_id AS VARCHAR) || ':11'), row_id) AS pair FROM {T} WHERE length(output) >= 30 AND regexp_matches(output, 'ㅋㅋ|ㅎㅎ|ㅠㅠ')),
 r AS (SELECT output, row_number() OVER (ORDER BY sha1(CAST(row_id AS VARCHAR) || ':11'), row_id) AS pair FROM {T} WHERE length(output) BETWEEN 15 AND 256 AND regexp_matches(output, '(습니다|합니다)') AND NOT regexp_matches(output, 'ㅋㅋ|ㅎㅎ|ㅠㅠ'))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import audit, building, corpus, events, files, gates, hierarchy, shapes
+from . import audit, building, corpus, events, files, gates, hierarchy, links, shapes
 
 QUERIES: dict = {}
-for _module in (hierarchy, corpus, audit, building, events, files, gates, shapes):
+for _module in (hierarchy, corpus, audit, building, events, gates, shapes, files, links):
     QUERIES.update(_module.QUERIES)
