@@ -134,8 +134,11 @@ def test_wilson_and_gate(spark):
     got = [(round(a, 4), round(b, 4)) for a, b in df.select(lo, hi).collect()]
     assert got == [(0.3346, 0.4692), (0.2873, 0.4184), (0.4808, 0.6174)]
     v = spark.createDataFrame([("bigram_jsd", 0.01)], "metric string, value double")
-    g = {r.metric: r.ok for r in metrics.gate(v, packs.GATE).collect()}
-    assert g["bigram_jsd"] and not g["mauve_score"] and len(g) == 7
+    g = {r.metric: r.violation for r in metrics.gate(v, packs.GATE).collect()}
+    assert g["bigram_jsd"] is None and g["mauve_score"] == "value_unavailable" and len(g) == 7
+    v = spark.createDataFrame([("bigram_jsd", 0.2), ("mauve_score", 0.995)], "metric string, value double")
+    g = {r.metric: r.violation for r in metrics.gate(v, packs.GATE).collect()}
+    assert g["bigram_jsd"] == "out_of_bounds" and g["mauve_score"] == "too_good"
 
 
 def test_percentiles(spark):
@@ -166,12 +169,143 @@ def test_examples(spark):
 
 def test_rules():
     s = rules.step({"bigram_jsd": 0.2}, rules.State())
-    assert s.recipe == {"epochs": 2} and s.stop is None
-    for _ in range(2):
-        s = rules.step({"bigram_jsd": 0.201}, s)
-    assert s.stop == "stagnation"
-    assert rules.step({"bigram_jsd": 0.01}, rules.State()).stop == "passed"
-    assert rules.step({"bigram_jsd": 0.2}, rules.State(spent=24.9), cost=1).stop == "budget"
+    assert s.recipe == {"CPT_NUM_EPOCHS": 2} and s.stop is None and s.cycle == 1
+    fired = []
+    s = rules.State()
+    for k in range(8):
+        s = rules.step({"bigram_jsd": 0.2 + 0.02 * k}, s, cycles=99)
+        fired.append(s.history[-1]["rule"] if s.stop is None else s.stop)
+    assert fired == ["R1", "R1b", "R1c", "R7", "R7_FOLLOWUP", "R7_EXHAUSTED", "R7_EXHAUSTED", "R7_EXHAUSTED"]
+    near = {"bigram_jsd": 0.14, "length_kl": 0.095, "digit_density_delta": 0.029}
+    first = lambda m, **st: rules.first_match(m, rules.State(**st)).name
+    assert first(near) == "R5" and first({}) == "R6" and first({}, recipe={"LORA_R": 128}) == "NO_RULE"
+    assert first({"length_kl": 0.2}) == "R2" and first({"length_kl": 0.2}, data={"OVERSAMPLE_LG_XXL": 3}) == "R2b" and first({"english_density_delta": 0.03}) == "R3"
+    assert first({"mauve_score": 0.5}) == "R4" and first({"mauve_score": 0.5}, recipe={"CPT_USE_DORA": 1}) == "R4b"
+    past = tuple({"rule": "x", "metrics": {"bigram_jsd": j}, "recipe": {}, "data": {}} for j in (0.100, 0.102))
+    assert first({}, history=past) == "R8" and rules.step({}, rules.State(history=past)).stop == "stagnation"  # it stops before that rule
+    assert rules.step({"bigram_jsd": 0.01}, rules.State(), passed=True).stop == "converged"
+    assert rules.step({}, rules.State(spent=25.0)).stop == "budget" and rules.step({}, rules.State(cycle=5)).stop == "cycles"
+    second = lambda m, **r: rules.first_match(m, rules.State(recipe=r), rules.RULES_V2).name
+    assert [second(m) for m in ({"domain_keyword_alignment": 0.3}, {"reply_depth_kl": 0.3}, {"persona_consistency": 0.5}, {"punct_ratio_match": 0.3}, {"initial_marker_match": 0.3}, {})] == ["R7", "R8", "R9", "R10", "R11", "R7-R11_NOOP"]
+    assert second({"reply_depth_kl": 0.3, "persona_consistency": 0.5}, SEQ_LEN=3072) == "R9"
+
+
+def test_patterns_that_match_nothing_in_the_test_tables(spark):
+    from threadloom.plans import corpus
+
+    ads = ["카톡 아이디: abcd12", "예약 문의 받아요", "선착순 30명", "오늘만 50% 할인", "무료 체험 신청", "입금 확인 후"]
+    assert all(re.search("(?i)" + packs.AD, t) for t in ads) and not any(re.search("(?i)" + packs.AD, t) for t in ["보증금 문의했어요", "카톡으로 말했어", "50% 정도"])
+    secrets = ["sk-" + "a1" * 10, "hf_" + "b" * 20, "AKIA" + "C3" * 8, 'token = "x"']
+    assert one(spark, lambda c: c.rlike(packs.SECRET), *secrets, "token of thanks", None) == [True] * 4 + [False, None]
+    assert one(spark, lambda c: c.rlike("|".join(packs.FORMAL_AI)), "죄송하지만 몰라요", "몰라") == [True, False]
+    assert one(spark, lambda c: filters.proximity(c, packs.MINOR, packs.SEXUAL), f"{packs.MINOR[0]} 그리고 {packs.SEXUAL[0]}", packs.MINOR[0] + "가" * 80 + packs.SEXUAL[0], packs.SEXUAL[0]) == [True, False, False]
+    assert re.search(filters.near_pattern(packs.MINOR, packs.SEXUAL), f"{packs.SEXUAL[0]} {packs.MINOR[0]}") and "secret_scan" in corpus.QUERIES
+
+
+def test_term_fires_against_counting(spark):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abㅋ가 ") for _ in range(rng.randrange(60))) for _ in range(200)] + [None, "", "가나" * 5000]
+    terms = ["a", "ab", "aba", "ㅋㅋ", "가", "bb", "가나가", "zz"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(5)
+    got = {r.term: (r.fires, r.rows_with) for r in metrics.term_fires(df, "t", terms).collect()}
+    want = {x: (sum((t or "").count(x) for t in texts), sum(x in (t or "") for t in texts)) for x in terms}
+    assert got == {k: v for k, v in want.items() if v[0]}
+    assert metrics.term_fires(df.limit(0), "t", terms).collect() == []
+
+
+def test_running_sums_over_ranges(spark):
+    rows = [(i, (i * 7) % 11) for i in random.Random(6).sample(range(500), 300)]
+    df = spark.createDataFrame(rows, "k long, w long")
+    for per in (1_000_000, 40):
+        got = {r.k: r.rn for r in sampling.running(df, "k", "w", per).collect()}
+        total, want = 0, {}
+        for k, w in sorted(rows):
+            total += w
+            want[k] = total
+        assert got == want
+    assert sampling.row_numbers(df.limit(0), "k").collect() == []
+    assert sorted(r.k for r in sampling.first_share(df, "k", 10).collect()) == sorted(k for k, _ in rows)[:10]
+
+
+def test_quotas():
+    assert sampling.largest_remainder({"a": 1, "b": 1}, 10, {"a": 2, "b": 100}) == {"a": 2, "b": 8}
+    assert sampling.largest_remainder({"a": 1, "b": 1}, 10, {"a": 2, "b": 3}) == {"a": 2, "b": 3}
+    assert sampling.equal_targets(["y", "x"], 5) == {"x": 3, "y": 2} and sampling.equal_targets([], 5) == {}
+    assert sampling.round_robin({"a": 5, "b": 5}, {"a": 1, "b": 9}, 10) == {"a": 1, "b": 9} and sampling.round_robin({"a": 5}, {"a": 3}, 9) == {"a": 3}
+
+
+def test_greedy_quota_against_the_loop(spark):
+    rng = random.Random(7)
+    rows = [(i, rng.choice("tu"), rng.choice("xyz"), rng.choice(["s1", "s1", "s1", "s2", "s3", None, ""]), f"{rng.random():.9f}") for i in range(400)]
+    df = spark.createDataFrame(rows, "i long, task string, bucket string, src string, rank string")
+    quotas, cap = {"t": 40, "u": 300}, 6
+    got = {}
+    for r in sampling.greedy_quota(df, "task", "bucket", "src", F.col("rank"), quotas, cap).collect():
+        got.setdefault(r.task, set()).add(r.i)
+    for t, q in quotas.items():
+        mine = [r for r in rows if r[1] == t]
+        sizes = {b: sum(r[2] == b for r in mine) for b in "xyz"}
+        want = sampling.largest_remainder(sizes, min(q, len(mine)), sizes)
+        taken, per = [], {}
+        for phase in (0, 1):
+            for r in sorted(mine, key=lambda r: (r[2], r[4]) if phase == 0 else r[4]):
+                ok = len(taken) < q and r[0] not in taken and (phase == 1 or want[r[2]] > 0) and not (r[3] and per.get(r[3], 0) >= cap)
+                if ok:
+                    taken.append(r[0])
+                    want[r[2]] -= 1
+                    per[r[3]] = per.get(r[3], 0) + 1
+        assert got[t] == set(taken)
+
+
+def test_thread_greedy_and_clusters(spark):
+    base = "the red fox ran home today past the old mill and the quiet river"
+    rows = [(1, "t", "post", base), (2, "t", "comment", base + "!"), (3, "t", "comment", base + "!?"), (4, "t", "post", base), (5, "u", "comment", base), (6, "t", "comment", "something else entirely, of another kind"), (7, None, "comment", base), (8, "t", "comment", None)]
+    df = spark.createDataFrame(rows, "k long, thread string, kind string, t string")
+    got = {r.k: r.kept for r in dedup.thread_greedy(df, "k", "thread", "t", F.col("kind") == "post").collect()}
+    assert got == {1: True, 2: False, 3: False, 4: True, 5: True, 6: True, 7: True, 8: True}
+    sizes = {r.keeper: r["size"] for r in dedup.minhash_clusters(df.where("k in (1, 4, 5, 6)"), "k", "t").collect()}
+    assert sizes == {1: 3, 6: 1}
+
+
+def test_first_wins_with_null_keys(spark):
+    df = spark.createDataFrame([(3, "a", None), (1, "a", None), (2, "b", "x"), (4, None, None), (5, None, None)], "o long, k string, v string")
+    assert sorted(r.o for r in dedup.first_wins(df, [F.col("k"), F.col("v")], "o").collect()) == [1, 2, 4]
+
+
+def test_bursts_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice("ab"), rng.randrange(40_000)) for i in range(300)]
+    df = spark.createDataFrame(rows, "i long, who string, s long").withColumn("ts", F.timestamp_seconds("s"))
+    got = {r.i: r.in_window for r in filters.bursts(df, "who", "ts", 4, 3600).collect()}
+    want = {i: sum(w == x and s - 3600 <= t <= s for _, x, t in rows) for i, w, s in rows}
+    assert got == {i: n for i, n in want.items() if n >= 4}
+
+
+def test_examples_of_all_kinds(spark):
+    full = examples.chat_text("s", F.lit("hello there"), F.lit("well well done"))
+    e = examples.chat_example(full, 50)
+    r = spark.range(1).select(full.alias("f"), *[c.alias(k) for k, c in e.items()]).first()
+    n = len(r.f.split())
+    assert len(r.input_ids) == n and [x != -100 for x in r.labels].count(True) == 3 and r.trainable
+    r = spark.range(1).select(*[c.alias(k) for k, c in examples.chat_example(F.lit("no mark here"), 50).items()]).first()
+    assert r.labels == r.input_ids
+    df = spark.createDataFrame([("i", "x", "o", None, None), (None, None, None, "p", "c"), ("i", None, " ", None, None)], "i string, x string, o string, p string, c string")
+    b = examples.prompt_and_answer(*[F.col(k) for k in "ixopc"])
+    assert [tuple(r) for r in df.select(*[c.alias(k) for k, c in b.items()]).collect()] == [("instruction", "i\nx\n", "o"), ("post", "p\n", "c"), ("instruction", None, None)]
+
+
+def test_late_rows_and_watermarks(spark, tmp_path):
+    from threadloom.streaming import events as st
+
+    at = lambda h: f"2024-01-01 {h:02d}:10:00"
+    batches = [[(1, 1), (2, 2)], [(3, 9)], [(5, 10)], [(4, 3), (6, 12)]]  # event 4 comes nine hours late
+    for b in batches:
+        df = spark.createDataFrame([(e, at(h), 7, "view", 1.0, None) for e, h in b], "event_id long, ts string, user_id long, event_type string, value double, props string")
+        df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    out = st.run(spark, str(tmp_path / "in"), lambda df: st.tumbling(df, "1 hour", "1 hour"))
+    assert sorted((r.start.hour, r.n) for r in out.collect()) == [(1, 1), (2, 1), (9, 1), (10, 1)]  # 3 was late, 12 is open
+    assert sorted(r.event_id for r in st.run(spark, str(tmp_path / "in"), st.deduplicated).collect()) == [1, 2, 3, 5, 6]
+    assert [r.user_id for r in st.run(spark, str(tmp_path / "in"), lambda df: st.cap_alarms(df, 4.0)).collect()] == [7]
 
 
 def test_masked_labels_keep_long_answers(spark, tmp_path):

@@ -256,7 +256,16 @@ def prompt_reference_task(s, d):
     return t.select("row_id", F.concat_ws("\n", "instruction", F.nullif(F.trim("input"), F.lit("")), F.lit("### 답변")).alias("prompt"))
 
 
-@query("masked_labels", None)
+_WORDS = f"[^{text.WS[1:]}+"
+
+
+def _ids(c: str) -> str:
+    return f"list_transform(regexp_extract_all({c}, '{_WORDS}'), lambda w: CAST(('0x' || md5(w)[1:4])::INTEGER % 32768 AS INTEGER))"
+
+
+@query("masked_labels", f"""
+WITH t AS (SELECT row_id, {_ids('instruction')} AS p, {_ids('output')} AS a FROM {T} WHERE output IS NOT NULL), x AS (SELECT row_id, list_concat(p, a)[1:1024] AS input_ids, list_concat(list_transform(p, lambda i: -100), a)[1:1024] AS labels FROM t)
+SELECT row_id, input_ids, list_transform(input_ids, lambda i: 1) AS attention_mask, labels, len(list_filter(labels, lambda i: i <> -100)) > 0 AS trainable FROM x""")
 def masked_labels(s, d):
     """Supervised examples with ignored prompt labels, cut at 1024 ids; rows with nothing to learn are marked."""
     t = sft(s, d, "row_id", "instruction", "output").where("output is not null")
@@ -265,23 +274,22 @@ def masked_labels(s, d):
     return t.select("row_id", *[c.alias(k) for k, c in e.items()])
 
 
-_WORDS = r"[^ \t\n\r\f\x0b]+"
-
-
-@query("raw_examples", f"SELECT doc_id, CAST(least(1024, len(regexp_extract_all(text, '{_WORDS}')) + 1) AS INTEGER) AS ids, CAST(least(1024, len(regexp_extract_all(text, '{_WORDS}')) + 1) AS INTEGER) AS labels FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[\\x{{1c}}-\\x{{1f}}\\x{{85}}\\x{{A0}}\\x{{1680}}\\x{{2000}}-\\x{{200A}}\\x{{2028}}\\x{{2029}}\\x{{202F}}\\x{{205F}}\\x{{3000}}]')")
+@query("raw_examples", f"SELECT doc_id, list_concat({_ids('text')}, [0])[1:1024] AS input_ids, list_concat({_ids('text')}, [0])[1:1024] AS labels FROM documents WHERE text IS NOT NULL")
 def raw_examples(s, d):
-    """Raw rows whose labels are their ids, as sizes; texts whose only white space is ASCII, on which engines agree."""
-    t = table(s, d, "documents", "doc_id", "text").where("text is not null").where(~F.col("text").rlike(r"[\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"))
+    """Raw rows whose labels are their ids."""
     e = examples.raw_example(F.col("text"), 1024)
-    return t.select("doc_id", F.size(e["input_ids"]).alias("ids"), F.size(e["labels"]).alias("labels"))
+    return table(s, d, "documents", "doc_id", "text").where("text is not null").select("doc_id", e["input_ids"].alias("input_ids"), e["labels"].alias("labels"))
 
 
-@query("chat_masks", None)
+@query("chat_masks", f"""
+WITH t AS (SELECT row_id, '<|im_start|>system' || chr(10) || 'system<|im_end|>' || chr(10) || '<|im_start|>user' || chr(10) || instruction || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10) AS head, output || '<|im_end|>' || chr(10) AS tail FROM {T} WHERE output IS NOT NULL AND instruction IS NOT NULL),
+x AS (SELECT row_id, {_ids('head')} AS p, {_ids('head || tail')}[1:1024] AS ids FROM t)
+SELECT row_id, len(ids) AS ids, greatest(len(ids) - least(len(p), len(ids)), 0) AS learned, len(ids) > len(p) AS trainable FROM x""")
 def chat_masks(s, d):
-    """Chat examples: how many ids come before the last assistant mark, and how many are learned."""
+    """Chat examples: how many ids there are, and how many after the last assistant mark are learned."""
     t = sft(s, d, "row_id", "instruction", "output").where("output is not null and instruction is not null")
     e = examples.chat_example(examples.chat_text("system", F.col("instruction"), F.col("output")), 1024)
-    return t.select("row_id", F.size(e["input_ids"]).alias("ids"), F.size(F.filter(e["labels"], lambda x: x != examples.IGNORE)).alias("learned"), e["trainable"].alias("trainable"))
+    return t.select("row_id", F.size(e["input_ids"]).cast("long").alias("ids"), F.size(F.filter(e["labels"], lambda x: x != examples.IGNORE)).cast("long").alias("learned"), e["trainable"].alias("trainable"))
 
 
 def _strip(c: str) -> str:

@@ -250,13 +250,29 @@ def pii_counts_by_class(s, d):
     return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("class"), F.col(k).alias("rows")) for k in kinds])).alias("x")).select("x.class", "x.rows")
 
 
-@query("rrn_checksum", None)
+_RRN_DIGITS = " + ".join(f"CAST(number[{i + 1 + (i >= 6)}] AS INTEGER) * {w}" for i, w in enumerate((2, 3, 4, 5, 6, 7, 8, 9, 2, 3, 4, 5)))
+
+
+@query("rrn_checksum", f"""
+WITH n AS (SELECT 'valid' AS table_name, valid_id AS id, unnest(regexp_extract_all(text, '{packs.RRN}')) AS number FROM valid UNION ALL SELECT 'phase1', record_id, unnest(regexp_extract_all(text, '{packs.RRN}')) FROM phase1_data_pipeline)
+SELECT table_name, id, number, (11 - ({_RRN_DIGITS}) % 11) % 10 = CAST(number[14] AS INTEGER) AS holds FROM n""")
 def rrn_checksum(s, d):
-    """Resident numbers in valid.text with whether their check digit holds."""
-    v = table(s, d, "valid", "valid_id", "text").select("valid_id", F.explode(F.regexp_extract_all("text", F.lit("(" + packs.RRN + ")"), F.lit(1))).alias("number"))
+    """Resident numbers in two tables with whether their check digit holds."""
+    u = table(s, d, "valid", "valid_id", "text").select(F.lit("valid").alias("table_name"), F.col("valid_id").alias("id"), "text")
+    u = u.unionByName(table(s, d, "phase1_data_pipeline", "record_id", "text").select(F.lit("phase1").alias("table_name"), F.col("record_id").alias("id"), "text"))
+    v = u.select("table_name", "id", F.explode(F.regexp_extract_all("text", F.lit("(" + packs.RRN + ")"), F.lit(1))).alias("number"))
     return v.withColumn("holds", text.rrn_valid(F.col("number")))
 
 
+@query("pii_numbers_checked", "SELECT table_name, count(*) AS numbers, count(*) FILTER (holds) AS valid_numbers FROM ({sql}) GROUP BY table_name")
+def pii_numbers_checked(s, d):
+    """Resident numbers found and those with a right check digit, per table."""
+    return rrn_checksum(s, d).groupBy("table_name").agg(F.count("*").alias("numbers"), F.count_if("holds").alias("valid_numbers"))
+
+
+Q["pii_numbers_checked"] = (pii_numbers_checked, Q["pii_numbers_checked"][1].format(sql=Q["rrn_checksum"][1]))
+
+
 @query("secret_scan", r"""SELECT doc_id FROM documents WHERE regexp_matches(text, '(?:sk-[A-Za-z0-9]{16,}|hf_[A-Za-z0-9]{16,}|AKIA[0-9A-Z]{16}|ghp_[A-Za-z0-9]{20,}|token[ \t\n\r\f\x0b]*=[ \t\n\r\f\x0b]*\"[^\"]+\")')""")
 def secret_scan(s, d):
     return docs(s, d).where(F.col("text").rlike(packs.SECRET)).select("doc_id")

@@ -42,23 +42,51 @@ def sessions_gap(s, d):
     return g.select("user_id", F.col("w.start").alias("start"), "n")
 
 
+def _drained(s, d, transform, mode="append"):
+    """The event table as six files that arrive in order of time, drained a file a batch."""
+    ship(s)
+    folder = st.in_slices(s, ev(s, d, "event_id", "ts", "user_id", "event_type", "value", "props"))
+    return st.run(s, folder, transform, mode)
+
+
 @query("stream_tumbling", "SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM events GROUP BY 1, 2")
 def stream_tumbling(s, d):
     """The tumbling counts as a drained stream in complete mode: equal to the batch result."""
-    ship(s)
-    return st.run(s, d, st.tumbling, "complete").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
+    return _drained(s, d, st.tumbling, "complete").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", "total")
 
 
 @query("stream_dedup", "SELECT DISTINCT event_id FROM events")
 def stream_dedup(s, d):
-    ship(s)
-    return st.run(s, d, st.deduplicated).select("event_id")
+    return _drained(s, d, st.deduplicated).select("event_id")
+
+
+_MARK = "(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 1 HOUR FROM events)"
+
 
+@query("stream_sliding", f"SELECT w AS start, count(*) AS n FROM (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM events) WHERE w + INTERVAL 2 HOUR <= {_MARK} GROUP BY w")
+def stream_sliding(s, d):
+    """Sliding counts in append mode: the windows that the watermark has passed."""
+    return _drained(s, d, st.sliding).select(F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
-@query("stream_cap_alarms", None)
+
+@query("stream_sessions", f"""
+WITH b AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events), k AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM b)
+SELECT user_id, min(ts) AS start, count(*) AS n FROM k GROUP BY user_id, sid HAVING max(ts) + INTERVAL 30 MINUTE <= {_MARK}""")
+def stream_sessions(s, d):
+    return _drained(s, d, st.sessions).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("stream_bursts", f"""
+WITH w AS (SELECT user_id, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS start FROM events)
+SELECT user_id, start, count(*) AS n FROM w WHERE start + INTERVAL 1 HOUR <= {_MARK} GROUP BY user_id, start HAVING count(*) >= 3""")
+def stream_bursts(s, d):
+    return _drained(s, d, st.burst_alarms).select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("stream_cap_alarms", "SELECT user_id FROM events GROUP BY user_id HAVING sum(value) >= 0.95 * 3600")
 def stream_cap_alarms(s, d):
-    ship(s)
-    return st.run(s, d, st.cap_alarms)
+    """Users whose running sum reaches 95 % of the cap: one alarm each, however many batches follow."""
+    return _drained(s, d, lambda df: st.cap_alarms(df, 3600.0))
 
 
 @query("spend_watchdog", """

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import packs, text
-from ..operators import filters, metrics
+from ..operators import filters, metrics, rules
 from ..session import table
 from . import audit
 
@@ -215,4 +215,18 @@ def eval_minimum(s, d):
     return n(v, "before").join(F.broadcast(n(a, "after_texts"))).join(F.broadcast(n(b, "after_threads"))).withColumn("ok", F.col("after_threads") >= 100)  # one row each
 
 
+@query("rules_fired", f"""
+WITH v AS (SELECT max(value) FILTER (metric = 'bigram_jsd') AS jsd, max(value) FILTER (metric = 'length_kl') AS kl, max(value) FILTER (metric = 'digit_density_delta') AS dg, max(value) FILTER (metric = 'english_density_delta') AS en FROM ({_measured_sql(_BASE)})),
+w AS (SELECT max(value) FILTER (metric = 'domain_keyword_alignment') AS al FROM ({_measured_sql(_BASE)})), u AS (SELECT max(value) FILTER (metric = 'reply_depth_kl') AS dk, max(value) FILTER (metric = 'persona_consistency') AS pc, max(value) FILTER (metric = 'punct_ratio_match') AS pr, max(value) FILTER (metric = 'initial_marker_match') AS im FROM ({_measured_sql(_V2)}))
+SELECT 'base' AS rules, CASE WHEN jsd > 0.15 THEN 'R1' WHEN kl > 0.10 THEN 'R2' WHEN dg > 0.03 OR en > 0.02 THEN 'R3'
+ WHEN CAST(jsd > 0.135 AND jsd <= 0.15 AS INTEGER) + CAST(kl > 0.09 AND kl <= 0.10 AS INTEGER) + CAST(dg > 0.027 AND dg <= 0.03 AS INTEGER) + CAST(en > 0.018 AND en <= 0.02 AS INTEGER) >= 3 THEN 'R5' ELSE 'R6' END AS fired FROM v
+UNION ALL SELECT 'v2', CASE WHEN al < 0.40 THEN 'R7' WHEN dk > 0.20 THEN 'R8' WHEN pc < 0.75 THEN 'R9' WHEN pr > 0.20 THEN 'R10' WHEN im > 0.25 THEN 'R11' ELSE 'R7-R11_NOOP' END FROM w, u""")
+def rules_fired(s, d):
+    """The first rule of each table that the measured metrics call for, from a recipe nothing was changed in."""
+    base = {r.metric: r.value for r in _measured(s, d, _BASE).collect()}  # six numbers
+    v2 = {r.metric: r.value for r in _measured(s, d, _V2).collect()}  # five numbers
+    fired = [("base", rules.first_match(base, rules.State()).name), ("v2", rules.first_match(base | v2, rules.State(), rules.RULES_V2).name)]
+    return s.createDataFrame(fired, "rules string, fired string")
+
+
 QUERIES = Q

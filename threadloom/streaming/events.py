@@ -12,14 +12,15 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..session import shared_dir, tidy_at_exit
 
 SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def read(spark: SparkSession, folder: str, files_per_trigger: int = 1) -> DataFrame:
-    df = spark.readStream.schema(SCHEMA).option("pathGlobFilter", "events*.parquet").option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+def read(spark: SparkSession, folder: str, pattern: str = "*.parquet", files_per_trigger: int = 1) -> DataFrame:
+    df = spark.readStream.schema(SCHEMA).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
     return df.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -47,33 +48,67 @@ def burst_alarms(df: DataFrame, least: int = 3, size: str = "1 hour", late: str
     return g.where(F.col("n") >= least).select("user_id", F.col("w.start").alias("start"), "n")
 
 
-def cap_alarms(df: DataFrame, cap: float = 500.0) -> DataFrame:
-    """One alarm per user, when the running sum of values first reaches 95 percent of ``cap``."""
+class CapAlarm(StatefulProcessor):
+    """Keeps the running sum of a key and whether it was warned; one row out when the sum first reaches 95 % of the cap."""
+
+    def __init__(self, cap: float):
+        self.cap = cap
 
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        total, warned = state.get if state.exists else (0.0, False)
-        for f in frames:
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("spent", "total double, warned boolean")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timers) -> Iterator[pd.DataFrame]:
+        total, warned = self.state.get() if self.state.exists() else (0.0, False)
+        for f in rows:
             total += float(f["value"].fillna(0).sum())
-        if not warned and total >= 0.95 * cap:
-            warned = True
-            yield pd.DataFrame({"user_id": [key[0]], "total": [round(total, 2)]})
-        state.update((total, warned))
+        warn = not warned and total >= 0.95 * self.cap
+        self.state.update((total, warned or warn))
+        if warn:
+            yield pd.DataFrame({"user_id": [key[0]]})
+
+    def close(self) -> None:
+        pass
 
-    from pyspark.sql.streaming.state import GroupStateTimeout
 
-    return df.groupBy("user_id").applyInPandasWithState(step, "user_id long, total double", "total double, warned boolean", "append", GroupStateTimeout.NoTimeout)
+def cap_alarms(df: DataFrame, cap: float = 500.0) -> DataFrame:
+    """One alarm per user, when the running sum of values first reaches 95 percent of ``cap``. Needs the state store
+    that keeps values per key, see ``run``."""
+    return df.groupBy("user_id").transformWithStateInPandas(CapAlarm(cap), "user_id long", "Append", "None")
+
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
+BY_KEY = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-def run(spark: SparkSession, folder: str, transform: Callable[[DataFrame], DataFrame], mode: str = "append") -> DataFrame:
-    """Drains the files there are through ``transform`` into a table in the shared folder and reads it back."""
+
+def in_slices(spark: SparkSession, events: DataFrame, slices: int = 6) -> str:
+    """A folder with the events as so many files in order of their time, as they would arrive; one batch each."""
+    base = f"{shared_dir(spark)}/threadloom/arrivals-{uuid.uuid4().hex}"
+    tidy_at_exit(spark, base)
+    lo, hi = (x.timestamp() for x in events.agg(F.min("ts"), F.max("ts")).first())
+    at = F.col("ts").cast("timestamp").cast("double")
+    part = F.least(F.floor((at - lo) / ((hi - lo) / slices or 1)), F.lit(slices - 1)).cast("int")
+    sliced = events.withColumn("part", part)
+    for k in range(slices):  # arrival: one file after the other
+        sliced.where(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(base)
+    return base
+
+
+def run(spark: SparkSession, folder: str, transform: Callable[[DataFrame], DataFrame], mode: str = "append", pattern: str = "*.parquet") -> DataFrame:
+    """Drains the files there are through ``transform``, one file a batch, into a table in the shared folder and reads
+    it back. In append mode rows come out once the watermark has passed them."""
     base = f"{shared_dir(spark)}/threadloom/stream-{uuid.uuid4().hex}"
     tidy_at_exit(spark, base)
     out, marks = f"{base}/out", f"{base}/marks"
-    df = transform(read(spark, folder))
-    w = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", marks)
-    if mode == "append":
-        q = w.format("parquet").option("path", out).start()
-    else:  # complete results replace each other
-        q = w.foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(out)).start()
-    q.awaitTermination()
+    before = spark.conf.get(STORE)
+    spark.conf.set(STORE, BY_KEY)
+    try:
+        df = transform(read(spark, folder, pattern))
+        w = df.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", marks)
+        if mode == "append":
+            q = w.format("parquet").option("path", out).start()
+        else:  # complete results replace each other
+            q = w.foreachBatch(lambda b, _: b.write.mode("overwrite").parquet(out)).start()
+        q.awaitTermination()
+    finally:
+        spark.conf.set(STORE, before)
     return spark.read.schema(df.schema).parquet(out)
