@@ -258,3 +258,13 @@ def without_formal_tail(c: Column) -> Column:
     last = F.try_element_at(lines, F.lit(-1))
     cut = F.when(last.rlike(r"(?:습니다|입니다|드립니다|하겠습니다)[ \t]*[.!?~]*$"), F.slice(lines, F.lit(1), F.size(lines) - 1)).otherwise(lines)
     return F.coalesce(F.nullif(F.array_join(cut, "\n"), F.lit("")), strip(c))
+
+
+def overlay(base: Column, over: Column) -> Column:
+    """The map ``base`` with the entries of ``over`` in place of its own; null entries of ``over`` are none."""
+    given = map_given(over)
+    return F.map_concat(F.map_filter(base, lambda k, _: ~F.array_contains(F.map_keys(given), k)), given)
+
+
+def map_given(c: Column) -> Column:
+    return F.map_filter(F.coalesce(c, F.create_map().cast("map<string,string>")), lambda _, v: v.isNotNull())

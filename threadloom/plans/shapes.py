@@ -316,4 +316,46 @@ def depth_markers(s, d):
     return t.select(F.concat(F.lit("<comment depth="), F.least(p["segments"], F.lit(4)).cast("string"), F.lit(">")).alias("marker")).distinct()
 
 
+# masking variants, flags and maps
+
+
+@query("pii_doc_variants", "SELECT valid_id, regexp_replace(regexp_replace(text, '" + packs.ADDRESS.replace(r"\s", S) + "', '[주소]', 'g'), '" + packs.CHAT_ID.replace(r"\s", S) + "', '[메신저]', 'g') AS masked FROM valid")
+def pii_doc_variants(s, d):
+    """Street addresses and messenger names with a handle."""
+    t = F.regexp_replace(F.regexp_replace("text", packs.ADDRESS, "[주소]"), packs.CHAT_ID, "[메신저]")
+    return table(s, d, "valid", "valid_id", "text").select("valid_id", t.alias("masked"))
+
+
+@query("phone_variants", " UNION ALL ".join(f"SELECT '{k}' AS variant, count(*) FILTER (regexp_matches(text, '{p}')) AS rows FROM valid" for k, p in packs.PHONES.items()))
+def phone_variants(s, d):
+    one = table(s, d, "valid", "text").agg(*[F.count_if(F.col("text").rlike(p)).alias(k) for k, p in packs.PHONES.items()])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(k).alias("variant"), F.col(k).alias("rows")) for k in packs.PHONES])))
+
+
+_NAMES = ["a/.env", "a/.env.local", "b/id_rsa", "b/id_rsa.pub", "c/credentials.json", "c/key.pem", "d/report.md", "d/environment.md"]
+
+
+@query("secret_file_names", "SELECT name, regexp_matches(name, '" + packs.SECRET_FILES + "') AS blocked FROM (VALUES " + ", ".join(f"('{n}')" for n in _NAMES) + ") v(name)")
+def secret_file_names(s, d):
+    """File names that must not be published, over a list of names."""
+    return s.createDataFrame([(n,) for n in _NAMES], "name string").select("name", F.col("name").rlike(packs.SECRET_FILES).alias("blocked"))
+
+
+@query("safety_flags", f"SELECT regexp_matches(text, '{packs.SECRET.replace(chr(92) + 's', S)}') AS secret, regexp_matches(text, '{filters.near_pattern(packs.MINOR, packs.SEXUAL)}') AS near, regexp_matches(text, '{'|'.join(packs.FORMAL_AI)}') AS formal, regexp_matches(text, '{_AD}') AS ad, count(*) AS rows FROM documents WHERE text IS NOT NULL GROUP BY 1, 2, 3, 4")
+def safety_flags(s, d):
+    """Documents by the flags of four filters that few or none of the test texts call for."""
+    c = F.col("text")
+    flags = {"secret": c.rlike(packs.SECRET), "near": filters.proximity(c, packs.MINOR, packs.SEXUAL), "formal": c.rlike("|".join(packs.FORMAL_AI)), "ad": c.rlike("(?i)(?:" + packs.AD + ")")}
+    return corpus.docs(s, d).where("text is not null").groupBy(*[x.alias(k) for k, x in flags.items()]).agg(F.count("*").alias("rows"))
+
+
+@query("maps_overlaid", "SELECT id, coalesce(tone, '혼용') AS tone, coalesce(mood, 'neutral') AS mood, 3 AS keys, '1' AS version FROM persona_list")
+def maps_overlaid(s, d):
+    """Defaults with what a persona gives laid over them."""
+    base = F.create_map(F.lit("tone"), F.lit("혼용"), F.lit("mood"), F.lit("neutral"), F.lit("version"), F.lit("1"))
+    m = text.overlay(base, F.create_map(F.lit("tone"), F.col("tone"), F.lit("mood"), F.col("mood")))
+    p = table(s, d, "persona_list", "id", "tone", "mood").select("id", m.alias("m"))
+    return p.select("id", F.element_at("m", "tone").alias("tone"), F.element_at("m", "mood").alias("mood"), F.size("m").alias("keys"), F.element_at("m", "version").alias("version"))
+
+
 QUERIES = Q
