@@ -46,6 +46,13 @@ def ship(spark: SparkSession) -> None:
     sc._threadloom_shipped = True
 
 
+def wide(df: DataFrame, rows: int, *keys: str, per: int = 2_000_000) -> DataFrame:
+    """Partitioned by the keys for ``rows`` rows, ``per`` a partition, where the session's own number is too small for that;
+    else left to the planner. Adaptive execution joins small partitions but cannot cut large ones apart."""
+    n = -(-rows // per)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def ship_file(path: str) -> None:
     """Sends a file to the executors, once per application; workers find it by ``SparkFiles.get``."""
     spark = SparkSession.getActiveSession()
