@@ -215,7 +215,7 @@ def _two_byte_scores(cp: np.ndarray, state: int, logp: np.ndarray, plain: np.nda
 
 
 def scores(cp: np.ndarray, m: Model) -> np.ndarray:
-    """(len(PAIRS), n) scores of one text."""
+    """(len(PAIRS), n) scores of a text, or of several with line breaks between, which no sequence crosses."""
     r = m.ratio[:, np.minimum(cp, BMP - 1)].astype(np.float64)
     r[:, cp >= BMP] = -8.0
     r[0] = _utf8_scores(cp, "cp1252", m.logp, m.plain)
@@ -225,15 +225,31 @@ def scores(cp: np.ndarray, m: Model) -> np.ndarray:
     return r
 
 
+_BREAK = np.array([10], np.uint32)
+
+
+def _chunks(sizes: np.ndarray, most: int):
+    """Stretches of rows of about ``most`` characters, a row at least each."""
+    lo, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > most:
+            yield lo, i
+            lo, held = i, 0
+        held += n + 1
+    if held:
+        yield lo, len(sizes)
+
+
 def label(texts: list[np.ndarray], m: Model) -> list[np.ndarray]:
     """The best path of every text: 0 is clean, s + 1 the pair's state. Texts of similar length run together."""
     out: list[np.ndarray] = [np.zeros(len(t), np.int8) for t in texts]
     live = []
-    for i, t in enumerate(texts):
-        if len(t):
-            r = scores(t, m)
-            if (r > 0).any():
-                live.append((len(t), i, r))
+    for lo, hi in _chunks(np.array([len(t) for t in texts], np.int64), 500_000):
+        flat = np.concatenate([x for t in texts[lo:hi] for x in (t, _BREAK)])
+        r = scores(flat, m)
+        at = np.r_[0, np.cumsum([len(t) + 1 for t in texts[lo:hi]])]
+        for k in np.flatnonzero(np.logical_or.reduceat((r > 0).any(0), at[:-1])):
+            live.append((len(texts[lo + k]), lo + int(k), r[:, at[k] : at[k + 1] - 1].copy()))
     live.sort(key=lambda x: x[0])
     S = len(PAIRS)
     for lo in range(0, len(live), 64):

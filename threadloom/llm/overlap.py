@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode
-from ..session import Stage
+from ..session import Stage, wide
 from ..operators.counting import slot_counts
 from .leaks import rolling
 
@@ -295,7 +295,9 @@ def links(df: DataFrame, key: str, text: str, split: str, left: str = "eval", ri
     most = f"cast(floor({max_edit!r}D * greatest(llen, rlen) + 1e-9D) as int)"
     fits = f"lcid <> rcid and abs(lat - rat) <= nth and abs(lat - rat - llen + rlen) <= {most} - nth and abs(llen - rlen) <= {most}"
     bits = " + ".join(f"bit_count(ls{i} ^ rs{i})" for i in range(4))
-    met = listed("l").join(listed("r"), "term").where(f"{fits} and {bits} <= 2 * {most}")
+    # partitions of about two million listed grams, where that is more than the session's
+    left, right = (wide(listed(x), int(counts.sum()), "term") for x in "lr")
+    met = left.join(right, "term").where(f"{fits} and {bits} <= 2 * {most}")
     cand = st.cut(met.select("lcid", "rcid").distinct())
     cand = cand.join(texts.select(F.col("cid").alias("lcid"), F.col("body").alias("a")), "lcid").join(texts.select(F.col("cid").alias("rcid"), F.col("body").alias("b")), "rcid")
 

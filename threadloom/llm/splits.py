@@ -60,14 +60,15 @@ def _labels(edges: DataFrame, st: Stage, hot: int, small: int, depth: int = 0) -
     """``edges (a, b)`` in both directions, each once, a <> b -> ``(node, label)``, one label per component."""
     kind = dict(edges.dtypes)["a"]
     key = lambda c: F.struct(F.xxhash64(F.lit(depth), c), c) if depth or kind == "string" else F.col(c)
-    edges = st.cut(edges)
+    edges, n = st.cut_counted(edges)
     per = edges.groupBy("a").agg(F.count("*").alias("deg"), F.min(key("b")).alias("low"))
     nodes = st.cut(per.select(F.col("a").alias("node"), F.ceil(F.col("deg") / hot).cast("int").alias("parts"), (key("a") < F.col("low")).alias("seed")))
     # the adjacency, hash-partitioned and sorted once and kept; a lost part is built again from the edges
     many = nodes.where("parts > 1").select("node", "parts")
     adj = edges.join(many.toDF("a", "ap"), "a", "left").join(many.toDF("b", "bp"), "b", "left")
     adj = adj.select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("ap")).cast("int"), F.lit(0)).alias("part"), F.coalesce("bp", F.lit(1)).alias("parts"))
-    adj = adj.repartition("a", "part").sortWithinPartitions("a", "part").persist(StorageLevel.MEMORY_AND_DISK)
+    parts = max(-(-n // 2_000_000), int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    adj = adj.repartition(parts, "a", "part").sortWithinPartitions("a", "part").persist(StorageLevel.MEMORY_AND_DISK)
 
     name = f"seen{depth}"
     frontier, grown = st.cut_counted(nodes.where("seed").select("node", F.col("node").alias("label"), "parts"))
