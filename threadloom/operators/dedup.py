@@ -35,7 +35,7 @@ def first_wins(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
 
 
 def duplicate_rate(df: DataFrame, c: Column) -> DataFrame:
-    n = df.agg(F.count("*").alias("rows"), F.count_distinct(c).alias("distinct_texts"))
+    n = df.agg(F.count("*").alias("rows"), F.count_distinct(F.sha2(c, 256)).alias("distinct_texts"))
     return n.withColumn("duplicate_rate", F.round((F.col("rows") - F.col("distinct_texts")) / F.col("rows"), 6))
 
 

@@ -88,11 +88,12 @@ def entropy_reason(df: DataFrame, key: str, cells: list[str], threshold: float,
 def frequent_copies(df: DataFrame, c: Column, least: int = 3) -> DataFrame:
     """Adds ``copies`` of the canonical key; with ``copies >= least`` every copy is to be dropped, the first too.
 
-    Counts are aggregated before they are joined back, so a key with a third of all rows is no window of its own.
+    Counts are aggregated, by a digest of the key, before they are joined back, so a key with a third of all rows is no
+    window of its own. Rows with a null key are left out.
     """
-    keyed = df.withColumn("canon", c)
-    n = keyed.groupBy("canon").agg(F.count("*").alias("copies"))
-    return keyed.join(n, "canon")
+    keyed = df.withColumn("_h", F.sha2(c, 256))
+    n = keyed.groupBy("_h").agg(F.count("*").alias("copies"))
+    return keyed.join(n, "_h").drop("_h")
 
 
 def bursts(df: DataFrame, who: str, ts: str, least: int = 10, seconds: int = 3600) -> DataFrame:

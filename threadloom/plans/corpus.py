@@ -449,11 +449,12 @@ def leak_exact_anti(s, d):
 @query("leak_tagged", """
 SELECT CASE WHEN v.text IN (SELECT text FROM phase1_data_pipeline WHERE text IS NOT NULL) THEN 'cpt' WHEN v.text IN (SELECT output FROM round2_build_tc_sft WHERE output IS NOT NULL) THEN 'sft' ELSE 'clean' END AS leak, count(*) AS rows FROM valid v GROUP BY 1""")
 def leak_tagged(s, d):
-    v = table(s, d, "valid", "text")
-    a = table(s, d, "phase1_data_pipeline", "text").where("text is not null").distinct().withColumn("in_cpt", F.lit(True))
-    b = table(s, d, "round2_build_tc_sft", "output").where("output is not null").select(F.col("output").alias("text")).distinct().withColumn("in_sft", F.lit(True))
+    h = lambda c: F.sha2(c, 256).alias("h")  # noqa: E731  no text goes through a shuffle
+    v = table(s, d, "valid", "text").select(h("text"))
+    a = table(s, d, "phase1_data_pipeline", "text").where("text is not null").select(h("text")).distinct().withColumn("in_cpt", F.lit(True))
+    b = table(s, d, "round2_build_tc_sft", "output").where("output is not null").select(h("output")).distinct().withColumn("in_sft", F.lit(True))
     tag = F.when(F.col("in_cpt"), "cpt").when(F.col("in_sft"), "sft").otherwise("clean")
-    return v.join(a, "text", "left").join(b, "text", "left").groupBy(tag.alias("leak")).agg(F.count("*").alias("rows"))
+    return v.join(a, "h", "left").join(b, "h", "left").groupBy(tag.alias("leak")).agg(F.count("*").alias("rows"))
 
 
 @query("thread_holdout_anti", "SELECT valid_id FROM valid v WHERE source_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM round2_build_tc_sft r WHERE r.root_id = v.source_id AND r.split = 'train')")
@@ -523,9 +524,9 @@ def persona_membership(s, d):
 @query("source_alignment", """
 SELECT r.source, count(*) AS rows, count(*) FILTER (t.text IS NOT NULL) AS matched FROM round2_build_tc_sft r LEFT JOIN (SELECT DISTINCT text FROM phase1_data_pipeline) t ON t.text = r.output WHERE r.source IS NOT NULL GROUP BY r.source""")
 def source_alignment(s, d):
-    r = table(s, d, "round2_build_tc_sft", "source", "output").where("source is not null").select("source", F.col("output").alias("text"))
-    t = table(s, d, "phase1_data_pipeline", "text").distinct().withColumn("hit", F.lit(1))
-    return r.join(t, "text", "left").groupBy("source").agg(F.count("*").alias("rows"), F.count("hit").alias("matched"))
+    r = table(s, d, "round2_build_tc_sft", "source", "output").where("source is not null").select("source", F.sha2("output", 256).alias("h"))
+    t = table(s, d, "phase1_data_pipeline", "text").select(F.sha2("text", 256).alias("h")).distinct().withColumn("hit", F.lit(1))
+    return r.join(t, "h", "left").groupBy("source").agg(F.count("*").alias("rows"), F.count("hit").alias("matched"))
 
 
 QUERIES = Q
