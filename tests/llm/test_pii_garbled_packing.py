@@ -87,15 +87,16 @@ def test_round_trips(spark):
     m = garbled.model(docs, "doc_id", "text")
     clean = ["오늘 지하상가에서 구두를 수선했어요. 값은 22만원이라고 하네요.", "Le gérant a réparé la machine à laver, même à la gare.", "ATENÇÃO: NÃO deixem o carregador na estação, já sumiram 28 coisas.", "She said “no refunds” – twice 😅", "先週駅前で靴を修理しました。"]
     label = lambda t: garbled.label([np.array([ord(c) for c in t], np.uint32)], m)[0]
+    restored = lambda t: garbled.restore([t], [label(t)], m)[0]
     assert not any(label(t).any() for t in clean)
     for wrote, read in GARBLE:
         t = clean[0]
         bad = "앞부분은 멀쩡해요.\n" + garbled.read_as(t.encode(wrote), read)
-        assert garbled.restore(bad, label(bad), m)[:2] == ("앞부분은 멀쩡해요.\n" + t, True)
+        assert restored(bad)[:2] == ("앞부분은 멀쩡해요.\n" + t, True)
     twice = garbled.read_as(garbled.read_as(clean[1].encode(), "cp1252").encode(), "cp1252")
-    assert garbled.restore(twice, label(twice), m)[:2] == (clean[1], True)
+    assert restored(twice)[:2] == (clean[1], True)
     lost = clean[0].encode("cp949").decode("utf-8", "replace")
-    assert label(lost).any() and not garbled.restore(lost, label(lost), m)[1]
+    assert label(lost).any() and not restored(lost)[1]
     df = spark.createDataFrame([(1, None), (2, ""), (3, clean[0]), (4, clean[0] * 2000 + lost), (4, twice)], "doc_id long, text string").withColumn("key", F.lit(1)).withColumn("whole", F.lit(1))
     assert sorted((r.key, r.whole) for r in garbled.find(df, "doc_id", "text", fitted=m).collect()) == [(4, False), (4, True)]
     assert garbled.find(df.limit(0), "doc_id", "text").collect() == []
@@ -119,7 +120,7 @@ def test_two_byte_encodings_read_as_western(spark):
     for wrote, t in (("shift_jis", "先週駅前で靴を修理しましたが、とても便利だと聞きました。"), ("cp949", "지하상가 근처 수선집은 미리 예약해야 하더라고요.")):
         bad = garbled.read_as(t.encode(wrote), "cp1252")
         path = garbled.label([np.array([ord(c) for c in bad], np.uint32)], m)[0]
-        assert garbled.restore(bad, path, m) == (t, True, [f"{wrote}>cp1252"])
+        assert garbled.restore([bad], [path], m) == [(t, True, [f"{wrote}>cp1252"])]
 
 
 def check(rows, capacity):

@@ -252,8 +252,11 @@ def label(texts: list[np.ndarray], m: Model) -> list[np.ndarray]:
             live.append((len(texts[lo + k]), lo + int(k), r[:, at[k] : at[k + 1] - 1].copy()))
     live.sort(key=lambda x: x[0])
     S = len(PAIRS)
-    for lo in range(0, len(live), 64):
-        part = live[lo : lo + 64]
+    while live:
+        many = 256
+        while many > 1 and live[min(many, len(live)) - 1][0] * many > 1_500_000:
+            many //= 2  # of long texts fewer at once
+        part, live = live[:many], live[many:]
         T, B = part[-1][0], len(part)
         R = np.full((T, B, S), -1e-3)
         for b, (n, _, r) in enumerate(part):
@@ -300,29 +303,41 @@ def _restore_span(s: str, pair: int) -> tuple[str, bool]:
         return raw.decode(wrote, "replace") if wrote != "cp949" or read != "utf-8" else s, False
 
 
-def restore(text: str, path: np.ndarray, m: Model, rounds: int = 3) -> tuple[str, bool, list[str]]:
-    """``(text, whole, pairs)``: spans decoded back; ``whole`` if every one could be."""
-    whole, pairs = True, []
+def _decode_spans(text: str, path: np.ndarray) -> tuple[str, bool, bool, list[str]]:
+    """``(text, whole, changed, pairs)`` after one round over the labelled spans."""
+    cuts = [0, *(np.flatnonzero(np.diff(path)) + 1).tolist(), len(text)]
+    parts, whole, changed, pairs = [], True, False, []
+    for a, b in zip(cuts, cuts[1:]):
+        s = text[a:b]
+        if path[a]:
+            pairs.append(PAIRS[path[a] - 1][0])
+            fixed, ok = _restore_span(s, path[a] - 1)
+            whole &= ok
+            changed |= ok and fixed != s
+            s = fixed if ok else s
+        parts.append(s)
+    return "".join(parts), whole, changed, pairs
+
+
+def restore(texts: list[str], paths: list[np.ndarray], m: Model, rounds: int = 3) -> list[tuple[str, bool, list[str]]]:
+    """``(text, whole, pairs)`` of every text: spans decoded back; ``whole`` if every one could be. What changed is
+    labelled again, all texts together, up to ``rounds`` rounds of wrong decoding."""
+    out: list[tuple[str, bool, list[str]]] = [(t, True, []) for t in texts]
+    now = {i: p for i, p in enumerate(paths) if p.any()}  # texts with something garbled left
     for _ in range(rounds):
-        if not path.any():
-            break
-        edge = np.flatnonzero(np.diff(path)) + 1
-        cuts = [0, *edge.tolist(), len(text)]
-        parts, changed = [], False
-        for a, b in zip(cuts, cuts[1:]):
-            s = text[a:b]
-            if path[a]:
-                pairs.append(PAIRS[path[a] - 1][0])
-                fixed, ok = _restore_span(s, path[a] - 1)
-                whole &= ok
-                changed |= ok and fixed != s
-                s = fixed if ok else s
-            parts.append(s)
-        text = "".join(parts)
-        if not changed:
-            break
-        path = label([np.array([ord(c) for c in text], np.uint32)], m)[0]
-    return text, whole and not path.any(), pairs
+        again = []
+        for i, path in now.items():
+            text, ok, changed, more = _decode_spans(out[i][0], path)
+            out[i] = (text, out[i][1] and ok and changed, out[i][2] + more)
+            if changed:
+                again.append(i)
+        if not again:
+            return out
+        fresh = label([np.array([ord(c) for c in out[i][0]], np.uint32) for i in again], m)
+        now = {i: p for i, p in zip(again, fresh) if p.any()}
+    for i in now:
+        out[i] = (out[i][0], False, out[i][2])
+    return out
 
 
 def model(docs: DataFrame, key: str, text: str, sample: int = 2000) -> Model:
@@ -362,11 +377,9 @@ def find(docs: DataFrame, key: str, text: str, sample: int = 2000, fitted: Model
             rows = np.flatnonzero(look[off[1:]] > look[off[:-1]])
             keys, fixed, whole, pairs, spans = [], [], [], [], []
             texts = [cp[off[i] : off[i + 1]] for i in rows]
-            for i, t, path in zip(rows, texts, label(texts, m)):
-                if not path.any():
-                    continue
-                s, ok, ps = restore(t.tobytes().decode("utf-32-le"), path, m)
-                keys.append(int(i))
+            found = [(int(i), t.tobytes().decode("utf-32-le"), path) for i, t, path in zip(rows, texts, label(texts, m)) if path.any()]
+            for (i, _, path), (s, ok, ps) in zip(found, restore([t for _, t, _ in found], [p for _, _, p in found], m)):
+                keys.append(i)
                 fixed.append(s)
                 whole.append(bool(ok))
                 pairs.append(",".join(sorted(set(ps))))
