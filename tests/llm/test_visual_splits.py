@@ -30,7 +30,12 @@ def test_same_look(spark):
     df = spark.createDataFrame(rows, "id long, t string").withColumn("form", F.lit(1)).withColumn("s", F.lit("x"))
     got = {tuple(r) for r in visual.same_look(df, "id", "t").collect()}
     assert got == {(1, 2), (2, 3), (1, 4), (3, 4), (2, 4), (7, 8), (9, 10)}
-    assert visual.same_look(df.limit(0), "id", "t").collect() == []
+    assert {tuple(r) for r in visual.same_look(df, "id", "t", part=1).collect()} == got  # spread
+    assert visual.same_look(df.limit(0), "id", "t").collect() == [] == visual.looks(df.limit(0), "id", "t").collect()
+    n = {}
+    for a, b in got:
+        n[a], n[b] = n.get(a, 0) + 1, n.get(b, 0) + 1
+    assert {r.key: r.links for r in visual.looks(df, "id", "t").collect()} == {i: n.get(i, 0) for i in (1, 2, 3, 4, 5, 7, 8, 9, 10)}
 
 
 def components(edges):

@@ -93,6 +93,11 @@ def p3_unified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select("valid_id", "form", (~F.col("form").eqNullSafe(F.col("text"))).alias("changed"))
 
 
+def p3_looks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row with the number of spellings of its look and of rows that look the same; the pairs' content without pairs."""
+    return visual.looks(table(spark, sf_dir, VALID, "valid_id", "text"), "valid_id", "text").select(F.col("key").alias("valid_id"), "spellings", "links")
+
+
 def _form_sql(column: str) -> str:
     """The one form in SQL: the same tables as character lists for translate, around the engine's composition."""
     t = visual.tables()
@@ -114,6 +119,10 @@ P3_FOUND_SQL = f"""
 WITH f AS (SELECT valid_id, text, {_form_sql('text')} AS form FROM {VALID} WHERE text IS NOT NULL)
 SELECT DISTINCT a.valid_id AS valid_a, b.valid_id AS valid_b FROM f a JOIN f b ON a.form = b.form AND a.text <> b.text AND a.valid_id < b.valid_id
 """
+P3_LOOKS_SQL = f"""
+WITH f AS (SELECT valid_id, text, {_form_sql('text')} AS form FROM {VALID} WHERE text IS NOT NULL), t AS (SELECT form, text, count(*) AS n FROM f GROUP BY 1, 2), a AS (SELECT form, count(*) AS spellings, sum(n) AS rows FROM t GROUP BY 1)
+SELECT f.valid_id, a.spellings, CAST(a.rows - t.n AS BIGINT) AS links FROM f JOIN t USING (form, text) JOIN a USING (form)
+"""
 
 
 # 5: the same or nearly the same output in both splits
@@ -239,6 +248,7 @@ QUERIES = {
     "p2_found": (p2_found, None),
     "p2_rates": (p2_rates, None),
     "p3_found": (p3_found, P3_FOUND_SQL),
+    "p3_looks": (p3_looks, P3_LOOKS_SQL),
     "p3_unified": (p3_unified, P3_UNIFIED_SQL),
     "p5_found": (p5_found, None),
     "p5_counts": (p5_counts, None),
