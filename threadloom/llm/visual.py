@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codepoints import explode, implode, reoffset, rows_of
+from ..session import Stage
 
 # Letters of other scripts that are drawn like Latin ones, as strings of equal length.
 LOOKALIKE_FROM = (
@@ -214,36 +215,48 @@ def unified(text: Column) -> Column:
     return form(text)
 
 
+_FORM, _SPELLING = ["f1", "f2"], ["s1", "s2"]
+
+
+def _digested(df: DataFrame, key: str, text: str) -> DataFrame:
+    """``(k, f1, f2, s1, s2)``: every distinct key and text with 128 bits for its form and 128 for its spelling, written
+    once: texts are read and unified once and go through no shuffle."""
+    two = lambda c, names: [F.xxhash64(c).alias(names[0]), F.xxhash64(F.lit(1), c).alias(names[1])]
+    rows = df.select(F.col(key).alias("k"), F.col(text).alias("s")).where("k is not null and s is not null").withColumn("form", unified(F.col("s")))
+    return Stage(df.sparkSession, "looks").cut(rows.select("k", *two(F.col("form"), _FORM), *two(F.col("s"), _SPELLING)).distinct())
+
+
 def looks(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, look, spellings, links)``: one row per distinct key and text: a number of its look, how many different
     strings look so, and how many rows look the same but are different strings. Nothing is paired.
 
-    Null texts and keys are left out, repeated rows count once. An empty table gives no rows.
+    Texts and forms are told apart by 128-bit hashes. Null texts and keys are left out, repeated rows count once. An
+    empty table gives no rows.
     """
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("s")).where("key is not null and s is not null").distinct()
-    spelled = rows.groupBy("s").agg(F.count("*").alias("n")).withColumn("form", unified(F.col("s")))
-    shown = spelled.groupBy("form").agg(F.count("*").alias("spellings"), F.sum("n").alias("all"))
-    each = spelled.join(shown, "form").select("s", F.xxhash64("form").alias("look"), "spellings", (F.col("all") - F.col("n")).alias("links"))
-    return rows.join(each, "s").select("key", "look", "spellings", "links")
+    rows = _digested(df, key, text)
+    spelled = rows.groupBy(*_FORM, *_SPELLING).agg(F.count("*").alias("n"))
+    shown = spelled.groupBy(*_FORM).agg(F.count("*").alias("spellings"), F.sum("n").alias("all"))
+    each = spelled.join(shown, _FORM).select(*_FORM, *_SPELLING, "spellings", (F.col("all") - F.col("n")).alias("links"))
+    return rows.join(each, [*_FORM, *_SPELLING]).select(F.col("k").alias("key"), F.col("f1").alias("look"), "spellings", "links")
 
 
 def same_look(df: DataFrame, key: str, text: str, part: int = 1000) -> DataFrame:
     """Pairs ``(a, b)``, a < b, of keys whose texts look the same but are different strings.
 
-    Exact copies are joined as one text: only forms with more than one spelling go on, spellings are
-    paired, and keys come back by spelling. The pairs of a form with many spellings are spread: its left
-    spellings go to one of as many parts as it has times ``part`` spellings, its right ones to all. Null texts
-    and null keys pair with nothing; repeated rows of a key count once; texts without anything visible look the
-    same as each other.
+    Only forms with more than one spelling go on, spellings are paired, and keys come back by spelling, so exact
+    copies are not paired with each other. The pairs of a form with many spellings are spread: its left spellings go
+    to one of as many parts as it has times ``part`` spellings, its right ones to all. Texts and forms are told apart by
+    128-bit hashes. Null texts and null keys pair with nothing; repeated rows of a key count once; texts without
+    anything visible look the same as each other.
     """
-    rows = df.select(F.col(key).alias("k"), F.col(text).alias("s")).where("k is not null and s is not null")
-    spelled = rows.select("s").distinct().withColumn("form", unified(F.col("s"))).withColumn("h", F.xxhash64("form"))
-    several = spelled.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h", F.ceil(F.col("n") / part).cast("int").alias("parts"))
-    spelled = spelled.join(several, "h")
-    left = spelled.select("h", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int").alias("part"), "form", F.col("s").alias("s1"))
-    right = spelled.select("h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("form").alias("form2"), F.col("s").alias("s2"))
-    # spellings of one form that occur in the table; copies of one spelling are not multiplied here
-    pairs = left.join(right, ["h", "part"]).where("form = form2 and s1 < s2").select("s1", "s2")
-    out = pairs.join(rows.select(F.col("s").alias("s1"), F.col("k").alias("k1")).distinct(), "s1")
-    out = out.join(rows.select(F.col("s").alias("s2"), F.col("k").alias("k2")).distinct(), "s2")
+    rows = _digested(df, key, text)
+    spelled = rows.select(*_FORM, *_SPELLING).distinct()
+    several = spelled.groupBy(*_FORM).agg(F.count("*").alias("n")).where("n > 1").select(*_FORM, F.ceil(F.col("n") / part).cast("int").alias("parts"))
+    spelled = spelled.join(several, _FORM)
+    left = spelled.select(*_FORM, F.pmod("s1", F.col("parts")).cast("int").alias("part"), *_SPELLING)
+    right = spelled.select(*_FORM, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("s1").alias("t1"), F.col("s2").alias("t2"))
+    pairs = left.join(right, [*_FORM, "part"]).where(F.struct("s1", "s2") < F.struct("t1", "t2")).drop("part")
+    some = rows.join(several.select(*_FORM), _FORM, "left_semi")
+    out = pairs.join(some.withColumnRenamed("k", "k1"), [*_FORM, *_SPELLING])
+    out = out.join(some.select(*_FORM, F.col("s1").alias("t1"), F.col("s2").alias("t2"), F.col("k").alias("k2")), [*_FORM, "t1", "t2"])
     return out.where("k1 <> k2").select(F.least("k1", "k2").alias("a"), F.greatest("k1", "k2").alias("b")).distinct()
