@@ -151,6 +151,7 @@ def lexicon() -> Trie:
     return t
 
 
+_ALIKE_TO = {c: {x: _sub(c, x) for x in g} for g in _ALIKE for c in g}
 REACH = 6  # the largest budget by the smallest cost: no path within budget strays farther from the diagonal
 
 
@@ -163,36 +164,42 @@ def match(key: str, root: Trie | None = None) -> list[tuple[str, float, int]]:
     root = root or lexicon()
     found: dict[str, tuple[float, int]] = {}
     n = min(len(key), root.deep + REACH)  # no path within budget reaches farther
+    extra = [0.0, *(_gap(key[j], key[j - 1] if j else "") for j in range(n))]  # of a letter too many
     first = [0.0]
     for j in range(min(n, REACH)):
-        first.append(first[-1] + _gap(key[j], key[j - 1] if j else ""))
+        first.append(first[-1] + extra[j + 1])
     here = set(key[:n])
     here |= {-1 - _CLASS[c] for c in here if c in _CLASS}
     stack = [(root, first, "", 0)]
     while stack:
         node, row, last, depth = stack.pop()
+        low = min(row)
         if node.term:
             term, weight, budget = node.term
-            best = min(row)
-            if best <= budget:
-                used = max(j for j, v in enumerate(row) if v == best)
+            if low <= budget:
+                used = max(j for j, v in enumerate(row) if v == low)
                 if term not in found or found[term][0] < weight:
                     found[term] = (weight, used)
-        low = min(row)
+        width, top = len(row), min(n, depth + 1 + REACH)
         for c, child in node.next.items():
-            gap = _gap(c, last)
+            gap, most = _gap(c, last), child.most
             # a letter that the word has nothing like costs a whole one, or its gap, wherever it goes
-            if c not in here and (c not in _CLASS or -1 - _CLASS[c] not in here) and low + min(gap, 1.0) > child.most:
+            if c not in here and (c not in _CLASS or -1 - _CLASS[c] not in here) and low + min(gap, 1.0) > most:
                 continue
-            new = [row[0] + gap]
-            top = min(n, depth + 1 + REACH)
+            alike = _ALIKE_TO.get(c, {c: 0.0})
+            best = row[0] + gap
+            new, least = [best], best
             for j in range(1, top + 1):
-                k = key[j - 1]
-                sub = row[j - 1] + _sub(k, c)
-                skip = row[j] + gap if j < len(row) else sub
-                more = new[j - 1] + _gap(k, key[j - 2] if j > 1 else "")
-                new.append(sub if sub <= skip and sub <= more else skip if skip <= more else more)
-            if min(new) <= child.most:
+                cost = row[j - 1] + alike.get(key[j - 1], 1.0)
+                if j < width and row[j] + gap < cost:
+                    cost = row[j] + gap
+                if best + extra[j] < cost:
+                    cost = best + extra[j]
+                new.append(cost)
+                best = cost
+                if cost < least:
+                    least = cost
+            if least <= most:
                 stack.append((child, new, c, depth + 1))
     return [(t, w, u) for t, (w, u) in found.items()]
 
