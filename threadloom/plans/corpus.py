@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -202,7 +204,28 @@ def dates_parsed(s, d):
     return p.select("record_id", text.date_of(F.col("date")).cast("timestamp_ntz").alias("at"))
 
 
-@query("nfkc_jamo", None)
+def _nfkc_sql(c: str) -> str:
+    """Compatibility composition in SQL: characters mapped one by one, by the rule of the standard's tables, around the
+    engine's canonical composition; then conjoining letters back to stand-alone ones."""
+    one, many = {}, []
+    for n in (*range(0x80, 0xD800), *range(0xE000, 0x20000)):
+        to = unicodedata.normalize("NFKC", chr(n))
+        if to != chr(n) and len(to) == 1:
+            one[chr(n)] = to
+        elif len(to) > 1 and to != chr(n):
+            many.append(chr(n) + to)
+    q = lambda x: "'" + "".join(x).replace("'", "''") + "'"
+    wide = f"list_reduce(list_concat([{c}], [{', '.join(map(q, many))}]), lambda t, x: replace(t, x[1], x[2:]))"
+    letters = text.restore_jamo_map()
+    return f"translate(nfc_normalize(translate({wide}, {q(one)}, {q(one.values())})), {q(letters[0])}, {q(letters[1])})"
+
+
+_CONJOINING = "len(regexp_extract_all({c}, '[\\x{{1100}}-\\x{{11FF}}]'))"
+
+
+@query("nfkc_jamo", f"""
+WITH n AS (SELECT valid_id, text, {_nfkc_sql('text')} AS normalised FROM valid)
+SELECT valid_id, normalised, CAST({_CONJOINING.format(c='text')} AS INTEGER) AS conjoining_before, CAST({_CONJOINING.format(c='normalised')} AS INTEGER) AS conjoining_after FROM n""")
 def nfkc_jamo(s, d):
     """Compatibility composition with stand-alone letters restored, and how many letters changed range."""
     v = table(s, d, "valid", "valid_id", "text").withColumn("n", text.nfkc(F.col("text")))
