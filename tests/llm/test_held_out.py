@@ -1,4 +1,4 @@
-"""Texts of other kinds than the test tables, written for this file before it was run; the bounds are what was measured."""
+"""Texts of other kinds than the test tables, written for this file before it was run; the bounds are what was measured, 7 with one to spare."""
 
 import pyarrow as pa
 
@@ -44,4 +44,4 @@ def test_personal_data_on_fresh_texts():
     got = {(int(i), pii.TYPES[int(k)]) for i, _, _, k in spans}
     want = {(i, k) for i, (_, ks) in enumerate(PERSONAL) for k in ks}
     print("types found", len(got & want), "of", len(want), "others taken", sorted((texts[i], k) for i, k in got - want), "missed", sorted((texts[i], k) for i, k in want - got))
-    assert len(got & want) >= 14 and len(got - want) <= 2
+    assert len(got & want) >= 13 and len(got - want) <= 1

@@ -175,7 +175,7 @@ def _distances(ix: Index, cp: np.ndarray, off: np.ndarray, row, at, s, chunk: in
     return out
 
 
-def _promising(ix: Index, cp: np.ndarray, off: np.ndarray, row, own, at, start, chunk: int = 100_000) -> np.ndarray:
+def _promising(ix: Index, cp: np.ndarray, off: np.ndarray, row, own, at, start, chunk: int = 20_000) -> np.ndarray:
     """Which of the stretches that cover each piece, by where they begin, may be within the budget: of a stretch with
     ``edits`` edits, all but as many characters stand in the document at most that far from their place."""
     q, m, e = ix.piece, ix.least, ix.edits

@@ -37,6 +37,10 @@ GIVEN = "가람해든채움다올이든도담하늬아라솔은별누리새결
 ROADS = ["느티나무", "달무리", "은하수", "새벽별", "소금빛", "잔물결", "가온", "한들", "벚꽃", "청솔", "중앙", "해안", "샘터", "돌담", "무지개", "강변", "역전", "시청"]
 CITIES = ["가온", "누리", "다솜", "미르", "해든", "한밭", "나래", "소라", "별하"]
 DISTRICTS = ["한빛", "별내", "솔샘", "달빛", "중앙", "남산", "새들", "온누리"]
+# Towns, districts and roads that exist, so that the tagger does not know invented ones only.
+TOWNS = ["서울", "부산", "대구", "인천", "광주", "대전", "울산", "세종", "수원", "성남", "고양", "용인", "청주", "전주", "천안", "창원", "제주", "포항"]
+WARDS = ["강남", "서초", "마포", "송파", "유성", "해운대", "수영", "달서", "분당", "영통", "덕진", "동", "서", "남", "북", "중"]
+STREETS = ["테헤란", "양화", "대학", "센텀중앙", "동부", "서부", "한강", "충장", "상무", "월드컵", "올림픽", "세종", "퇴계", "불정", "효원"]
 TITLES = ["실장님", "사장님", "과장님", "대표님", "원장님", "선생님", "팀장님", "부장님", "기사님", "매니저"]
 NICK = ["별빛토끼", "감자도리", "하늘고래", "밤톨이", "초코우유", "달콤라떼", "파란나비"]
 LATIN = ["mina", "selka", "jorin", "ilya", "yuna", "dorian", "maram", "tessa", "ravi", "otto", "lena", "karo", "hollowell", "norin", "vask", "thornby", "starkov", "pelt", "oakhollow", "marsh", "delun", "brask", "fenwick", "sorel"]
@@ -97,7 +101,17 @@ def _id(r) -> str:
     return f"{_d(r, 2)}-{_d(r, 2)}-{_d(r, 6)}-{_d(r, 2)}"
 
 
+def _existing(r) -> tuple[str, str]:
+    """Town and district, and a road."""
+    town = _pick(r, TOWNS) + _pick(r, ["", "", "시"])
+    return f"{town} {_pick(r, WARDS)}구", _pick(r, STREETS) + _pick(r, ["로", "길", "대로"])
+
+
 def _address(r) -> str:
+    if r.random() < 0.25:
+        place, road = _existing(r)
+        n = str(int(r.integers(1, 300))) + _pick(r, ["", "", f"-{_d(r, 1)}", f"번길 {_d(r, 2)}"])
+        return f"{place} {road}{_pick(r, [' ', ' ', ''])}{n}{_pick(r, ['', '', f' {_d(r, 1)}층', f' {_d(r, 3)}호'])}"
     road = _pick(r, ROADS) + _pick(r, ["로", "길"])
     city, dist = _pick(r, CITIES) + _pick(r, ["시", "시", "군"]), _pick(r, DISTRICTS) + "구"
     n = str(int(r.integers(1, 300)))
@@ -143,8 +157,8 @@ FRAMES = {
     "email": ["{} 로 연락", "메일은 {} 여기로", "답장 주소: {}", "{} 로 이력서 보내주세요", "자료 필요하면 {} 로 연락주세요", "이메일 {}", "contact {}", "{}"],
     "phone": ["연락은 {} 로 주세요", "제 번호 {} 입니다", "급하면 {} 여기로 문자 남겨요", "문의 {}", "문의 {}", "☎ {} 24시간", "전화 {}", "call me {}", "{} 전화주세요", "번호는 {} 이에요", "{} 로 연락", "폰번호 {} 이에요"],
     "id_number": ["서류에 {} 라고 적혀있어요", "본인확인 {} 이거 맞나요", "{} 까지 달라고 하던데 괜찮나요", "주민번호 {} 라고", "여권번호 {} 입니다", "면허번호 {} 이거 맞나요", "주민 {} 라고", "본인확인 주민번호 {} 이거", "서류에 면허번호 {} 라고", "본인확인 여권번호 {} 이거"],
-    "address": ["주소는 {} 입니다", "택배는 {} 로 보내주세요", "제가 사는 곳이 {} 인데요", "{} 로 오시면 돼요", "우리집 {} 이에요", "my address is {}", "주소 {}"],
-    "name": ["제 이름은 {} 이고요", "예금주 {} 확인하세요", "담당자 {} 앞으로", "{} 씨가 알려줬어요", "{} 실장님 찾으시면 됩니다", "받는사람: {}", "본명은 {} 입니다", "{} 앞으로 보내주세요", "계약자 {} 확인", "저는 {} 입니다", "{} 선생님 소개로", "my name is {}", "성함은 {} 이에요", "{} 님 앞으로 입금", "{} 씨한테 물어보세요", "{}님께 전달해주세요", "{} 드림", "{} 귀하", "받는사람: {}", "받는사람: {}", "보낸사람: {}", "{} 실장님 찾으시면 됩니다"],
+    "address": ["주소는 {} 입니다", "택배는 {} 로 보내주세요", "제가 사는 곳이 {} 인데요", "{} 로 오시면 돼요", "우리집 {} 이에요", "my address is {}", "주소 {}", "{}에서 만나요", "집 주소가 {} 이에요", "{} 1호관", "배송지: {}"],
+    "name": ["제 이름은 {} 이고요", "예금주 {} 확인하세요", "담당자 {} 앞으로", "{} 씨가 알려줬어요", "{} 실장님 찾으시면 됩니다", "받는사람: {}", "본명은 {} 입니다", "{} 앞으로 보내주세요", "계약자 {} 확인", "저는 {} 입니다", "{} 선생님 소개로", "my name is {}", "성함은 {} 이에요", "{} 님 앞으로 입금", "{} 님 택배가 도착했어요", "{} 과장이 진행했습니다", "{} 씨한테 물어보세요", "{}님께 전달해주세요", "{} 드림", "{} 귀하", "받는사람: {}", "받는사람: {}", "보낸사람: {}", "{} 실장님 찾으시면 됩니다"],
 }
 
 
@@ -177,6 +191,9 @@ def _harmless(r) -> str:
             lambda: f"{_pick(r, ROADS)}{_pick(r, ['로', '길'])} 근처 {_pick(r, WORDS)}",
             lambda: f"{_pick(r, CITIES)}시 {_pick(r, DISTRICTS)}구 쪽에서 {_pick(r, WORDS)}",
             lambda: f"참고로 {_d(r, 3)}{_pick(r, ['번', '층', '시간', '만원', '호점', '킬로', '명', '장'])} 기다려서",
+            lambda: f"{_existing(r)[_pick(r, [0, 1])]} 근처에서 {_pick(r, WORDS)}",
+            lambda: f"{_pick(r, TOWNS)} 가는 기차표 {_d(r, 1)}장",
+            lambda: f"{_pick(r, [*WARDS[:11], '서울', '시청', '대학'])}역 {_d(r, 1)}번 출구에서 {_pick(r, WORDS)}",
             lambda: f"경비아저씨가 {_pick(r, WORDS)}",
             lambda: " ".join(w.capitalize() for w in (_pick(r, ["secret", "sky", "top", "hope", "best"]), _pick(r, ["box", "bar", "spa", "10", "3"]))) + " 매장 " + _d(r, 3) + "호점",
             lambda: f"담당자 덕분에 {_pick(r, WORDS)}",
