@@ -27,8 +27,12 @@ def first_wins(df: DataFrame, keys: list[Column], order: str) -> DataFrame:
     """The first row of every key by the unique column ``order``; null is a key like others.
 
     The least ``order`` of each key is a hash aggregate over a digest of the key and a number, and the rows are kept
-    by a semi-join on it: no row with its text goes through a sort or an aggregate.
+    by a semi-join on it: no row with its text goes through a sort or an aggregate. Where the rows are their keys and
+    the order, that aggregate is all.
     """
+    names = df.select(*keys).columns
+    if {*names, order} == set(df.columns):
+        return df.groupBy(*names).agg(F.min(order).alias(order)).select(df.columns)
     digest = F.sha2(F.to_json(F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), {"ignoreNullFields": "false"}), 256)
     best = df.groupBy(digest.alias("k")).agg(F.min(order).alias(order)).select(order)
     return df.join(best, order, "left_semi")

@@ -77,10 +77,11 @@ def gate(values: DataFrame, thresholds: dict[str, tuple[str, float]], suspect: t
 
 
 def term_fires(df: DataFrame, c: str, terms: list[str]) -> DataFrame:
-    """``(term, fires, rows_with)``: how often each term occurs without overlapping itself, and in how many texts.
+    """``(term, fires, rows_with, rows)``: how often each term occurs without overlapping itself, in how many texts, and
+    the rows of the table; one row per term, whatever the table holds.
 
-    One pass for any number of terms: per length of terms, the n-grams of a batch are looked up by hash and compared.
-    Terms that do not occur have no row. Null texts hold nothing; empty terms are an error.
+    One pass for any number of terms: per length of terms, the n-grams of a batch go through a sieve, are looked up by
+    hash and compared. Null texts hold nothing but count as rows; an empty term is an error.
     """
     if not all(terms):
         raise ValueError("empty term")
@@ -95,18 +96,21 @@ def term_fires(df: DataFrame, c: str, terms: list[str]) -> DataFrame:
             cps = np.array([[ord(ch) for ch in names[i]] for i in which], np.uint32)
             h = np.array([gram_hashes(x, n)[0] for x in cps])
             order = np.argsort(h)
+            sieve = np.zeros(1 << 16, bool)
+            sieve[(h >> np.uint64(48)).astype(np.int64)] = True
             loops = np.array([any(names[i].startswith(names[i][k:]) for k in range(1, n)) for i in which])
-            tables.append((n, h[order], np.array(which)[order], cps[order], loops[order]))
-        fires, rows = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+            tables.append((n, h[order], np.array(which)[order], cps[order], loops[order], sieve))
+        fires, rows, seen = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64), 0
         for b in batches:
             cp, off, _ = explode(b.column(0))
-            for n, keys, which, cps, loops in tables:
+            seen += b.num_rows
+            for n, keys, which, cps, loops, sieve in tables:
                 h = gram_hashes(cp, n)
-                at = np.searchsorted(keys, h)
-                place = np.flatnonzero(keys[np.minimum(at, len(keys) - 1)] == h)
+                place = np.flatnonzero(sieve[(h >> np.uint64(48)).astype(np.int64)])
+                term = np.minimum(np.searchsorted(keys, h[place]), len(keys) - 1)
                 row = np.searchsorted(off, place, "right") - 1
-                ok = place + n <= off[row + 1]
-                place, row, term = place[ok], row[ok], at[place[ok]]
+                ok = (keys[term] == h[place]) & (place + n <= off[row + 1])
+                place, row, term = place[ok], row[ok], term[ok]
                 same = (cp[place[:, None] + np.arange(n)] == cps[term]).all(1)
                 place, row, term = place[same], row[same], term[same]
                 if loops[term].any():  # a term that may overlap itself counts from the left
@@ -119,11 +123,11 @@ def term_fires(df: DataFrame, c: str, terms: list[str]) -> DataFrame:
                 fires += np.bincount(which[term], minlength=len(names))
                 pair = np.unique(row * len(names) + which[term])
                 rows += np.bincount(pair % len(names), minlength=len(names))
-        some = np.flatnonzero(fires)
-        yield pa.RecordBatch.from_arrays([pa.array([names[i] for i in some], pa.string()), pa.array(fires[some]), pa.array(rows[some])], names=["term", "fires", "rows_with"])
+        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(fires), pa.array(rows), pa.array(np.full(len(names), seen))], names=["term", "fires", "rows_with", "rows"])
 
-    got = df.select(c).mapInArrow(run, "term string, fires long, rows_with long")
-    return got.groupBy("term").agg(F.sum("fires").alias("fires"), F.sum("rows_with").alias("rows_with"))
+    none = df.sparkSession.createDataFrame([(t, 0, 0, 0) for t in names], "term string, fires long, rows_with long, rows long")
+    got = df.select(c).mapInArrow(run, "term string, fires long, rows_with long, rows long").unionByName(none)
+    return got.groupBy("term").agg(*[F.sum(k).alias(k) for k in ("fires", "rows_with", "rows")])
 
 
 def ratio_match(df: DataFrame, side: Column, a: str, b: str, kind: str, c: str, patterns: dict[str, str]) -> DataFrame:

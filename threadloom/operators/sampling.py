@@ -28,16 +28,16 @@ def running(df: DataFrame, order: str, weight: str | None = None, per_range: int
     spark = df.sparkSession
     st = Stage(spark, "running")
     plain, n = st.cut_counted(df)
-    ranges = max(1, -(-n // per_range))
-    ranged = plain.repartitionByRange(ranges, order) if ranges > 1 else plain.coalesce(1)
-    d = st.cut(ranged.withColumn("_part", F.spark_partition_id()))
     w = F.col(weight) if weight else F.lit(1)
+    if n <= per_range:  # one range, of a size just counted
+        return plain.withColumn("rn", F.sum(w).over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    d = st.cut(plain.repartitionByRange(-(-n // per_range), order).withColumn("_part", F.spark_partition_id()))
     sums = {r._part: r.n for r in d.groupBy("_part").agg(F.sum(w).alias("n")).collect()}  # one row per range
     lead, rows = 0, []
     for p in sorted(sums):
         rows.append((p, lead))
         lead += sums[p]
-    leads = spark.createDataFrame(rows or [(0, 0)], "_part int, _lead long")
+    leads = spark.createDataFrame(rows, "_part int, _lead long")
     win = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return d.join(F.broadcast(leads), "_part").withColumn("rn", F.sum(w).over(win) + F.col("_lead")).drop("_part", "_lead")  # a row per range
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import packs, text
 from ..operators import metrics, quantiles, sampling
-from ..session import table
+from ..session import spread, table
 
 Q: dict = {}
 TERMS = packs.TERMS
@@ -90,10 +90,8 @@ def term_fire_audit(s, d):
     """Fires of the 240 most frequent tokens of valid in documents, and which are dead: one pass over the texts."""
     t = table(s, d, "valid", "text").select(F.explode(F.regexp_extract_all("text", F.lit("([가-힣A-Za-z0-9]{2,})"), F.lit(1))).alias("term"))
     terms = [r.term for r in t.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(240).collect()]  # a vocabulary of 240
-    one = docs(s, d).agg(F.count("*").alias("n"))
-    known = s.createDataFrame([(x,) for x in terms], "term string")
-    hit = known.join(metrics.term_fires(docs(s, d), "text", terms), "term", "left").fillna(0, ["fires", "rows_with"])
-    return hit.join(F.broadcast(one)).select("term", "fires", "rows_with", F.round(F.col("rows_with") / F.col("n"), 6).alias("rate"), (F.col("fires") == 0).alias("dead"))  # one row
+    t = metrics.term_fires(spread(docs(s, d)), "text", terms)
+    return t.select("term", "fires", "rows_with", F.round(F.col("rows_with") / F.col("rows"), 6).alias("rate"), (F.col("fires") == 0).alias("dead"))
 
 
 @query("dimension_baseline", """

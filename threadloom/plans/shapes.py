@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import packs, text
 from ..operators import dedup, filters, metrics, quantiles
-from ..session import table
+from ..session import spread, table
 from . import audit, corpus
 
 Q: dict = {}
@@ -238,11 +238,8 @@ def corpus_profile(s, d):
 SELECT term, CAST(sum(k) AS BIGINT) AS occurrences, count(*) FILTER (k > 0) AS doc_freq, round(count(*) FILTER (k > 0) / count(*), 6) AS doc_ratio FROM o GROUP BY term""")
 def term_baseline(s, d):
     """Occurrences, document frequency and document ratio of every term."""
-    t = corpus.docs(s, d).where("text is not null")
-    known = s.createDataFrame([(x,) for x in packs.TERMS], "term string")
-    hit = known.join(metrics.term_fires(t, "text", packs.TERMS), "term", "left").fillna(0, ["fires", "rows_with"])
-    one = t.agg(F.count("*").alias("n"))
-    return hit.join(F.broadcast(one)).select("term", F.col("fires").alias("occurrences"), F.col("rows_with").alias("doc_freq"), F.round(F.col("rows_with") / F.col("n"), 6).alias("doc_ratio"))  # one row
+    t = metrics.term_fires(spread(corpus.docs(s, d).where("text is not null")), "text", packs.TERMS)
+    return t.select("term", F.col("fires").alias("occurrences"), F.col("rows_with").alias("doc_freq"), F.round(F.col("rows_with") / F.col("rows"), 6).alias("doc_ratio"))
 
 
 @query("topic_ratios", f"SELECT topic, docs, round(docs / (SELECT count(*) FROM documents), 6) AS ratio FROM ({corpus.QUERIES['topics_multilabel'][1]})")
