@@ -215,7 +215,7 @@ def _main_script(text: str) -> int:
     return int(h.argmax()) if h.sum() >= 15 else 0
 
 
-def is_truncated(text: str, endings: Endings, least: float = 0.0125) -> bool:
+def is_truncated(text: str, endings: Endings, least: float = 0.02) -> bool:
     """``text`` without tag and outer blanks; ``least``: the odds below which it breaks off."""
     body = TAIL.sub("", text)
     if not body:
