@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import packs, text
-from ..operators import dedup, filters, metrics, quantiles
+from ..functions import packs, scrub, text
+from ..operators import dedup, filters, metrics, quantiles, sampling
 from ..session import spread, table
 from . import audit, corpus
 
@@ -323,6 +323,27 @@ def pii_doc_variants(s, d):
     return table(s, d, "valid", "valid_id", "text").select("valid_id", t.alias("masked"))
 
 
+_DIGITS = " + ".join(f"CAST(x[{i + 1 + (i >= 6)}] AS INTEGER) * {w}" for i, w in enumerate((2, 3, 4, 5, 6, 7, 8, 9, 2, 3, 4, 5)))
+
+
+@query("pii_rrn_checked", f"""
+WITH t AS (SELECT 'valid' AS table_name, valid_id AS id, text FROM valid UNION ALL SELECT 'phase1', record_id, text FROM phase1_data_pipeline)
+SELECT table_name, id, list_reduce(list_concat([text], regexp_extract_all(text, '{packs.RRN}')), lambda t, x: CASE WHEN (11 - ({_DIGITS}) % 11) % 10 = CAST(x[14] AS INTEGER) THEN replace(t, x, '[주민번호]') ELSE t END) AS masked FROM t WHERE text IS NOT NULL""")
+def pii_rrn_checked(s, d):
+    """Resident numbers masked where the check digit holds, and left where it does not."""
+    u = table(s, d, "valid", "valid_id", "text").select(F.lit("valid").alias("table_name"), F.col("valid_id").alias("id"), "text")
+    u = u.unionByName(table(s, d, "phase1_data_pipeline", "record_id", "text").select(F.lit("phase1").alias("table_name"), F.col("record_id").alias("id"), "text"))
+    return u.where("text is not null").select("table_name", "id", scrub.scrub_checked(F.col("text")).alias("masked"))
+
+
+@query("strata_by_three", """
+SELECT doc_id, source, length_bucket, viral FROM (SELECT doc_id, source, length_bucket, length(text) > 200 AS viral, row_number() OVER (PARTITION BY source, length_bucket, length(text) > 200 ORDER BY sha1(CAST(doc_id AS VARCHAR)), doc_id) AS rn FROM documents) WHERE rn <= 5""")
+def strata_by_three(s, d):
+    """Five texts of every source, length bucket and side of 200 characters."""
+    t = table(s, d, "documents", "doc_id", "source", "length_bucket", "text").select("doc_id", "source", "length_bucket", (F.length("text") > 200).alias("viral"))
+    return sampling.stratified(t, ["source", "length_bucket", "viral"], F.struct(F.sha1(F.col("doc_id").cast("string")), "doc_id"), 5).select("doc_id", "source", "length_bucket", "viral")
+
+
 @query("phone_variants", " UNION ALL ".join(f"SELECT '{k}' AS variant, count(*) FILTER (regexp_matches(text, '{p}')) AS rows FROM valid" for k, p in packs.PHONES.items()))
 def phone_variants(s, d):
     one = table(s, d, "valid", "text").agg(*[F.count_if(F.col("text").rlike(p)).alias(k) for k, p in packs.PHONES.items()])
