@@ -68,6 +68,20 @@ def test_components_random_chain_and_hub(spark):
         assert sorted(map(sorted, got.values())) == components(edges)
 
 
+def test_components_of_names_without_hashes(spark):
+    from threadloom.session import Stage
+
+    rng = random.Random(3)
+    edges = [(f"n{rng.randrange(60)}", f"n{rng.randrange(60)}") for _ in range(45)] + [(f"c{i}", f"c{i + 1}") for i in range(20)]
+    edges = [(a, b) for a, b in edges if a != b]
+    df = spark.createDataFrame(edges, "a string, b string")
+    for small in (200_000, 1):
+        got = {}
+        for r in splits._labels(df.unionByName(df.toDF("b", "a")).distinct(), Stage(spark, "t"), 20, small).collect():
+            got.setdefault(r.label, []).append(r.node)
+        assert sorted(map(sorted, got.values())) == components(edges)
+
+
 def test_pairs_and_splits(spark):
     rows = [("1", "a", "K"), ("2", "b", " k "), ("3", "b", "anon"), ("4", "c", None), ("5", None, "k"), ("6", None, None), ("7", "d", "ㅇㅇ"), ("8", "b", "K")]
     df = spark.createDataFrame(rows, "rec string, grp string, author string").withColumn("owner", splits.identity(F.col("author")))

@@ -338,7 +338,7 @@ def score_text(text: str) -> tuple[float, list[str]]:
             if not DEGRADING.isdisjoint(near):
                 total += max((x for t, x in near.items() if t in GROUPS), default=0.0)
         around = joined[max(0, i - 3) : i + WINDOW + 1]
-        mention = any(w.startswith(_MENTION) or "라는" in w for w in around)
+        mention = any(w.startswith(_MENTION) or w.endswith("라는") for w in around)
         if mention and not any(w.lower() in _ADDRESS for w in around):
             total *= 0.5
         if total > best:
