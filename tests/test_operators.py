@@ -267,6 +267,40 @@ def test_thread_greedy_and_clusters(spark):
     assert sizes == {1: 3, 6: 1}
 
 
+def test_thread_greedy_brute_and_no_gram_in_an_exchange(spark):
+    """Small threads by one task, large ones by pairs: both as the sequential rule; a small thread's plan joins nothing."""
+    rng = random.Random(11)
+    base = ["the red fox ran home today past the old mill", "무인카페에서 후배가 노트북을 문의했더니 옆자리형이 벌써 예약했다고 하네요", "\U0001f600 quiet night 𝄞 at the old harbour, again and again and again"]
+    rows = [(900, None, "comment", base[0]), (901, "t0", None, None), (902, "t0", "comment", "abc"), (903, "t0", "comment", "abc")]
+    for i in range(240):
+        t = list(rng.choice(base))
+        for _ in range(rng.choice([0, 0, 1, 1, 2, 3])):
+            t[rng.randrange(len(t))] = rng.choice("xyz! ")
+        rows.append((i, f"t{rng.randrange(4)}", rng.choice(["post", "comment", "comment", "comment", None]), "".join(t)))
+    rng.shuffle(rows)
+
+    def grams(t):
+        t = "".join((t or "").split())
+        return {t[k : k + 4] for k in range(len(t) - 3)}
+
+    want, stay = {}, {}
+    for k, g, kind, t in sorted(rows, key=lambda r: r[0]):
+        s = grams(t)
+        want[k] = g is None or not s or kind == "post" or not any(round(len(s & o) / len(s | o), 6) >= 0.85 for o in stay.get(g, []))
+        if want[k] and s:
+            stay.setdefault(g, []).append(s)
+    df = spark.createDataFrame(rows, "k long, g string, kind string, t string").repartition(3)
+    assert len(set(want.values())) == 2
+    for most in (1000, 60, 1):
+        got = dedup.thread_greedy(df, "k", "g", "t", F.col("kind") == "post", whole_rows=most)
+        assert {r.k: r.kept for r in got.collect()} == want, most
+        if most == 1000:
+            plan = got._jdf.queryExecution().optimizedPlan().toString()
+            assert "Join" not in plan and plan.count("MapInArrow") == 1
+    got = dedup.thread_greedy(df, "k", "g", "t", F.col("kind") == "post", whole_chars=300)
+    assert {r.k: r.kept for r in got.collect()} == want
+
+
 def test_first_wins_with_null_keys(spark):
     df = spark.createDataFrame([(3, "a", None), (1, "a", None), (2, "b", "x"), (4, None, None), (5, None, None)], "o long, k string, v string")
     assert sorted(r.o for r in dedup.first_wins(df, [F.col("k"), F.col("v")], "o").collect()) == [1, 2, 4]

@@ -12,6 +12,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -201,32 +202,186 @@ def jaccard_pairs(df: DataFrame, key: str, group: str, c: str, n: int = 4, least
     p = t.select("t", "k", "grp").mapInArrow(prefixes, f"k {kinds['k']}, grp {kinds['grp']}, t long, n int")
     q = p.select("grp", "t", F.col("k").alias("k2"), F.col("n").alias("n2"))
     cand = p.join(q, ["grp", "t"]).where((F.col("k") < F.col("k2")) & (F.least("n", "n2") >= F.greatest("n", "n2") * least)).select("k", "k2").distinct()
-    sets = t.select("k", F.array_distinct(text.ngrams(F.col("t"), n)).alias("g"))
-    j = F.size(F.array_intersect("ga", "gb")) / F.size(F.array_union("ga", "gb"))
-    both = cand.join(sets.toDF("k", "ga"), "k").join(sets.toDF("k2", "gb"), "k2").withColumn("jaccard", F.round(j, 6))
+    sets = t.select("k", "t")  # texts go through the joins, their sets are made after
+    ga, gb = (F.array_distinct(text.ngrams(F.col(x), n)) for x in ("ta", "tb"))
+    both = cand.join(sets.toDF("k", "ta"), "k").join(sets.toDF("k2", "tb"), "k2").select("k", "k2", ga.alias("ga"), gb.alias("gb"))
+    both = both.withColumn("common", F.size(F.array_intersect("ga", "gb"))).withColumn("jaccard", F.round(F.col("common") / (F.size("ga") + F.size("gb") - F.col("common")), 6))
     return both.where(F.col("jaccard") >= least).select(F.col("k").alias("a"), F.col("k2").alias("b"), "jaccard")
 
 
-def thread_greedy(df: DataFrame, key: str, thread: str, c: str, exempt: Column, least: float = 0.85) -> DataFrame:
-    """``(key, kept)``: within a thread, in order of ``key``, a row falls for an earlier kept row whose 4-gram set is
-    ``least`` alike; exempt rows (posts) never fall but others fall for them. Rows without a thread or text stay.
-
-    Resolved over the similar pairs in rounds: a row is decided once all earlier rows like it are."""
-    st = Stage(df.sparkSession, "thread_greedy")
-    rows = df.select(F.col(key).alias("k"), F.coalesce(exempt, F.lit(False)).alias("exempt"))
-    links = jaccard_pairs(df.where(F.col(thread).isNotNull()), key, thread, c, 4, least).select(F.col("a").alias("early"), F.col("b").alias("late"))
-    links = st.cut(links.join(rows.where("not exempt").select(F.col("k").alias("late")), "late", "left_semi"))
-    fallen = None
+#: Rows and characters of a thread up to which one task holds all of it.
+WHOLE_ROWS, WHOLE_CHARS = 1_000, 2_000_000
+
+
+def _four_grams(cp: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, code)`` of every 4-gram within one row; codes are equal where the grams are, within this batch."""
+    seen = np.zeros(0x110000, bool)
+    seen[cp] = True
+    ids = np.cumsum(seen)
+    x = ids[cp].astype(np.uint64)
+    pair = x[:-1] << np.uint64(32) | x[1:]
+    pair = x[:-1] << np.uint64(16) | x[1:] if ids[-1] < 1 << 16 else np.unique(pair, return_inverse=True)[1].astype(np.uint64)
+    many = np.maximum(np.diff(off) - 3, 0)
+    row = np.repeat(np.arange(len(many)), many)
+    at = np.arange(len(row)) - (np.cumsum(many) - many)[row] + off[row]
+    return row, pair[at] << np.uint64(32) | pair[at + 2]
+
+
+def _alike(group: np.ndarray, texts: pa.Array, least: float, step: int = 1 << 22) -> tuple[np.ndarray, np.ndarray]:
+    """``(early, late)``: rows of one group whose 4-gram sets reach ``least``; by the prefix filter of ``jaccard_pairs``."""
+    none = np.zeros(0, np.int64)
+    cp, off, _ = explode(texts)
+    if len(cp) < 4:
+        return none, none
+    row, code = _four_grams(cp, off)
+    n = len(texts)
+    with np.errstate(over="ignore"):
+        slot = ((code ^ group[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(42)).astype(np.int64)
+    often = np.bincount(slot, minlength=1 << 22)[slot]
+    order = np.lexsort((code, often, row))
+    row, code, often = row[order], code[order], often[order]
+    first = np.r_[True, (row[1:] != row[:-1]) | (code[1:] != code[:-1])][: len(row)]
+    row, code, often = row[first], code[first], often[first]
+    size = np.bincount(row, minlength=n)
+    place = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+    met = (place < size[row] - np.ceil(size[row] * least - 1e-9) + 1) & (often > 1)  # a gram that comes once meets nothing
+    r, c = row[met], code[met]
+    order = np.lexsort((r, c, group[r]))
+    r, c = r[order], c[order]
+    new = np.r_[True, (group[r[1:]] != group[r[:-1]]) | (c[1:] != c[:-1])][: len(r)]
+    start = np.maximum.accumulate(np.where(new, np.arange(len(r)), 0))
+    before = np.arange(len(r)) - start  # each row meets those before it in its run
+    ends = np.cumsum(before)
+    found = [none]
+    lo = 0
+    while lo < len(r):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + step, "right")))
+        at = np.repeat(np.arange(lo, hi), before[lo:hi])
+        nth = np.arange(len(at)) - np.repeat(np.cumsum(before[lo:hi]) - before[lo:hi], before[lo:hi])
+        a, b = r[start[at] + nth], r[at]
+        fits = np.minimum(size[a], size[b]) >= np.maximum(size[a], size[b]) * least - 1e-9
+        found.append(np.unique(a[fits] * n + b[fits]))
+        lo = hi
+    found = np.unique(np.concatenate(found))
+    a, b = found // n, found % n
+    used = np.zeros(n, bool)
+    used[a] = used[b] = True
+    row, code = row[used[row]], code[used[row]]
+    names, code = np.unique(code, return_inverse=True)
+    keys = np.sort(row * len(names) + code)
+    begin = np.searchsorted(keys, np.arange(n) * len(names))
+    ok = np.zeros(len(a), bool)
+    per = np.cumsum(size[a])
+    lo = 0
+    while lo < len(a):
+        hi = max(lo + 1, int(np.searchsorted(per, (per[lo - 1] if lo else 0) + step, "right")))
+        many = size[a[lo:hi]]
+        pair = np.repeat(np.arange(hi - lo), many)
+        at = begin[a[lo:hi]][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many)
+        want = keys[at] % len(names) + b[lo:hi][pair] * len(names)
+        hit = keys[np.minimum(np.searchsorted(keys, want), len(keys) - 1)] == want
+        common = np.bincount(pair[hit], minlength=hi - lo)
+        ok[lo:hi] = np.round(common / (many + size[b[lo:hi]] - common), 6) >= least
+        lo = hi
+    return a[ok], b[ok]
+
+
+def _thread_kept(group: np.ndarray, texts: pa.Array, exempt: np.ndarray, least: float) -> np.ndarray:
+    """Which rows stay; rows of a group stand together, in their order.
+
+    Of equal texts the first decides for all that are not exempt; the first exempt one stays and claims what follows."""
+    n = len(group)
+    at = np.arange(n)
+    kept = np.ones(n, bool)
+    long = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False) >= 4
+    text_no = pc.fill_null(texts.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    _, first, cls = np.unique(group * (n + 1) + text_no + 1, return_index=True, return_inverse=True)
+    post = np.full(len(first), n)
+    np.minimum.at(post, cls, np.where(exempt, at, n))
+    rep = (at == first[cls]) | (at == post[cls])
+    kept[long & ~rep & ~exempt] = False
+    reps = np.flatnonzero(long & rep)
+    a, b = _alike(group[reps], texts.take(pa.array(reps)), least)
+    a, b = reps[a], reps[b]
+    a, b = a[~exempt[b]], b[~exempt[b]]
+    order = np.lexsort((a, b))
+    stays = kept.tolist()
+    for x, y in zip(a[order].tolist(), b[order].tolist()):  # what is before y is decided
+        if stays[x]:
+            stays[y] = False
+    return np.array(stays, bool)
+
+
+def _large_threads(rows: DataFrame, least: float) -> DataFrame:
+    """``(k)`` of the rows ``(k, grp, t, exempt)`` that fall, for threads too large for one task: over the similar
+    pairs in rounds; a row is decided once all earlier rows like it are."""
+    st = Stage(rows.sparkSession, "thread_greedy")
+    rows = st.cut(rows.where(F.length("t") >= 4))
+    same = rows.groupBy("grp", "t").agg(F.min("k").alias("first"), F.min(F.when(F.col("exempt"), F.col("k"))).alias("post"))
+    reps = same.select("grp", "t", F.explode(F.array_distinct(F.array("first", "post"))).alias("k")).where("k is not null")
+    reps = st.cut(reps)
+    may_fall = rows.where("not exempt").select("k")
+    st.add(may_fall.join(reps, "k", "left_anti"), "fallen")
+    links = jaccard_pairs(reps, "k", "grp", "t", 4, least).select(F.col("a").alias("early"), F.col("b").alias("late"))
+    links = st.cut(links.join(may_fall.withColumnRenamed("k", "late"), "late", "left_semi"))
     while not links.isEmpty():
         # rows that wait for nobody are kept; what is like them falls, and with it its own claims
         free = links.select(F.col("early").alias("k")).distinct().join(links.select(F.col("late").alias("k")), "k", "left_anti")
         down = st.cut(links.join(free.withColumnRenamed("k", "early"), "early", "left_semi").select(F.col("late").alias("k")).distinct())
-        fallen = down if fallen is None else fallen.unionByName(down)
+        st.add(down, "fallen")
         gone = down.select(F.col("k").alias("late"))
-        links = st.cut(links.join(gone, "late", "left_anti").join(down.withColumnRenamed("k", "early"), "early", "left_anti").join(free.withColumnRenamed("k", "early"), "early", "left_anti"))
-    if fallen is None:
-        return rows.select("k", F.lit(True).alias("kept"))
-    return rows.join(fallen.withColumn("out", F.lit(True)), "k", "left").select("k", F.col("out").isNull().alias("kept"))
+        left = st.cut(links.join(gone, "late", "left_anti").join(down.withColumnRenamed("k", "early"), "early", "left_anti").join(free.withColumnRenamed("k", "early"), "early", "left_anti"))
+        st.drop(links, down)
+        links = left
+    return rows.sparkSession.read.schema(may_fall.schema).parquet(f"{st.root}/fallen")
+
+
+def thread_greedy(df: DataFrame, key: str, thread: str, c: str, exempt: Column, least: float = 0.85, whole_rows: int = WHOLE_ROWS, whole_chars: int = WHOLE_CHARS) -> DataFrame:
+    """``(key, kept)``: within a thread, in order of ``key``, a row falls for an earlier kept row whose 4-gram set is
+    ``least`` alike; exempt rows (posts) never fall but others fall for them. Rows without a thread or text stay.
+
+    A thread of up to ``whole_rows`` rows and ``whole_chars`` characters is resolved by one task, so that each text
+    goes through one exchange and no gram through any; larger ones by pairs, in rounds."""
+    rows = df.select(F.col(key).alias("k"), F.col(thread).alias("grp"), F.regexp_replace(c, r"\s+", "").alias("t"), F.coalesce(exempt, F.lit(False)).alias("exempt"))
+    alone = rows.where("grp is null").select("k", F.lit(True).alias("kept"))
+    rows = rows.where("grp is not null")
+    large = rows.groupBy("grp").agg(F.count("*").alias("n"), F.sum(F.length("t")).alias("chars")).where((F.col("n") > whole_rows) | (F.col("chars") > whole_chars))
+    large = Stage(df.sparkSession, "large_threads").cut(large.select("grp"))
+    rest = None
+    if not large.isEmpty():
+        some = rows.join(large, "grp", "left_semi")
+        fallen = _large_threads(some, least)
+        rest = some.select("k").join(fallen.withColumn("out", F.lit(True)), "k", "left").select("k", F.col("out").isNull().alias("kept"))
+        rows = rows.join(large, "grp", "left_anti")
+
+    def pieces(batches):
+        """Batches of whole threads, of about ``whole_chars`` characters, one thread at least."""
+        held = None
+        for b in batches:
+            held = b if held is None else pa.concat_batches([held, b])
+            if held.num_rows < 2:
+                continue
+            g = held.column("grp")
+            heads = np.flatnonzero(np.r_[True, pc.not_equal(g[1:], g[:-1]).to_numpy(zero_copy_only=False)])
+            ends = np.r_[0, np.cumsum(pc.fill_null(pc.utf8_length(held.column("t")), 0).to_numpy(zero_copy_only=False))][heads]
+            lo = 0
+            while lo < len(heads) - 1:  # the last thread may go on in the next batch
+                hi = min(max(lo + 1, int(np.searchsorted(ends, ends[lo] + whole_chars, "right")) - 1), len(heads) - 1)
+                yield held.slice(heads[lo], heads[hi] - heads[lo])
+                lo = hi
+            held = held.slice(heads[-1])
+        if held is not None:
+            yield held
+
+    def run(batches):
+        for b in pieces(batches):
+            g = b.column("grp")
+            group = np.cumsum(np.r_[False, pc.not_equal(g[1:], g[:-1]).to_numpy(zero_copy_only=False)]).astype(np.int64)
+            kept = _thread_kept(group, b.column("t"), b.column("exempt").to_numpy(zero_copy_only=False), least)
+            yield pa.RecordBatch.from_arrays([b.column("k"), pa.array(kept)], names=["k", "kept"])
+
+    out = rows.repartition("grp").sortWithinPartitions("grp", "k").mapInArrow(run, f"k {dict(rows.dtypes)['k']}, kept boolean").unionByName(alone)
+    return out if rest is None else out.unionByName(rest)
 
 
 def cosine(a: str, b: str) -> Column:
