@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -115,6 +117,26 @@ def test_genuine_typography_is_no_case(spark):
         assert [t for t, p in zip(GENUINE, garbled.label([np.array([ord(c) for c in t], np.uint32) for t in GENUINE], m)) if p.any()] == []
 
 
+def test_every_document_is_garbled_for_the_model(spark):
+    """What only a few of many documents garble to is in the model, in whatever order their keys come."""
+    texts = ["수선 � 맡겼어요\n오늘 구두를 수선했어요."] * 3000 + ["先週駅前で靴を修理しました。\n값은 같아요 " + "뷁" * 3, None, "ascii only", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    # by the parts of texts, each by itself
+    for s, (_, wrote, read) in list(enumerate(garbled.PAIRS))[garbled.STRUCT :]:
+        seen = Counter()
+        for t in filter(None, texts):
+            for part in t.split("\n"):
+                raw = part.encode(wrote, "ignore")
+                lost = len(part) - len(raw.decode(wrote, "ignore"))
+                if "�" not in part and not raw.isascii() and lost <= 0.02 * len(part):
+                    seen.update(c for c in raw.decode(read, "replace") if ord(c) >= 0x80)
+        for flip in (1, -1):
+            m = garbled.model(df.select((F.col("k") * flip).alias("k"), "t"), "k", "t")
+            some = [c for c, n in seen.items() if n > 1 and c != "\ufffd" and not 0x80 <= ord(c) < 0xA0]
+            want = np.clip([np.log(seen[c] / sum(seen.values())) - m.logp[ord(c)] for c in some], -8, 8)
+            assert some and np.allclose(m.ratio[s, [ord(c) for c in some]], want, atol=1e-4)
+
+
 def test_two_byte_encodings_read_as_western(spark):
     m = garbled.model(table(spark, "/root/testdata/sf0.1", "documents", "doc_id", "text"), "doc_id", "text")
     for wrote, t in (("shift_jis", "先週駅前で靴を修理しましたが、とても便利だと聞きました。"), ("cp949", "지하상가 근처 수선집은 미리 예약해야 하더라고요.")):
