@@ -1,4 +1,6 @@
+import math
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -198,3 +200,44 @@ def test_boilerplate_is_cut_into_parts(spark):
     df = spark.createDataFrame(rows, "row_id long, output string, split string")
     some = [{tuple(r) for r in overlap.row_pairs(df, "row_id", "output", "split", hot=h).collect()} for h in (overlap.HOT, 7, 1)]
     assert some[0] == some[1] == some[2] and len(some[0]) >= 60
+
+
+def _listed(left, right, per):
+    """Batches as Spark hands them on: by term, the left side first."""
+    rows = sorted([(t, -1, n, at, c, *sig) for t, n, at, c, sig in left] + [(t, j, n, at, c, *sig) for t, j, n, at, c, sig in right], key=lambda r: r[:2])
+    names = ["term", "nth", "len", "at", "cid", "s0", "s1", "s2", "s3"]
+    kinds = [pa.int64(), *[pa.int32()] * 3, *[pa.int64()] * 5]
+    return [pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows[lo : lo + per]], k) for i, k in enumerate(kinds)], names=names) for lo in range(0, len(rows), per)]
+
+
+def test_meetings_brute():
+    rng = random.Random(4)
+    sig = lambda: tuple(rng.choice([0, 7, (1 << 62) - 1, -1]) for _ in range(4))
+    left, right = [], []
+    for c in range(300):
+        n = rng.randrange(80, 130)
+        left.append((rng.randrange(-3, 3), n, rng.randrange(n - 4), c, sig()))
+        n = rng.randrange(80, 130)
+        right.append((rng.randrange(-3, 3), rng.randrange(15), n, rng.randrange(n - 4), c + 250, sig()))
+    for share in (0.15, 0.4):
+        want = set()
+        for t, n, at, c, s in left:
+            for u, j, m, to, d, r in right:
+                k = math.floor(share * max(n, m) + 1e-9)
+                bits = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(s, r))
+                if t == u and c != d and abs(at - to) <= j and abs(at - to - n + m) <= k - j and abs(n - m) <= k and bits <= 2 * k:
+                    want.add((c, d))
+        assert want
+        for per, rows, step in ((1000, 200_000, 1 << 20), (7, 1, 5), (50, 60, 300)):
+            got = [r for b in overlap.meetings(iter(_listed(left, right, per)), share, rows, step) for r in zip(*(x.to_pylist() for x in b.columns))]
+            assert set(got) == want
+
+
+def test_a_gram_of_many_texts_meets_by_place():
+    """60,000 texts of each side under one gram at 60,000 places: 3.6 G pairs by gram, but few at the right places."""
+    zero = (0, 0, 0, 0)
+    n = 60_000
+    batches = _listed([(1, 2 * n, i, i, zero) for i in range(n)], [(1, 1, 2 * n, i, n + i, zero) for i in range(n)], 10_000)
+    began = time.monotonic()
+    got = sum(b.num_rows for b in overlap.meetings(iter(batches), 0.15))
+    assert got == 3 * n - 2 and time.monotonic() - began < 30
